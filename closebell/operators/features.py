@@ -47,6 +47,15 @@ def momentum(
     )
 
 
+def trailing_return(bars: DataFrame, lookback: int = 20, series: Series = BARS) -> DataFrame:
+    """``date, symbol, r20`` alone, without the first ``lookback`` bars of each symbol."""
+    before = F.lag("close", lookback).over(series.window())
+    rows = _looking_back(
+        bars, series, lookback, ["close"], r20=simple_return(F.col("close"), before)
+    )
+    return rows.where(F.col("r20").isNotNull())
+
+
 def rsi(up: Column, down: Column) -> Column:
     return F.when(down > 0, 100 - 100 / (1 + up / down)).when(up > 0, 100.0)
 

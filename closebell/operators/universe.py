@@ -29,7 +29,7 @@ def map_to_symbols(news: DataFrame, aliases: DataFrame) -> DataFrame:
     and are returned unchanged when nothing matches.
     """
     names = aliases.select(F.lower("alias").alias("_alias"), F.col("symbol").alias("_to"))
-    names = names.groupBy("_alias").agg(F.min("_to").alias("_to"))
+    names = names.where(F.col("_alias") != "").groupBy("_alias").agg(F.min("_to").alias("_to"))
     title = F.lower("title")
     words = F.split(F.regexp_replace(title, r"[^\p{L}\p{N}]+", " "), " ")
     open_news = news.where(F.col("symbol").isNull())

@@ -17,6 +17,7 @@ def local_session(cores: str = "8", app: str = "closebell", **extra: str) -> Spa
     settings = {
         **CORRECTNESS,
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "12g",
         "spark.sql.shuffle.partitions": cores if cores.isdigit() else "8",
         "spark.sql.parquet.compression.codec": "zstd",
