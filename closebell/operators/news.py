@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,12 +21,17 @@ def cleaned(news: DataFrame, null_as_text: bool = False) -> DataFrame:
     )
 
 
-def deduplicated(news: DataFrame, by_symbol: bool = False, keep: str = "first") -> DataFrame:
-    """One article per (time, source, cleaned title): the first or last by ``ingest_seq``.
+def deduplicated(
+    news: DataFrame,
+    by_symbol: bool = False,
+    keep: str = "first",
+    columns: Sequence[str] | None = None,
+) -> DataFrame:
+    """One article per (time, source, cleaned title): the first or latest by ``ingest_seq``.
 
     The symbol is not part of the key unless ``by_symbol``. The survivor is an aggregate,
     so copies are combined before the shuffle and a text copied into a third of all rows
-    does not gather anywhere.
+    does not gather anywhere. Only ``columns`` (default: all) are shuffled and returned.
     """
     if keep not in ("first", "latest"):
         raise ValueError(f"keep must be 'first' or 'latest', not {keep!r}")
@@ -32,7 +39,7 @@ def deduplicated(news: DataFrame, by_symbol: bool = False, keep: str = "first")
     key = [article_key(F.col("ts"), F.col("source"), F.col("title")).alias("_key")]
     if by_symbol:
         key.append(F.col("symbol").alias("_symbol"))
-    row = F.struct(*news.columns)
+    row = F.struct(*(columns or news.columns))
     return news.groupBy(*key).agg(pick(row, "ingest_seq").alias("_row")).select("_row.*")
 
 
@@ -47,7 +54,8 @@ def normalised(
 
     The text is cleaned after deduplication, so dropped copies are never cleaned.
     """
-    kept = deduplicated(news, by_symbol, keep)
+    columns = ("ts", "symbol", "source", "title", "url", "content")
+    kept = deduplicated(news, by_symbol, keep, columns)
     text = F.col("content")
     if unicode_form:
         text = unicode_normalised(text, unicode_form)

@@ -92,15 +92,15 @@ def two_day(scores: DataFrame) -> DataFrame:
 def zscored(features: DataFrame) -> DataFrame:
     """``news_sent`` as z-score across the symbols of a day; null without spread.
 
-    Day statistics are aggregated and joined back: one row per calendar day travels, and
-    no task has to hold all symbols of a day.
+    Day statistics are aggregated and joined back, so no task has to hold all symbols of a
+    day. They are broadcast: one row of three numbers per calendar day, whatever the data.
     """
     stats = features.groupBy("date").agg(
         F.avg("news_sent").alias("_mean"), F.stddev_samp("news_sent").alias("_std")
     )
     spread = F.when(F.col("_std") > 0, F.col("_std"))
     z = (F.col("news_sent") - F.col("_mean")) / spread
-    joined = features.join(stats, "date", "left")
+    joined = features.join(F.broadcast(stats), "date", "left")
     return joined.select(
         *[z.alias(c) if c == "news_sent" else F.col(c) for c in features.columns]
     )

@@ -20,6 +20,8 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -57,12 +59,18 @@ class Series:
 
 
 def blocked(df: DataFrame, series: Series) -> DataFrame:
+    """Add the block number. Rows without a key belong to no series and are left out.
+
+    The explicit filter also keeps the branches below alike: a join would add it to one
+    of them only, and Spark could not share their common shuffle any more.
+    """
     if BLOCK in df.columns:
         return df
+    keyed = df.where(reduce(and_, [F.col(k).isNotNull() for k in series.keys]))
     if series.days is None:
-        return df.withColumn(BLOCK, F.lit(0).cast("bigint"))
+        return keyed.withColumn(BLOCK, F.lit(0).cast("bigint"))
     day = F.unix_date(F.col(series.order[0]).cast("date"))
-    return df.withColumn(BLOCK, F.floor(day / F.lit(series.days)))
+    return keyed.withColumn(BLOCK, F.floor(day / F.lit(series.days)))
 
 
 def with_history(df: DataFrame, series: Series, k: int, columns: list[str]) -> DataFrame:

@@ -30,15 +30,15 @@ def map_to_symbols(news: DataFrame, aliases: DataFrame) -> DataFrame:
     """
     names = aliases.select(F.lower("alias").alias("_alias"), F.col("symbol").alias("_to"))
     names = names.where(F.col("_alias") != "").groupBy("_alias").agg(F.min("_to").alias("_to"))
+    untagged = news.where(F.col("symbol").isNull())
     title = F.lower("title")
-    words = F.split(F.regexp_replace(title, r"[^\p{L}\p{N}]+", " "), " ")
-    open_news = news.where(F.col("symbol").isNull())
-    # position -1 is the whole title
-    terms = open_news.select("ingest_seq", F.lit(-1).alias("_at"), title.alias("_alias")).unionByName(
-        open_news.select("ingest_seq", F.posexplode(words).alias("_at", "_alias"))
-    )
+    words = F.array_distinct(F.split(F.regexp_replace(title, r"[^\p{L}\p{N}]+", " "), " "))
+    # the whole title counts as position -1
+    terms = untagged.select(
+        "ingest_seq", F.lit(-1).alias("_at"), title.alias("_alias")
+    ).unionByName(untagged.select("ingest_seq", F.posexplode(words).alias("_at", "_alias")))
     hits = terms.join(names, "_alias").groupBy("ingest_seq").agg(F.min_by("_to", "_at").alias("_to"))
-    return news.join(hits, "ingest_seq", "left").select(
-        *[F.coalesce("symbol", "_to").alias("symbol") if c == "symbol" else F.col(c)
-          for c in news.columns]
+    mapped = untagged.drop("symbol").join(hits, "ingest_seq", "left")
+    return news.where(F.col("symbol").isNotNull()).unionByName(
+        mapped.withColumnRenamed("_to", "symbol").select(*news.columns)
     )

@@ -67,6 +67,7 @@ def cents(df: DataFrame, *columns: str) -> DataFrame:
 
 
 PRICES = ("open", "high", "low", "close")
+HEADLINE = ("ingest_seq", "ts", "symbol", "source", "title", "url")
 TRADE = ("price", "cost", "commission")
 
 
@@ -84,9 +85,10 @@ def ohlcv(spark, sf_dir) -> DataFrame:
 
 def headline_scores(spark, sf_dir) -> DataFrame:
     """Scores per normalised headline; only embedded documents have one."""
-    raw = news.deduplicated(derived.news_raw(spark, sf_dir))
+    raw = derived.news_raw(spark, sf_dir)
+    kept = news.deduplicated(raw, columns=("ingest_seq", "ts", "symbol"))
     scores = sentiment.scored(derived.headline_logits(spark, sf_dir))
-    return raw.select(
+    return kept.select(
         "ingest_seq", "ts", F.coalesce("symbol", F.lit(news.UNKNOWN)).alias("symbol")
     ).join(scores, "ingest_seq")
 
@@ -96,18 +98,14 @@ def sectors(spark, sf_dir) -> DataFrame:
     return parts.groupBy(F.col("p_brand").alias("symbol")).agg(F.min("p_type").alias("sector"))
 
 
-def features_of(spark, sf_dir, bars) -> DataFrame:
-    rows = features.daily_features(bars)
+def rule_inputs(spark, sf_dir) -> DataFrame:
+    """What the rule reads: r20 and daily sentiment."""
+    rows = features.trailing_return(ohlcv(spark, sf_dir))
     return features.with_sentiment(rows, sentiment.daily(headline_scores(spark, sf_dir)))
 
 
-def signals_of(spark, sf_dir, bars) -> DataFrame:
-    return stage(signals.decide(features_of(spark, sf_dir, bars), **RULE), "aggregated_signals")
-
-
 def held_of(spark, sf_dir) -> DataFrame:
-    bars = ohlcv(spark, sf_dir)
-    return stage(backtest.positions(bars, signals_of(spark, sf_dir, bars)), "positions")
+    return stage(positions(spark, sf_dir), "positions")
 
 
 def equity_of(spark, sf_dir) -> DataFrame:
@@ -152,7 +150,8 @@ def rsi14(spark, sf_dir):
 
 @query("r20")
 def features_daily(spark, sf_dir):
-    rows = features_of(spark, sf_dir, ohlcv(spark, sf_dir))
+    rows = features.daily_features(ohlcv(spark, sf_dir))
+    rows = features.with_sentiment(rows, sentiment.daily(headline_scores(spark, sf_dir)))
     return features.with_sector(rows, sectors(spark, sf_dir))
 
 
@@ -259,20 +258,17 @@ def news_page(spark, sf_dir):
 
 @query()
 def news_dedup(spark, sf_dir):
-    kept = news.deduplicated(derived.news_raw(spark, sf_dir))
-    return kept.select("ingest_seq", "ts", "symbol", "source", "title", "url")
+    return news.deduplicated(derived.news_raw(spark, sf_dir), columns=HEADLINE)
 
 
 @query()
 def news_dedup_by_symbol(spark, sf_dir):
-    kept = news.deduplicated(derived.news_raw(spark, sf_dir), by_symbol=True)
-    return kept.select("ingest_seq", "ts", "symbol", "source", "title", "url")
+    return news.deduplicated(derived.news_raw(spark, sf_dir), by_symbol=True, columns=HEADLINE)
 
 
 @query()
 def news_dedup_latest(spark, sf_dir):
-    kept = news.deduplicated(derived.news_raw(spark, sf_dir), keep="latest")
-    return kept.select("ingest_seq", "ts", "symbol", "source", "title", "url")
+    return news.deduplicated(derived.news_raw(spark, sf_dir), keep="latest", columns=HEADLINE)
 
 
 @query()
@@ -354,25 +350,28 @@ def fundamentals_asof(spark, sf_dir):
 
 @query()
 def signals_daily(spark, sf_dir):
-    return signals.decide(features_of(spark, sf_dir, ohlcv(spark, sf_dir)), **RULE)
+    return signals.decide(rule_inputs(spark, sf_dir), **RULE)
 
 
 @query()
 def signals_zscore(spark, sf_dir):
-    rows = stage(features_of(spark, sf_dir, ohlcv(spark, sf_dir)), "features_daily")
+    rows = stage(rule_inputs(spark, sf_dir), "features_daily")
     return signals.decide(rows, zscore=True)
 
 
 @query()
 def orders(spark, sf_dir):
-    rows = features_of(spark, sf_dir, ohlcv(spark, sf_dir))
-    return signals.to_orders(signals.decide(rows, **RULE))
+    return signals.to_orders(signals.decide(rule_inputs(spark, sf_dir), **RULE))
 
 
 @query(*PRICES)
 def positions(spark, sf_dir):
     bars = ohlcv(spark, sf_dir)
-    return backtest.positions(bars, signals_of(spark, sf_dir, bars))
+    rows = features.with_sentiment(
+        features.trailing_return(bars), sentiment.daily(headline_scores(spark, sf_dir))
+    )
+    decided = stage(signals.decide(rows, **RULE), "aggregated_signals")
+    return backtest.positions(bars, decided)
 
 
 @query(*TRADE)
