@@ -49,8 +49,8 @@ def article_key(ts: Column, source: Column, title: Column) -> Column:
 
 
 def strip_symbols(text: Column) -> Column:
-    """Replace everything but letters, digits, spaces and the signs figures need."""
-    return F.trim(F.regexp_replace(text, r"[^\p{L}\p{N}\s$%.+-]+", " "))
+    """Letters, digits and the signs figures need; every run of anything else is one space."""
+    return F.trim(F.regexp_replace(text, r"[^\p{L}\p{N}$%.+-]+", " "))
 
 
 def strip_stopwords(text: Column) -> Column:

@@ -268,7 +268,7 @@ _SELECTS = {
     "universe_bars": f"select date, symbol, {_PRICES}, volume from bars where symbol in ({_TOP10})",
     "news_clean": f"select ingest_seq, {_clean('title')} as title_clean, {_clean('description')} as description_clean, {_clean('content')} as content_clean from news_raw",
     "url_strip": f"select page_id, {_clean('html')} as text from pages",
-    "symbol_strip": r"select doc_id, trim(regexp_replace(text, '[^\p{L}\p{N}\s$%.+-]+', ' ', 'g')) as text from documents",
+    "symbol_strip": r"select doc_id, trim(regexp_replace(text, '[^\p{L}\p{N}$%.+-]+', ' ', 'g')) as text from documents",
     "stopword_strip": rf"select doc_id, array_to_string(list_filter(regexp_split_to_array(text, '\s+'), lambda w: lower(w) not in ({_STOP})), ' ') as text from documents",
     "unicode_nfc": "select doc_id, nfc_normalize(text) as text from documents",
     "news_page": "select cast((list_position(['click', 'error', 'purchase', 'signup', 'view'], symbol) - 1) * 100 + n - 1 as bigint) as ingest_seq, symbol, ts, source, title, url from (select *, row_number() over (partition by symbol order by ingest_seq) as n from news_raw where symbol is not null) where n <= 100",

@@ -314,20 +314,19 @@ GOOD = r"\b(?:and|with|la|der|el)\b"
 BAD = r"\b(?:of|the|le|die|de)\b"
 
 
-def word_count_model():
-    good, bad = re.compile(GOOD, re.ASCII), re.compile(BAD, re.ASCII)
-
-    def model(titles):
-        low = [t.lower() for t in titles]
-        return [(len(bad.findall(t)), 1.0, len(good.findall(t))) for t in low]
+@query()
+def sentiment_model(spark, sf_dir):
+    def load():
+        good, bad = re.compile(GOOD, re.ASCII), re.compile(BAD, re.ASCII)
 
-    return model
+        def model(titles):
+            low = [t.lower() for t in titles]
+            return [(len(bad.findall(t)), 1.0, len(good.findall(t))) for t in low]
 
+        return model
 
-@query()
-def sentiment_model(spark, sf_dir):
     return sentiment.score_news(
-        derived.news_raw(spark, sf_dir), word_count_model, keep=("ingest_seq", "ts", "symbol")
+        derived.news_raw(spark, sf_dir), load, keep=("ingest_seq", "ts", "symbol")
     )
 
 
