@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 BLOCK = "_block"
 PAST = "_past"  # true for rows copied in from earlier blocks
 
-_LOG_LIMIT = 700.0  # exp() overflows a double near 709
+_LOG_LIMIT = 600.0  # exp() overflows near 709; the rest is room for the values
 
 
 @dataclass(frozen=True)

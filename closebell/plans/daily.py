@@ -89,7 +89,9 @@ def decide(spark: SparkSession, root: str, **rule) -> None:
 def backtest_and_measure(
     spark: SparkSession, root: str, symbols: Sequence[str], start: str, end: str, **account
 ) -> None:
-    """Backtest ``symbols`` over ``start <= date <= end``; store equity curve and metrics."""
+    """Backtest ``symbols`` over ``start <= date <= end``; store equity curve and metrics,
+    and record the run under its last day unless ``run_id`` is given."""
+    account.setdefault("run_id", end)
     _, _, equity = backtest.run_backtest(
         lake.read(spark, root, "ohlcv_daily"),
         lake.read(spark, root, "aggregated_signals"),
@@ -98,6 +100,12 @@ def backtest_and_measure(
     lake.replace(equity.select(*EQUITY.fieldNames()), root, "equity_curve")
     found = metrics.performance(lake.read(spark, root, "equity_curve"))
     lake.replace(found.select(*METRICS.fieldNames()), root, "metrics")
+    lake.record_run(spark, root, lake.read(spark, root, "metrics"), started=end)
+
+
+def report(spark: SparkSession, root: str) -> DataFrame:
+    """Metrics of the latest finished run as labelled lines."""
+    return metrics.labelled(metrics.latest_run(lake.read(spark, root, "runs")))
 
 
 def run_day(

@@ -43,13 +43,27 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+_STAGED: list[str] = []
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
-    Used where several branches of one plan read the same costly input: the raw
-    tables are then scanned once, later branches prune columns of the staged table,
-    and a lost executor costs a re-read instead of a recomputation.
+    Used where several branches of one plan read the same costly input: the raw tables are
+    then scanned once, later branches read only their columns of the staged table, and a
+    lost executor costs a re-read instead of a recomputation.
     """
     path = f"{shared_folder(df.sparkSession)}/closebell/{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
+    _STAGED.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_staged(spark: SparkSession) -> int:
+    """Delete the tables this process has staged, once no result needs them any more."""
+    paths, dropped = spark._jvm.org.apache.hadoop.fs.Path, 0
+    while _STAGED:
+        path = paths(_STAGED.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        dropped += 1
+    return dropped

@@ -10,10 +10,18 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+
+_SCHEMAS: dict[str, StructType] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table. Its schema is looked up once, not by a job for every read."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def _bars(rows: DataFrame, price: str, order: Column, volume: Column) -> DataFrame:

@@ -86,10 +86,22 @@ def load_news_norm(spark, root, symbols, start_ts, end_ts) -> DataFrame:
 
 
 def write_atomic(
-    df: DataFrame, path: str, schema: StructType, partitions: Sequence[str] = ()
+    df: DataFrame,
+    path: str,
+    schema: StructType,
+    partitions: Sequence[str] = (),
+    rows_per_file: int = 0,
 ) -> None:
-    """Replace a table, or with ``partitions`` the partitions that occur in ``df``."""
-    writer = conform(df, schema).write.mode("overwrite").option("compression", "zstd")
+    """Replace a table, or with ``partitions`` the partitions that occur in ``df``.
+
+    Rows are rebalanced by partition first: one file instead of one per task for a small
+    partition, while adaptive execution splits a partition too large for one task.
+    """
+    rows = conform(df, schema)
+    if partitions:
+        rows = rows.hint("rebalance", *partitions)
+    writer = rows.write.mode("overwrite").option("compression", "zstd")
+    writer = writer.option("maxRecordsPerFile", rows_per_file)
     if partitions:
         writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partitions)
     writer.parquet(path)
@@ -116,7 +128,7 @@ def upsert(
     """Insert or replace rows by key; rows of other keys stay.
 
     When every key column is a partition column, replacing the partitions is enough. With a
-    coarser layout (one folder per date, say) a partition also holds rows of other keys,
+    coarser layout (one folder per date, or none) a partition also holds rows of other keys,
     which are read from the touched partitions and written back with the new rows.
     """
     spark = df.sparkSession
@@ -124,10 +136,9 @@ def upsert(
     if not set(keys) <= set(partitions) and exists(spark, path):
         new = stage(new, "upsert-new")
         old = spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
-        touched = new.select(*partitions).distinct()
-        kept = old.join(touched, list(partitions), "left_semi").join(
-            new.select(*keys), list(keys), "left_anti"
-        )
+        if partitions:
+            old = old.join(new.select(*partitions).distinct(), list(partitions), "left_semi")
+        kept = old.join(new.select(*keys), list(keys), "left_anti")
         new = stage(kept.unionByName(new), "upsert-merged")
     write_atomic(new, path, schema, partitions)
 
@@ -139,6 +150,17 @@ def upsert_bars(df: DataFrame, root: str, partitions: Sequence[str] | None = Non
            dataset.partitions if partitions is None else partitions)
 
 
+def record_run(
+    spark: SparkSession, root: str, metrics: DataFrame, started: str, status: str = "FINISHED"
+) -> None:
+    """Add the metrics of runs to the table of runs; a rerun replaces its own row."""
+    dataset = DATASETS["runs"]
+    rows = metrics.select(
+        "*", F.lit(started).cast("timestamp").alias("start_time"), F.lit(status).alias("status")
+    ).select(*dataset.schema.fieldNames())
+    upsert(rows, path_of(root, "runs"), dataset.schema, dataset.keys, dataset.partitions)
+
+
 def compact(
     spark: SparkSession,
     path: str,
@@ -150,13 +172,8 @@ def compact(
     """Rewrite a table, or the partitions ``where`` selects, into few large files."""
     rows = spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
     rows = stage(rows.where(where) if where else rows, "compact")
-    # REBALANCE merges small and splits large shuffle partitions, hot dates included
-    packed = rows.hint("rebalance", *[F.col(c) for c in partitions])
-    writer = packed.write.mode("overwrite").option("compression", "zstd")
-    writer = writer.option("maxRecordsPerFile", rows_per_file)
-    if partitions:
-        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partitions)
-    writer.parquet(path)
+    packed = rows if partitions else rows.hint("rebalance")
+    write_atomic(packed, path, schema, partitions, rows_per_file)
 
 
 def write_equity_csv(df: DataFrame, path: str) -> None:

@@ -59,6 +59,9 @@ def test_a_day(spark, landed_root, tmp_path):
     assert first["metrics"][0][1] > 0  # the rising symbol was bought
     run(spark, landed_root, root)
     assert {n: table(n) for n in names} == first
+    assert [r[0] for r in table("runs")] == [RUN]
+    lines = {r.label: r.value for r in daily.report(spark, root).collect()}
+    assert lines["Total Return"] == f"{first['metrics'][0][1]:.4f}"
 
 
 def test_modes(spark, landed_root, tmp_path):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from closebell import schemas
 from closebell.operators import fundamentals, news, quality
 from closebell.schemas import EQUITY, NEWS_NORM, NEWS_RAW, OHLCV
-from closebell.session import shared_folder, stage
+from closebell.session import drop_staged, shared_folder, stage
 from closebell.sources import lake, landed
 from closebell.streaming import news as streaming
 
@@ -103,7 +103,10 @@ def test_stage_uses_the_named_folder(spark):
     folder = shared_folder(spark)
     staged = stage(spark.range(5), "five")
     assert staged.count() == 5
-    assert all(folder in f for f in staged.inputFiles())
+    files = staged.inputFiles()
+    assert all(folder in f for f in files)
+    assert drop_staged(spark) >= 1
+    assert not any(os.path.exists(f.removeprefix("file://")) for f in files)
 
 
 def put(root, kind, symbol, name, lines):
@@ -224,6 +227,17 @@ def test_checksums_and_row_counts(spark, tmp_path):
     assert seen.get["rows"] == 40
 
 
+def test_runs_are_recorded_once(spark, tmp_path):
+    one = spark.createDataFrame([("a", 0.1, 0.2, 0.3, -0.1)], schemas.METRICS)
+    two = spark.createDataFrame([("b", 0.2, 0.2, 0.3, -0.1)], schemas.METRICS)
+    root = str(tmp_path)
+    lake.record_run(spark, root, one, "2024-01-01")
+    lake.record_run(spark, root, two, "2024-01-02", "FAILED")
+    lake.record_run(spark, root, one.withColumn("total_return", F.lit(0.5)), "2024-01-03")
+    assert rows_of(lake.read(spark, root, "runs"), "run_id", "status", "total_return") == [
+        ("a", "FINISHED", "0.5"), ("b", "FAILED", "0.2")]
+
+
 def test_registry():
     assert {"ohlcv_daily", "news_norm", "features_daily", "orders"} <= set(schemas.list_datasets())
     assert schemas.get_schema("ohlcv_daily") == OHLCV
