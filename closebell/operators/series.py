@@ -84,14 +84,7 @@ def with_history(df: DataFrame, series: Series, k: int, columns: list[str]) -> D
     if series.days is None:
         return own
     carried = [c for c in columns if c not in series.order]
-    newest_first = Window.partitionBy(*series.parts).orderBy(*[F.desc(c) for c in series.order])
-    tails = (
-        rows.select(*series.parts, *series.order, *carried)
-        .withColumn("_rank", F.row_number().over(newest_first))
-        .where(F.col("_rank") <= k)
-        .groupBy(*series.parts)
-        .agg(F.sort_array(F.collect_list(F.struct(*series.order, *carried))).alias("_tail"))
-    )
+    tails = _tails(rows, series, k, carried)
     # every block has at least one row, so the last k rows lie in the last k blocks
     before = F.flatten(F.collect_list("_tail").over(series.earlier_blocks(k)))
     past = (
@@ -107,6 +100,26 @@ def with_history(df: DataFrame, series: Series, k: int, columns: list[str]) -> D
     return own.unionByName(past, allowMissingColumns=True)
 
 
+def _tails(rows: DataFrame, series: Series, k: int, columns: list[str]) -> DataFrame:
+    """The last ``k`` rows of every block as an array ``_tail``, oldest first.
+
+    Both forms reduce rows before the shuffle: a hash aggregation for the last row alone,
+    a group limit otherwise.
+    """
+    if k == 1 and len(series.order) == 1:
+        at = series.order[0]
+        last = F.struct(F.max(at).alias(at), *[F.max_by(c, at).alias(c) for c in columns])
+        return rows.groupBy(*series.parts).agg(F.array(last).alias("_tail"))
+    newest_first = Window.partitionBy(*series.parts).orderBy(*[F.desc(c) for c in series.order])
+    return (
+        rows.select(*series.parts, *series.order, *columns)
+        .withColumn("_rank", F.row_number().over(newest_first))
+        .where(F.col("_rank") <= k)
+        .groupBy(*series.parts)
+        .agg(F.sort_array(F.collect_list(F.struct(*series.order, *columns))).alias("_tail"))
+    )
+
+
 def own_rows(df: DataFrame) -> DataFrame:
     """Drop the rows ``with_history`` added."""
     return df.where(~F.col(PAST)).drop(PAST)

@@ -236,7 +236,7 @@ _TOP10 = "select symbol from bars group by symbol order by avg(close * volume) d
 def _macd() -> str:
     fast, slow, sig = "(2e0 / 13)", "(2e0 / 27)", "(2e0 / 10)"
     return (
-        f"select date, symbol, {_r('macd')}, {_r(_ewm('macd', sig), 'macd_signal')} from "
+        f"select date, symbol, {_r('macd', digits=4)}, {_r(_ewm('macd', sig), 'macd_signal', 4)} from "
         f"(select *, {_ewm('close', fast)} - {_ewm('close', slow)} as macd from "
         f"(select date, symbol, close, row_number() over ({SPAN}) - 1 as i from bars))"
     )
@@ -244,7 +244,7 @@ def _macd() -> str:
 
 def _atr() -> str:
     return (
-        f"select date, symbol, {_r(_ewm('tr', ALPHA), 'atr')} from (select date, symbol, i, "
+        f"select date, symbol, {_r(_ewm('tr', ALPHA), 'atr', 4)} from (select date, symbol, i, "
         "greatest(high - low, coalesce(abs(high - p), 0), coalesce(abs(low - p), 0)) as tr from "
         f"(select *, lag(close) over ({SPAN}) as p, row_number() over ({SPAN}) - 1 as i from bars))"
     )

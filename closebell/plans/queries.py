@@ -61,9 +61,11 @@ def rounded(df: DataFrame, exact: tuple[str, ...] = ()) -> DataFrame:
     )
 
 
-def cents(df: DataFrame, *columns: str) -> DataFrame:
-    """Large running sums of money, to two decimals."""
-    return df.select(*[F.round(c, 2).alias(c) if c in columns else F.col(c) for c in df.columns])
+def coarser(df: DataFrame, digits: int, *columns: str) -> DataFrame:
+    """Fewer decimals for large values, whose last digits depend on the order of addition."""
+    return df.select(
+        *[F.round(c, digits).alias(c) if c in columns else F.col(c) for c in df.columns]
+    )
 
 
 PRICES = ("open", "high", "low", "close")
@@ -172,12 +174,12 @@ def rolling_vol20(spark, sf_dir):
 
 @query()
 def macd(spark, sf_dir):
-    return features.macd(ohlcv(spark, sf_dir))
+    return coarser(features.macd(ohlcv(spark, sf_dir)), 4, "macd", "macd_signal")
 
 
 @query()
 def atr14(spark, sf_dir):
-    return features.average_true_range(ohlcv(spark, sf_dir))
+    return coarser(features.average_true_range(ohlcv(spark, sf_dir)), 4, "atr")
 
 
 @query(*PRICES)
@@ -385,16 +387,14 @@ def trades_slippage(spark, sf_dir):
 
 @query()
 def equity_curve(spark, sf_dir):
-    return cents(
-        backtest.equity_by_symbol(held_of(spark, sf_dir), cash=CASH), "cash", "equity"
-    )
+    account = backtest.equity_by_symbol(held_of(spark, sf_dir), cash=CASH)
+    return coarser(account, 2, "cash", "equity")
 
 
 @query()
 def equity_portfolio(spark, sf_dir):
-    return cents(
-        backtest.equity_portfolio(held_of(spark, sf_dir), cash=CASH), "cash", "equity"
-    )
+    account = backtest.equity_portfolio(held_of(spark, sf_dir), cash=CASH)
+    return coarser(account, 2, "cash", "equity")
 
 
 @query()
@@ -434,7 +434,8 @@ def metric_labels(spark, sf_dir):
 
 @query()
 def drawdown_breaker(spark, sf_dir):
-    return cents(metrics.breaker(equity_of(spark, sf_dir), limit=-0.005), "equity", "peak")
+    curve = metrics.breaker(equity_of(spark, sf_dir), limit=-0.005)
+    return coarser(curve, 2, "equity", "peak")
 
 
 @query()

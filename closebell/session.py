@@ -21,6 +21,8 @@ def local_session(cores: str = "8", app: str = "closebell", **extra: str) -> Spa
         "spark.driver.memory": "12g",
         "spark.sql.shuffle.partitions": cores if cores.isdigit() else "8",
         "spark.sql.parquet.compression.codec": "zstd",
+        # no call-site capture per column expression: building plans takes a third less time
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **extra,
     }
     for key, value in settings.items():

@@ -61,6 +61,16 @@ def test_history_makes_lags_exact(df, frame, series):
     np.testing.assert_array_equal(got["n"], n)
 
 
+def test_history_of_one_row(df, frame, series):
+    rows = with_history(df, series, 1, ["x", "flag"])
+    w = series.window()
+    got = _sorted(own_rows(rows.select(
+        "*", F.lag("x").over(w).alias("lx"), F.lag("date").over(w).alias("ld"))))
+    by = frame.sort_values(["symbol", "date"]).reset_index(drop=True).groupby("symbol")
+    np.testing.assert_array_equal(got["lx"], by["x"].shift(1))
+    assert [d for d in got["ld"] if d is not None] == [d for d in by["date"].shift(1) if not pd.isna(d)]
+
+
 def test_running(df, frame, series):
     got = _sorted(running(df, series, s=("sum", "x"), m=("max", "x"), f=("last", "flag")))
     want = frame.sort_values(["symbol", "date"]).reset_index(drop=True)
