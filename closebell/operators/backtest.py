@@ -20,19 +20,25 @@ STAKE = 1
 
 
 def with_signals(bars: DataFrame, signals: DataFrame) -> DataFrame:
-    """Bars with the ``side`` decided on them; null on days without a signal."""
-    return bars.join(signals.select("symbol", "date", "side"), ["symbol", "date"], "left")
+    """``symbol, date, open, close`` of every bar and the ``side`` decided on it, or null."""
+    sides = signals.select("symbol", "date", "side")
+    return bars.select("symbol", "date", "open", "close").join(sides, ["symbol", "date"], "left")
 
 
-def positions(bars: DataFrame, signals: DataFrame, series: Series = BARS) -> DataFrame:
+def positions(
+    bars: DataFrame, signals: DataFrame | None = None, series: Series = BARS
+) -> DataFrame:
     """``symbol, date, open, close, pos, fill`` per bar; pos is 1 (long) or 0 (flat).
 
+    Without ``signals`` the bars have a ``side`` already (see ``with_signals``); staging
+    those first saves repeating the join in the branches below.
+
     BUY counts only when flat and SELL only when long, because repeating a side changes
     nothing. ``fill`` is the change of position at this bar's open.
     """
     target = F.when(F.col("side") == "BUY", 1).when(F.col("side") == "SELL", 0)
-    rows = with_signals(bars.select("symbol", "date", "open", "close"), signals)
-    rows = rows.withColumn("_target", target).drop("side")
+    decided = bars if signals is None else with_signals(bars, signals)
+    rows = decided.select("symbol", "date", "open", "close", target.alias("_target"))
     w = series.window()
     rows = own_rows(
         with_history(rows, series, 2, ["_target"]).select(
@@ -231,7 +237,7 @@ def run_backtest(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(positions, trades, portfolio equity) for bars with ``start <= date <= end``.
 
-    Positions are staged: both results read them more than once.
+    Bars with their signals, and positions, are staged: both are read more than once.
     """
     if symbols is not None:
         bars = bars.where(F.col("symbol").isin(*symbols))
@@ -239,6 +245,7 @@ def run_backtest(
         bars = bars.where(F.col("date") >= F.lit(start).cast("date"))
     if end is not None:
         bars = bars.where(F.col("date") <= F.lit(end).cast("date"))
-    held = stage(positions(bars, signals, series), "positions")
+    decided = stage(with_signals(bars, signals), "decided")
+    held = stage(positions(decided, series=series), "positions")
     fees = {k: v for k, v in account.items() if k in ("stake", "commission", "slippage_bps")}
     return held, trades(held, **fees), equity_portfolio(held, series=series, **account)

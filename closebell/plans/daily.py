@@ -13,9 +13,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from closebell.functions.dates import days_before
-from closebell.operators import backtest, features, fundamentals, metrics, news, sentiment, signals
-from closebell.schemas import EQUITY, FEATURES, METRICS, SENTIMENT, SIGNALS
-from closebell.session import stage
+from closebell.operators import (
+    backtest,
+    features,
+    fundamentals,
+    metrics,
+    news,
+    quality,
+    sentiment,
+    signals,
+)
+from closebell.schemas import DATASETS, EQUITY, FEATURES, METRICS, SENTIMENT, SIGNALS
 from closebell.sources import lake, landed
 
 # 20 bars of look-back need about 30 calendar days; more for holidays and gaps
@@ -108,6 +116,18 @@ def report(spark: SparkSession, root: str) -> DataFrame:
     return metrics.labelled(metrics.latest_run(lake.read(spark, root, "runs")))
 
 
+def nightly_checks(
+    spark: SparkSession, root: str, today: str, names: Sequence[str] = ("ohlcv_daily", "news_norm")
+) -> None:
+    """Raise when a table breaks its contract, has null or repeated keys, or is out of date."""
+    for name in names:
+        dataset, rows = DATASETS[name], lake.read(spark, root, name)
+        quality.require(rows, dataset.schema, dataset.keys)
+        state = quality.freshness(rows, today, dataset.max_age_days, dataset.date_column).first()
+        if not state.fresh:
+            raise quality.ContractError(f"{name} is out of date: latest is {state.latest}")
+
+
 def run_day(
     spark: SparkSession,
     landed_root: str,

@@ -371,8 +371,8 @@ def positions(spark, sf_dir):
     rows = features.with_sentiment(
         features.trailing_return(bars), sentiment.daily(headline_scores(spark, sf_dir))
     )
-    decided = stage(signals.decide(rows, **RULE), "aggregated_signals")
-    return backtest.positions(bars, decided)
+    decided = backtest.with_signals(bars, signals.decide(rows, **RULE))
+    return backtest.positions(stage(decided, "decided"))
 
 
 @query(*TRADE)

@@ -8,12 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from closebell.functions.dates import day_part, utc_date, utc_timestamp
 from closebell.schemas import LANDED_BARS, LANDED_NEWS, LANDED_STATEMENTS, NEWS_RAW
+from closebell.session import stage
 
 BROKEN = "_broken"
 PAGE_SIZE = 100  # articles a vendor returns per symbol and request
@@ -81,9 +82,11 @@ def read_statements(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Income, balance and cash flow items with their landed position ``pos``.
 
-    A symbol with any unreadable record is left out whole; ``quarantine`` lists it.
+    A symbol with any unreadable record is left out whole; ``quarantine`` lists it. The
+    parsed records are staged, because the three results read one array each.
     """
     landed = _sound_symbols(_read_json(spark, root, LANDED_STATEMENTS, symbols))
+    landed = stage(landed.select("symbol", "record"), "statements")
 
     def items(statement: str) -> DataFrame:
         exploded = landed.select(
@@ -132,8 +135,6 @@ def read_news(
 
 def page_per_symbol(articles: DataFrame, symbols: Sequence[str], page_size: int) -> DataFrame:
     """The first ``page_size`` rows per symbol by ``seq, at``, numbered as ``ingest_seq``."""
-    from pyspark.sql import Window
-
     in_order = Window.partitionBy("symbol").orderBy("seq", "at")
     rank = F.array_position(F.array(*[F.lit(s) for s in symbols]), F.col("symbol")) - 1
     return (

@@ -10,7 +10,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from closebell.session import local_session
 
-    session = local_session("8", "closebell-tests", **{"spark.driver.memory": "6g"})
+    session = local_session("8", "closebell-tests", **{"spark.sql.shuffle.partitions": "4"})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -5,6 +5,7 @@ import json
 
 import pytest
 
+from closebell.operators.quality import ContractError
 from closebell.plans import daily
 from closebell.sources import lake
 
@@ -62,6 +63,9 @@ def test_a_day(spark, landed_root, tmp_path):
     assert [r[0] for r in table("runs")] == [RUN]
     lines = {r.label: r.value for r in daily.report(spark, root).collect()}
     assert lines["Total Return"] == f"{first['metrics'][0][1]:.4f}"
+    daily.nightly_checks(spark, root, RUN)
+    with pytest.raises(ContractError, match="out of date"):
+        daily.nightly_checks(spark, root, "2024-04-01")
 
 
 def test_modes(spark, landed_root, tmp_path):

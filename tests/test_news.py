@@ -84,6 +84,8 @@ def test_scoring_calls_the_model_in_batches(spark):
     rows = sentiment.score_news(df, load_words(), batch=2, keep=("ingest_seq", "ts", "symbol")).collect()
     got = {r.ingest_seq: r for r in rows}
     e = math.e
+    spread = sentiment.score_news(df, load_words(), batch=2, tasks=3)
+    assert spread.rdd.getNumPartitions() == 3 and spread.count() == 7
     assert len(got) == 7 and got[4].news_sent == 0.0  # a null title scores as empty text
     assert got[0].news_sent == pytest.approx((e - 1) / (e + 2))
     assert got[0].news_conf == pytest.approx((e + 1) / (e + 2))

@@ -97,7 +97,7 @@ def walk():
 
 @pytest.mark.parametrize("s", [Series(days=32), Series(days=None)], ids=["32d", "whole"])
 def test_positions_and_equity_match_an_event_loop(spark, walk, s):
-    held = backtest.positions(*make(spark, walk), s).cache()
+    held = backtest.positions(*make(spark, walk), series=s).cache()
     got = {(r.symbol, r.date): (r.pos, r.fill) for r in held.collect()}
     equity = {(r.run_id, r.date): r.equity for r in backtest.equity_by_symbol(held, series=s).collect()}
     fills = 0
