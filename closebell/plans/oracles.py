@@ -293,7 +293,7 @@ _SELECTS = {
     "sentiment_model": rf"select ingest_seq, ts, symbol, {_SENT} from (select *, {_softmax('l')} from (select *, [len(regexp_extract_all(lower(title), '\b(?:of|the|le|die|de)\b')), 1, len(regexp_extract_all(lower(title), '\b(?:and|with|la|der|el)\b'))] as l from news_raw))",
     "fundamentals_merge": f"select symbol, date, {_STATEMENT} from fundamentals",
     "fundamentals_asof": f"select symbol, date, fact_date, {_STATEMENT} from known",
-    "signals_daily": f"select {_SIGNAL} from signals",
+    "signals": f"select {_SIGNAL} from signals",
     "signals_zscore": f"select {_SIGNAL} from ({_decide('(select date, symbol, r20, (news_sent - avg(news_sent) over (partition by date)) / nullif(stddev_samp(news_sent) over (partition by date), 0) as news_sent from features)', 0.5, -0.5)})",
     "orders": f"select date, symbol, side, cast(1 as integer) as qty, reason, {_r('conf')} from signals where side <> 'HOLD'",
     "positions": f"select symbol, date, open, close, pos, fill from positions",
@@ -309,7 +309,7 @@ _SELECTS = {
     "turnover": f"select run_id, {_r('coalesce(traded, 0)', 'traded')}, {_r('coalesce(traded, 0) / m', 'turnover')} from (select run_id, avg(equity) as m from equity group by 1) left join (select symbol as run_id, sum(cost) as traded from trades group by 1) using (run_id)",
     "closed_trades": f"select symbol, opened, date, qty, entry, exit, profit from closed",
     "position_scaling": f"select symbol, date, profit, {_r('p', 'p_success')}, {_r('case when p is null then 1 when p >= 0.5 then p else 0 end', 'scale')} from (select *, avg(case when profit > 0 then 1e0 else 0e0 end) over ({SPAN} rows between 5 preceding and 1 preceding) as p from closed)",
-    "performance": "select run_id, " + ", ".join(_r(m) for m in ("total_return", "annualized_volatility", "sharpe_ratio", "max_drawdown")) + " from metrics",
+    "metrics": "select run_id, " + ", ".join(_r(m) for m in ("total_return", "annualized_volatility", "sharpe_ratio", "max_drawdown")) + " from metrics",
     "metric_labels": "select run_id, label, printf('%.4f', v) as value from (" + " union all ".join(
         f"select run_id, '{label}' as label, {m} as v from metrics" for m, label in (
             ("total_return", "Total Return"), ("annualized_volatility", "Annualized Volatility"),

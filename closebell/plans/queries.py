@@ -39,13 +39,18 @@ RULE = {"min_alpha_buy": 0.1, "max_alpha_sell": -0.1}
 CASH = 2_000_000.0
 
 
-def query(*exact: str) -> Callable[[Query], Query]:
-    """Register a query. Its float columns are rounded to 6 decimals, except ``exact`` ones:
-    those come from single values by plain arithmetic and are equal to the last bit, while
-    sums and exponentials depend on the order of addition."""
+def query(*exact: str, name: str | None = None) -> Callable[[Query], Query]:
+    """Register a query under its function's name, or ``name``.
+
+    Its float columns are rounded to 6 decimals, except ``exact`` ones: those come from
+    single values by plain arithmetic and are equal to the last bit, while sums and
+    exponentials depend on the order of addition.
+    """
 
     def register(build: Query) -> Query:
-        QUERIES[build.__name__] = lambda spark, sf_dir: rounded(build(spark, sf_dir), exact)
+        QUERIES[name or build.__name__] = lambda spark, sf_dir: rounded(
+            build(spark, sf_dir), exact
+        )
         return build
 
     return register
@@ -349,7 +354,7 @@ def fundamentals_asof(spark, sf_dir):
 # --- decisions and backtest -------------------------------------------------------------
 
 
-@query()
+@query(name="signals")
 def signals_daily(spark, sf_dir):
     return signals.decide(rule_inputs(spark, sf_dir), **RULE)
 
@@ -422,7 +427,7 @@ def position_scaling(spark, sf_dir):
     )
 
 
-@query()
+@query(name="metrics")
 def performance(spark, sf_dir):
     return metrics.performance(equity_of(spark, sf_dir))
 

@@ -57,7 +57,7 @@ def test_without_broadcast_joins(spark, skewed):
     for key, value in settings.items():
         spark.conf.set(key, value)
     try:
-        for name in ("bars_daily", "news_returns", "performance", "fundamentals_asof"):
+        for name in ("bars_daily", "news_returns", "metrics", "fundamentals_asof"):
             df = entry_module.queries()[name](spark, skewed)
             assert compare(df, connect(skewed), entry_module.oracle_sql()[name]) is None
     finally:
