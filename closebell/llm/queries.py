@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from closebell.llm import decontaminate, host_quality, mixing, secrets, simhash
+from closebell.llm import decontaminate, host_quality, mixing, secrets, simhash, suffix_dedup
 from closebell.sources.derived import table
 
 SECRET_BASE = ("assign", "access", "hex")
@@ -52,6 +52,13 @@ def op7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op10_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = host_quality.judge(table(spark, sf_dir, "documents").select(
         "doc_id", "text", "source"))
@@ -66,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontaminate": op2_decontaminate,
     "op4_simhash": op4_simhash,
     "op7_mix": op7_mix,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op10_host_quality": op10_host_quality,
 }
 
