@@ -1,0 +1,68 @@
+"""License scans: held-out accuracy, the choice by stem, and the planted lines of the test tables."""
+
+import random
+
+import pytest
+
+from closebell.llm import licenses as L
+from closebell.llm.queries import QUERIES
+
+PLANTED = {
+    "Licensed under the Apache License, Version 2.0.": "Apache-2.0",
+    "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0",
+    "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0",
+    "Released under the MIT License.": "MIT",
+}
+
+
+@pytest.fixture(scope="module")
+def classifier(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    return L.train(docs, sample_docs=100, sample_lines=500)
+
+
+def test_held_out_accuracy(spark, classifier):
+    rng = random.Random(3)
+    rows = []
+    for family, texts in L.TEMPLATES.items():
+        for text in texts:
+            for _ in range(5):  # variants that training never makes
+                before = " ".join(rng.choices(["file", "module", "Copyright", "2020", "by", "Jo"], k=3))
+                rows.append((f"{before} - {text.lower()} ({rng.randint(1, 99)})", family))
+    plain = ["the quick brown fox", "one two three four five six seven", "alpha beta gamma delta"]
+    rows += [(f"{rng.choice(plain)} {i}", L.UNKNOWN) for i in range(40)]
+    df = spark.createDataFrame(rows, "paragraph string, wanted string")
+    right = [r.family == r.wanted for r in L.classify(df, classifier).collect()]
+    assert sum(right) >= 0.9 * len(right)
+
+
+def test_finds_templates_and_leaves_clean_text(spark, classifier):
+    texts = list(PLANTED) + [
+        None, "", "Nothing to see here.\nA license to kill.", "x\n\nreleased under the mit license",
+        "Licensed under the Moon License, Version 7.1 of the Apache people",
+        "word " * 50_000 + "\n" + next(iter(PLANTED)),
+    ]
+    docs = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)],
+                                 "doc_id long, text string, family int")
+    got = {(r.doc_id, r.line, r.family) for r in L.find(docs, classifier).collect()}
+    assert got == {(i, 0, f) for i, f in enumerate(PLANTED.values())} | {
+        (7, 2, "MIT"), (9, 1, "Apache-2.0")}
+
+
+def test_similarity_bound_and_empty_table(spark, classifier):
+    with pytest.raises(ValueError):
+        L.find(spark.createDataFrame([], "doc_id long, text string"), classifier, min_similarity=0.5)
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    assert L.find(empty, classifier).count() == 0
+    assert L.scan(empty).count() == 0
+
+
+def test_whole_query(spark):
+    sf = "/root/testdata/sf0.01"
+    want = set()
+    for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect():
+        for i, line in enumerate(r.text.split("\n")):
+            if line in PLANTED:
+                want.add((r.doc_id, i, PLANTED[line]))
+    got = {(r.doc_id, r.line, r.family) for r in QUERIES["op6_licenses"](spark, sf).collect()}
+    assert want and want == got
