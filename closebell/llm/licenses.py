@@ -26,6 +26,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from closebell.session import stage
+
 UNKNOWN = "unknown"
 SHINGLE = 5
 MIN_SIMILARITY = 0.8
@@ -158,27 +160,29 @@ def train(
     )
     hashing = HashingTF(inputCol="_grams", outputCol="features", numFeatures=dimensions, binary=True)
     rows = _features(known.unionByName(unknown), hashing)
+    grid = [0.25, 0.35, 0.5, 0.7, 1.0, 1.4, 2.0, 2.8, 4.0]
     held_out = F.pmod(F.xxhash64("paragraph"), F.lit(4)) == 0
     # few rows: one partition each keeps the iterations short
     fit_rows = rows.where(~held_out).select("features", "label").coalesce(2)
     model = LogisticRegression(
         family="multinomial", regParam=regularisation, maxIter=40).fit(fit_rows)
     scored = model.transform(rows.where(held_out)).select(
-        "label", vector_to_array("rawPrediction").alias("raw")).coalesce(2)
-    grid = [0.25, 0.35, 0.5, 0.7, 1.0, 1.4, 2.0, 2.8, 4.0]
+        F.col("label").cast("int").alias("label"), vector_to_array("rawPrediction").alias("raw")
+    ).coalesce(2).withColumn("top", F.array_max("raw"))
     losses = scored.agg(*[
-        F.avg(-F.log(_softmax(F.col("raw"), F.col("label").cast("int"), t) + 1e-12)).alias(f"t{i}")
+        F.avg(-F.log(_softmax(F.element_at("raw", F.col("label") + 1), t) + 1e-12)).alias(f"t{i}")
         for i, t in enumerate(grid)
     ]).first()
     temperature = grid[min(range(len(grid)), key=lambda i: losses[i])]
     return Classifier(model, hashing, temperature)
 
 
-def _softmax(raw: Column, index: Column, temperature: float) -> Column:
-    """The probability of class ``index`` at a temperature, shifted so that nothing overflows."""
-    top = F.array_max(raw)
-    scaled = F.transform(raw, lambda x: F.exp((x - top) / temperature))
-    return F.element_at(scaled, index + 1) / F.aggregate(scaled, F.lit(0.0), lambda a, x: a + x)
+def _softmax(score: Column, temperature: float) -> Column:
+    """The probability of a class with this ``score`` among the scores ``raw``, whose largest is
+    ``top`` (named columns, as each is used several times)."""
+    total = F.aggregate(
+        "raw", F.lit(0.0), lambda a, x: a + F.exp((x - F.col("top")) / F.lit(temperature)))
+    return F.exp((score - F.col("top")) / F.lit(temperature)) / total
 
 
 def _has_stem(text: Column) -> Column:
@@ -187,25 +191,26 @@ def _has_stem(text: Column) -> Column:
 
 def classify(rows: DataFrame, classifier: Classifier) -> DataFrame:
     """Adds ``words``, ``family`` (the likeliest class) and its calibrated ``probability``."""
-    scored = classifier.model.transform(_features(rows, classifier.hashing))
-    raw, index = vector_to_array("rawPrediction"), F.col("prediction").cast("int")
     names = F.array(*[F.lit(c) for c in CLASSES])
+    scored = classifier.model.transform(_features(rows, classifier.hashing)).select(
+        *rows.columns, "words", F.col("prediction").cast("int").alias("_class"),
+        vector_to_array("rawPrediction").alias("raw"),
+    ).withColumn("top", F.array_max("raw"))
     return scored.select(
-        *rows.columns, "words", F.element_at(names, index + 1).alias("family"),
-        _softmax(raw, index, classifier.temperature).alias("probability"),
+        *rows.columns, "words", F.element_at(names, F.col("_class") + 1).alias("family"),
+        _softmax(F.col("top"), classifier.temperature).alias("probability"),
     )
 
 
-def similarity(words: Column, family: Column) -> Column:
+def _similarity(shingles: Column, family: Column) -> Column:
     """The largest share of a template's shingles, over the templates of ``family``."""
-    shingles = _grams(words, SHINGLE)
     result = F.lit(0.0)
     for name, texts in TEMPLATES.items():
-        shares = []
-        for text in texts:
-            wanted = _plain_shingles(text)
-            held = F.size(F.array_intersect(shingles, F.array(*[F.lit(s) for s in wanted])))
-            shares.append(held / F.lit(float(len(wanted))))
+        wanted = [_plain_shingles(t) for t in texts]
+        shares = [
+            F.size(F.array_intersect(shingles, F.array(*[F.lit(s) for s in w]))) / float(len(w))
+            for w in wanted
+        ]
         best = F.greatest(*shares) if len(shares) > 1 else shares[0]
         result = F.when(family == name, best).otherwise(result)
     return result
@@ -221,11 +226,13 @@ def find(
         raise ValueError(f"min_similarity must be at least {MIN_SIMILARITY}")
     marked = docs.where(_has_stem(F.col(text)))
     lines = paragraphs(marked, text, id_column).where(_has_stem(F.col("paragraph")))
-    judged = classify(lines, classifier).where(
+    # lines with a stem are few; staged, so that no expression of the model runs twice
+    judged = stage(classify(lines, classifier), "licence-lines").where(
         (F.col("family") != UNKNOWN) & (F.col("probability") >= min_probability))
-    return judged.withColumn(
-        "similarity", similarity(F.col("words"), F.col("family"))
-    ).where(F.col("similarity") >= min_similarity).drop("words")
+    shingled = judged.withColumn("_shingles", _grams(F.col("words"), SHINGLE))
+    return shingled.withColumn(
+        "similarity", _similarity(F.col("_shingles"), F.col("family"))
+    ).where(F.col("similarity") >= min_similarity).drop("words", "_shingles")
 
 
 def scan(docs: DataFrame, text: str = "text", id_column: str = "doc_id", **settings) -> DataFrame:
