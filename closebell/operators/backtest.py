@@ -152,12 +152,13 @@ def equity_portfolio(
 
 def _funded(equity: DataFrame, on_shortfall: str) -> DataFrame:
     """Orders the account cannot pay would be refused, which these formulas do not model:
-    fail, or with ``flag`` mark the rows."""
+    fail, or with ``flag`` mark the rows. The check is a filter, so it runs whatever columns a
+    reader asks for."""
     short = F.col("cash") < 0
     if on_shortfall == "flag":
         return equity.withColumn("shortfall", short)
     stop = F.raise_error(F.lit("not enough cash for an order; raise cash or lower stake"))
-    return equity.withColumn("cash", F.when(short, stop.cast("double")).otherwise(F.col("cash")))
+    return equity.where(F.when(short, stop.cast("boolean")).otherwise(F.lit(True)))
 
 
 def lowest_cash(equity: DataFrame) -> DataFrame:

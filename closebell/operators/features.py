@@ -65,6 +65,15 @@ def daily_features(bars: DataFrame, series: Series = BARS) -> DataFrame:
     return momentum(bars, series).where(F.col("r20").isNotNull())
 
 
+def features_between(
+    bars: DataFrame, start: str, end: str, series: Series = BARS
+) -> DataFrame:
+    """``daily_features`` of ``start <= date <= end``. The averages never forget, so all bars up
+    to ``end`` are read: a rebuilt day has the values of the full series."""
+    rows = daily_features(bars.where(F.col("date") <= F.lit(end).cast("date")), series)
+    return rows.where(F.col("date") >= F.lit(start).cast("date"))
+
+
 def with_sentiment(features: DataFrame, sentiment: DataFrame) -> DataFrame:
     """Add ``news_sent`` and ``news_conf`` of the same day; null on days without news."""
     daily = sentiment.select("date", "symbol", "news_sent", "news_conf")

@@ -29,18 +29,21 @@ def deduplicated(
 ) -> DataFrame:
     """One article per (time, source, cleaned title): the first or latest by ``ingest_seq``.
 
-    The symbol is not part of the key unless ``by_symbol``. The survivor is an aggregate,
-    so copies are combined before the shuffle and a text copied into a third of all rows
-    does not gather anywhere. Only ``columns`` (default: all) are shuffled and returned.
+    ``ingest_seq`` is unique. The symbol is not part of the key unless ``by_symbol``. First the
+    survivors' numbers are found by a hash aggregation of (key, ``ingest_seq``), which combines
+    copies before the shuffle; then their rows are fetched by number, so texts are neither sorted
+    nor gathered by key. Only ``columns`` (default: all) are read and returned.
     """
     if keep not in ("first", "latest"):
         raise ValueError(f"keep must be 'first' or 'latest', not {keep!r}")
-    pick = F.min_by if keep == "first" else F.max_by
+    pick = F.min if keep == "first" else F.max
     key = [article_key(F.col("ts"), F.col("source"), F.col("title")).alias("_key")]
     if by_symbol:
         key.append(F.col("symbol").alias("_symbol"))
-    row = F.struct(*(columns or news.columns))
-    return news.groupBy(*key).agg(pick(row, "ingest_seq").alias("_row")).select("_row.*")
+    survivors = news.groupBy(*key).agg(pick("ingest_seq").alias("ingest_seq")).select("ingest_seq")
+    columns = columns or news.columns
+    rows = news.select(*dict.fromkeys(("ingest_seq", *columns)))
+    return rows.join(survivors, "ingest_seq", "left_semi").select(*columns)
 
 
 def normalised(

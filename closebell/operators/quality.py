@@ -80,6 +80,16 @@ def checksums(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
     )
 
 
+def changed_partitions(
+    df: DataFrame, recorded: DataFrame, partitions: Sequence[str]
+) -> DataFrame:
+    """Partitions whose rows are not those the ``recorded`` checksums were taken of."""
+    now = checksums(df, partitions)
+    return now.join(recorded, [*partitions, "rows", "checksum"], "left_anti").unionByName(
+        recorded.select(*now.columns).join(now, list(partitions), "left_anti")
+    )
+
+
 def require(df: DataFrame, schema: StructType, keys: Sequence[str] = ()) -> None:
     """Raise ``ContractError`` on schema drift, null keys or duplicate keys."""
     drift = schema_drift(df, schema)

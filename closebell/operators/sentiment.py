@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator, Sequence
 from typing import Protocol
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
@@ -22,6 +24,16 @@ class Scorer(Protocol):
     def __call__(self, titles: Sequence[str]) -> Sequence[Sequence[float]]: ...
 
 
+_MODELS: dict[str, Scorer] = {}
+
+
+def _loaded(name: str, load: Callable[[], Scorer]) -> Scorer:
+    """The model of a loader, loaded once in each worker process, however many tasks it runs."""
+    if name not in _MODELS:
+        _MODELS[name] = load()
+    return _MODELS[name]
+
+
 def score_news(
     news: DataFrame,
     load: Callable[[], Scorer],
@@ -32,8 +44,9 @@ def score_news(
 ) -> DataFrame:
     """``keep`` columns plus ``news_sent`` and ``news_conf``, one row per headline.
 
-    ``load`` runs once per task and returns the model. Only the kept columns and the
-    title are sent to Python. ``labels`` gives the model's output order. Partitions are cut by
+    ``load`` runs once per worker process and returns the model. Only the kept columns and the
+    title are sent to Python. ``labels`` gives the model's output order; a row of logits of
+    another length fails the job. Partitions are cut by
     bytes, which says little about a slow model: ``tasks`` spreads the headlines evenly.
     """
     sent = news.select(*keep, "title")
@@ -43,8 +56,10 @@ def score_news(
         [sent.schema[c] for c in keep] + [StructField("logits", ArrayType(DoubleType()))]
     )
 
+    name, width = hashlib.sha256(cloudpickle.dumps(load)).hexdigest(), len(labels)
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = load()
+        model = _loaded(name, load)
         for frame in frames:
             titles = frame["title"].fillna("").tolist()
             logits = [
@@ -52,6 +67,8 @@ def score_news(
                 for i in range(0, len(titles), batch)
                 for row in model(titles[i : i + batch])
             ]
+            if len(logits) != len(titles) or any(len(row) != width for row in logits):
+                raise ValueError(f"the model must return {width} logits for every title")
             out = frame[list(keep)].copy()
             out["logits"] = pd.Series(logits, index=out.index, dtype=object)
             yield out
@@ -96,15 +113,14 @@ def two_day(scores: DataFrame) -> DataFrame:
 def zscored(features: DataFrame) -> DataFrame:
     """``news_sent`` as z-score across the symbols of a day; null without spread.
 
-    Day statistics are aggregated and joined back, so no task has to hold all symbols of a
-    day. They are broadcast: one row of three numbers per calendar day, whatever the data.
+    Day statistics are aggregated and joined back, so no task has to hold all symbols of a day.
     """
     stats = features.groupBy("date").agg(
         F.avg("news_sent").alias("_mean"), F.stddev_samp("news_sent").alias("_std")
     )
     spread = F.when(F.col("_std") > 0, F.col("_std"))
     z = (F.col("news_sent") - F.col("_mean")) / spread
-    joined = features.join(F.broadcast(stats), "date", "left")
+    joined = features.join(stats, "date", "left")
     return joined.select(
         *[z.alias(c) if c == "news_sent" else F.col(c) for c in features.columns]
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -21,23 +21,34 @@ def restrict(df: DataFrame, universe: DataFrame) -> DataFrame:
     return df.join(universe.select("symbol").distinct(), "symbol", "left_semi").select(*df.columns)
 
 
+def _words(text: str) -> Column:
+    """Lower-case runs of letters and digits."""
+    found = F.split(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "), " ")
+    return F.filter(found, lambda w: w != "")
+
+
 def map_to_symbols(news: DataFrame, aliases: DataFrame) -> DataFrame:
     """Give articles without a symbol one from an (alias, symbol) table.
 
-    The whole lower-cased title is matched first, then its words; of several word matches
-    the one that comes first in the title wins. Articles keep a symbol they already have,
-    and are returned unchanged when nothing matches.
+    An alias of one or more words matches where its words follow each other in the title, in
+    any case and with anything but letters and digits between them. The match that comes first wins,
+    of several there the longest, then the smaller symbol. Articles keep a symbol they already
+    have, and are returned unchanged when nothing matches.
+
+    Titles meet the aliases by an alias's first word; the others are compared in place, so the
+    number of words an alias may have is unlimited.
     """
-    names = aliases.select(F.lower("alias").alias("_alias"), F.col("symbol").alias("_to"))
-    names = names.where(F.col("_alias") != "").groupBy("_alias").agg(F.min("_to").alias("_to"))
+    names = aliases.select(_words("alias").alias("_alias"), F.col("symbol").alias("_to"))
+    names = names.where(F.size("_alias") > 0).groupBy("_alias").agg(F.min("_to").alias("_to"))
+    names = names.select("*", F.get("_alias", F.lit(0)).alias("_word"))
     untagged = news.where(F.col("symbol").isNull())
-    title = F.lower("title")
-    words = F.array_distinct(F.split(F.regexp_replace(title, r"[^\p{L}\p{N}]+", " "), " "))
-    # the whole title counts as position -1
-    terms = untagged.select(
-        "ingest_seq", F.lit(-1).alias("_at"), title.alias("_alias")
-    ).unionByName(untagged.select("ingest_seq", F.posexplode(words).alias("_at", "_alias")))
-    hits = terms.join(names, "_alias").groupBy("ingest_seq").agg(F.min_by("_to", "_at").alias("_to"))
+    titles = untagged.select("ingest_seq", _words("title").alias("_title"))
+    terms = titles.select("ingest_seq", "_title", F.posexplode("_title").alias("_at", "_word"))
+    run = F.slice("_title", F.col("_at") + 1, F.size("_alias"))
+    rank = F.struct("_at", -F.size("_alias"), "_to")
+    hits = terms.join(names, "_word").where(run == F.col("_alias")).groupBy("ingest_seq").agg(
+        F.min_by("_to", rank).alias("_to")
+    )
     mapped = untagged.drop("symbol").join(hits, "ingest_seq", "left")
     return news.where(F.col("symbol").isNotNull()).unionByName(
         mapped.withColumnRenamed("_to", "symbol").select(*news.columns)

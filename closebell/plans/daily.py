@@ -24,10 +24,9 @@ from closebell.operators import (
     signals,
 )
 from closebell.schemas import DATASETS, EQUITY, FEATURES, METRICS, SENTIMENT, SIGNALS
+from closebell.session import staging
 from closebell.sources import lake, landed
 
-# 20 bars of look-back need about 30 calendar days; more for holidays and gaps
-HISTORY_DAYS = 60
 INGEST_DAYS = 30
 BACKTEST_DAYS = 7
 
@@ -41,8 +40,10 @@ def ingest(
     """
     bars = landed.read_bars(spark, f"{landed_root}/bars", start, end, symbols)
     lake.upsert_bars(bars, root)
+    stored = lake.read(spark, root, "ohlcv_daily")
+    lake.replace(quality.checksums(stored, ["date"]), root, "ohlcv_checksums")
     statements = landed.read_statements(spark, f"{landed_root}/statements", symbols)
-    lake.replace_fundamentals(fundamentals.merged(*statements), root)
+    lake.upsert_fundamentals(fundamentals.merged(*statements), root)
     raw = landed.read_news(
         spark, f"{landed_root}/news", symbols, f"{start}T00:00:00Z", f"{end}T23:59:59Z"
     )
@@ -68,15 +69,9 @@ def build_features(
     start: str,
     end: str,
     sectors: DataFrame | None = None,
-    history_days: int = HISTORY_DAYS,
 ) -> None:
-    """Features for ``start <= date <= end``; bars are read ``history_days`` further back."""
-    bars = lake.read(spark, root, "ohlcv_daily").where(
-        F.col("date").between(
-            F.lit(days_before(start, history_days)).cast("date"), F.lit(end).cast("date")
-        )
-    )
-    rows = features.daily_features(bars).where(F.col("date") >= F.lit(start).cast("date"))
+    """Features for ``start <= date <= end``, from all bars up to ``end``."""
+    rows = features.features_between(lake.read(spark, root, "ohlcv_daily"), start, end)
     rows = features.with_sentiment(rows, lake.read(spark, root, "sentiment_daily"))
     if sectors is None:
         rows = rows.withColumn("sector", F.lit(None).cast("string"))
@@ -119,13 +114,28 @@ def report(spark: SparkSession, root: str) -> DataFrame:
 def nightly_checks(
     spark: SparkSession, root: str, today: str, names: Sequence[str] = ("ohlcv_daily", "news_norm")
 ) -> None:
-    """Raise when a table breaks its contract, has null or repeated keys, or is out of date."""
+    """Raise when a table breaks its contract, has null or repeated keys, or is out of date; when
+    sentiment is out of range, bars are not those their checksums were taken of, or a feature
+    is dated after the last bar it can have been computed from."""
     for name in names:
         dataset, rows = DATASETS[name], lake.read(spark, root, name)
         quality.require(rows, dataset.schema, dataset.keys)
         state = quality.freshness(rows, today, dataset.max_age_days, dataset.date_column).first()
         if not state.fresh:
             raise quality.ContractError(f"{name} is out of date: latest is {state.latest}")
+    scores = lake.read(spark, root, "sentiment_daily")
+    for check in quality.out_of_range(scores, quality.SENTIMENT_BOUNDS).where("violations > 0").collect():
+        raise quality.ContractError(f"{check.violations} values of {check.column} out of range")
+    bars = lake.read(spark, root, "ohlcv_daily")
+    recorded = lake.read(spark, root, "ohlcv_checksums")
+    changed = quality.changed_partitions(bars, recorded, ["date"]).orderBy("date").first()
+    if changed:
+        raise quality.ContractError(f"bars of {changed.date} do not match their checksum")
+    last = bars.groupBy("symbol").agg(F.max("date").alias("last_bar"))
+    found = lake.read(spark, root, "features_daily").join(last, "symbol", "left")
+    early = quality.causality_violations(found, "last_bar", "date").first()
+    if early.violations:
+        raise quality.ContractError(f"{early.violations} features from after the last bar")
 
 
 def run_day(
@@ -137,18 +147,21 @@ def run_day(
     load_model: Callable[[], sentiment.Scorer],
     mode: str = "backtest",
     **rule,
-) -> None:
+) -> dict[str, int]:
     """All steps for one day. Mode ``backtest`` measures the last week; ``paper`` stops at
-    the orders table, which a trading client picks up."""
+    the orders table, which a trading client picks up. Returns the rows of each table.
+    Tables staged on the way are dropped at the end, also after an error."""
     if mode not in ("backtest", "paper"):
         raise ValueError(f"mode must be 'backtest' or 'paper', not {mode!r}")
     tomorrow = (dt.date.fromisoformat(run_date) + dt.timedelta(days=1)).isoformat()
     first = days_before(run_date, INGEST_DAYS)
-    ingest(spark, landed_root, root, symbols, first, tomorrow)
-    score(spark, root, load_model)
-    build_features(spark, root, first, run_date)
-    decide(spark, root, **rule)
-    if mode == "backtest":
-        backtest_and_measure(
-            spark, root, symbols, days_before(run_date, BACKTEST_DAYS), run_date
-        )
+    with staging(spark):
+        ingest(spark, landed_root, root, symbols, first, tomorrow)
+        score(spark, root, load_model)
+        build_features(spark, root, first, run_date)
+        decide(spark, root, **rule)
+        if mode == "backtest":
+            backtest_and_measure(
+                spark, root, symbols, days_before(run_date, BACKTEST_DAYS), run_date
+            )
+    return {name: lake.read(spark, root, name).count() for name in DATASETS}

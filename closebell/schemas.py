@@ -50,6 +50,7 @@ RUNS = _struct(
     run_id=_S, start_time=_T, status=_S,
     total_return=_F, annualized_volatility=_F, sharpe_ratio=_F, max_drawdown=_F,
 )
+CHECKSUMS = _struct(date=_D, rows=_L, checksum=_L)
 
 # Landed files, as the vendors send them.
 LANDED_BARS = _struct(Date=_S, Open=_F, High=_F, Low=_F, Close=_F, Volume=_L)
@@ -88,6 +89,7 @@ class Dataset:
 
 DATASETS: dict[str, Dataset] = {
     "ohlcv_daily": Dataset(OHLCV, "ohlcv", ("date", "symbol"), ("date",)),
+    "ohlcv_checksums": Dataset(CHECKSUMS, "ohlcv_checksums", ("date",)),
     "fundamentals": Dataset(FUNDAMENTALS, "fundamentals", ("symbol", "date"), max_age_days=120),
     "news_raw": Dataset(NEWS_RAW, "news_raw", ("ingest_seq",), date_column="ts"),
     "news_norm": Dataset(NEWS_NORM, "news_norm", date_column="ts"),

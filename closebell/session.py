@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,7 +48,15 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-_STAGED: list[str] = []
+# Each job (thread or task of a caller) has scopes of its own: dropping the tables of one
+# does not touch those of another.
+_STAGED: ContextVar[tuple[list[str], ...]] = ContextVar("staged", default=())
+
+
+def _scope() -> list[str]:
+    if not _STAGED.get():
+        _STAGED.set(([],))
+    return _STAGED.get()[-1]
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -56,16 +67,27 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     lost executor costs a re-read instead of a recomputation.
     """
     path = f"{shared_folder(df.sparkSession)}/closebell/{name}-{uuid.uuid4().hex}"
+    _scope().append(path)  # before the write, so that a failed one is dropped as well
     df.write.mode("errorifexists").parquet(path)
-    _STAGED.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Tables staged inside are dropped at the end, also after an error."""
+    token = _STAGED.set((*_STAGED.get(), []))
+    try:
+        yield
+    finally:
+        drop_staged(spark)
+        _STAGED.reset(token)
+
+
 def drop_staged(spark: SparkSession) -> int:
-    """Delete the tables this process has staged, once no result needs them any more."""
-    paths, dropped = spark._jvm.org.apache.hadoop.fs.Path, 0
-    while _STAGED:
-        path = paths(_STAGED.pop())
+    """Delete the tables staged in the innermost scope, once no result needs them any more."""
+    paths, staged, dropped = spark._jvm.org.apache.hadoop.fs.Path, _scope(), 0
+    while staged:
+        path = paths(staged.pop())
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
         dropped += 1
     return dropped

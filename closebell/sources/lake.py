@@ -1,21 +1,27 @@
-"""The Parquet lake: views, loaders and idempotent writers.
+"""The Parquet lake: views, loaders and writers that replace what they touch at once or not at all.
 
-Every writer checks the table's contract first and goes through Spark's commit protocol,
-so a failed job leaves the old data in place.
+A table is a folder with ``data/version=<id>/...`` and ``log``. A write adds a version of the
+partitions it touches (or of the whole table, without partitions) beside the old ones, and then
+adds its rows to the log, a single small file that Spark's commit protocol makes visible as a
+whole. Readers take the latest logged version of each partition, so a job that fails midway
+leaves no trace in what they see. ``stale_versions`` lists what no reader uses any more.
 """
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from closebell.schemas import DATASETS, conform
-from closebell.session import stage
+from closebell.session import stage, staging
 
-_IN_LIST = 200  # longer symbol lists become a join
+VERSION = "version"
 
 
 def empty(spark: SparkSession, schema: StructType) -> DataFrame:
@@ -23,21 +29,54 @@ def empty(spark: SparkSession, schema: StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
-
-
 def path_of(root: str, name: str) -> str:
     return f"{root}/{DATASETS[name].path}"
 
 
-def read(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A lake table, or an empty frame with its schema when nothing was written yet."""
-    schema, path = DATASETS[name].schema, path_of(root, name)
-    if not exists(spark, path):
+def _live(spark: SparkSession, path: str) -> DataFrame | None:
+    """The latest version of each partition, or None when nothing was published yet. The log
+    itself tells by which columns the table is partitioned."""
+    try:
+        log = spark.read.parquet(f"{path}/log")
+    except AnalysisException as missing:
+        if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+    partitions = [c for c in log.columns if c != VERSION]
+    return log.groupBy(*partitions).agg(F.max(VERSION).alias(VERSION))
+
+
+def _stored(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """All versions of all rows."""
+    return spark.read.schema(
+        StructType([*schema.fields, StructField(VERSION, StringType())])
+    ).parquet(f"{path}/data")
+
+
+def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The published rows of a table, or an empty frame with its schema.
+
+    Filters reach the scan; the join with the log, a row per partition, prunes old versions.
+    """
+    live = _live(spark, path)
+    if live is None:
         return empty(spark, schema)
-    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
+    rows = _stored(spark, path, schema).join(live, live.columns, "left_semi")
+    return rows.select(*schema.fieldNames())
+
+
+def read(spark: SparkSession, root: str, name: str) -> DataFrame:
+    return read_table(spark, path_of(root, name), DATASETS[name].schema)
+
+
+def stale_versions(
+    spark: SparkSession, path: str, schema: StructType, partitions: Sequence[str] = ()
+) -> DataFrame:
+    """``version, *partitions`` of folders that hold no published rows and may be deleted once
+    no reader that began earlier is left."""
+    held = _stored(spark, path, schema).select(VERSION, *partitions).distinct()
+    live = _live(spark, path)
+    return held if live is None else held.join(live, [VERSION, *partitions], "left_anti")
 
 
 def read_files(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -52,11 +91,9 @@ def register_views(spark: SparkSession, root: str, names: Sequence[str] | None =
 
 
 def for_symbols(df: DataFrame, symbols: Sequence[str] | DataFrame) -> DataFrame:
-    """Rows of the given symbols: a pushed-down IN list, or a semi join for many."""
+    """Rows of the given symbols: a pushed-down IN list, or a semi join with a frame of them."""
     if not isinstance(symbols, DataFrame):
-        if len(symbols) <= _IN_LIST:
-            return df.where(F.col("symbol").isin(*symbols))
-        symbols = df.sparkSession.createDataFrame([(s,) for s in symbols], "symbol string")
+        return df.where(F.col("symbol").isin(*symbols))
     return df.join(symbols.select("symbol").distinct(), "symbol", "left_semi")
 
 
@@ -91,31 +128,42 @@ def write_atomic(
     schema: StructType,
     partitions: Sequence[str] = (),
     rows_per_file: int = 0,
+    keys: Sequence[str] = (),
 ) -> None:
     """Replace a table, or with ``partitions`` the partitions that occur in ``df``.
 
     Rows are rebalanced by partition first: one file instead of one per task for a small
-    partition, while adaptive execution splits a partition too large for one task.
+    partition, while adaptive execution splits a partition too large for one task. A null in
+    one of ``keys`` fails the job. ``df`` may read the same table.
     """
+    spark = df.sparkSession
     rows = conform(df, schema)
+    stop = F.raise_error(F.lit(f"null key in a row for {path}"))
+    rows = rows.withColumns({
+        k: F.when(F.col(k).isNull(), stop.cast(schema[k].dataType)).otherwise(F.col(k))
+        for k in keys
+    })
     if partitions:
         rows = rows.hint("rebalance", *partitions)
-    writer = rows.write.mode("overwrite").option("compression", "zstd")
-    writer = writer.option("maxRecordsPerFile", rows_per_file)
+    version = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    rows.withColumn(VERSION, F.lit(version)).write.mode("append").option(
+        "compression", "zstd"
+    ).option("maxRecordsPerFile", rows_per_file).partitionBy(VERSION, *partitions).parquet(
+        f"{path}/data"
+    )
     if partitions:
-        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partitions)
-    writer.parquet(path)
+        written = _stored(spark, path, schema).where(F.col(VERSION) == version).select(
+            VERSION, *partitions
+        ).distinct()
+    else:
+        written = spark.createDataFrame([(version,)], StructType([StructField(VERSION, StringType())]))
+    written.coalesce(1).write.mode("append").parquet(f"{path}/log")
 
 
 def replace(df: DataFrame, root: str, name: str) -> None:
-    """Replace a whole lake table. ``df`` must not read that same table."""
-    write_atomic(df, path_of(root, name), DATASETS[name].schema)
-
-
-def replace_fundamentals(df: DataFrame, root: str) -> None:
-    """Whole replacement, laid out so that one symbol's statements lie together."""
-    laid_out = df.repartitionByRange("symbol", "date").sortWithinPartitions("symbol", "date")
-    replace(laid_out, root, "fundamentals")
+    """Replace a whole lake table."""
+    dataset = DATASETS[name]
+    write_atomic(df, path_of(root, name), dataset.schema, keys=dataset.keys)
 
 
 def upsert(
@@ -133,14 +181,16 @@ def upsert(
     """
     spark = df.sparkSession
     new = conform(df, schema)
-    if not set(keys) <= set(partitions) and exists(spark, path):
+    if set(keys) <= set(partitions) or _live(spark, path) is None:
+        write_atomic(new, path, schema, partitions, keys=keys)
+        return
+    with staging(spark):
         new = stage(new, "upsert-new")
-        old = spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
+        old = read_table(spark, path, schema)
         if partitions:
             old = old.join(new.select(*partitions).distinct(), list(partitions), "left_semi")
         kept = old.join(new.select(*keys), list(keys), "left_anti")
-        new = stage(kept.unionByName(new), "upsert-merged")
-    write_atomic(new, path, schema, partitions)
+        write_atomic(kept.unionByName(new), path, schema, partitions, keys=keys)
 
 
 def upsert_bars(df: DataFrame, root: str, partitions: Sequence[str] | None = None) -> None:
@@ -150,6 +200,18 @@ def upsert_bars(df: DataFrame, root: str, partitions: Sequence[str] | None = Non
            dataset.partitions if partitions is None else partitions)
 
 
+def upsert_fundamentals(df: DataFrame, root: str) -> None:
+    """Upsert statements by (symbol, date)."""
+    dataset = DATASETS["fundamentals"]
+    upsert(df, path_of(root, "fundamentals"), dataset.schema, dataset.keys, dataset.partitions)
+
+
+def replace_fundamentals(df: DataFrame, root: str) -> None:
+    """Whole replacement, laid out so that one symbol's statements lie together."""
+    laid_out = df.repartitionByRange("symbol", "date").sortWithinPartitions("symbol", "date")
+    replace(laid_out, root, "fundamentals")
+
+
 def record_run(
     spark: SparkSession, root: str, metrics: DataFrame, started: str, status: str = "FINISHED"
 ) -> None:
@@ -170,8 +232,8 @@ def compact(
     rows_per_file: int = 5_000_000,
 ) -> None:
     """Rewrite a table, or the partitions ``where`` selects, into few large files."""
-    rows = spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
-    rows = stage(rows.where(where) if where else rows, "compact")
+    rows = read_table(spark, path, schema)
+    rows = rows.where(where) if where else rows
     packed = rows if partitions else rows.hint("rebalance")
     write_atomic(packed, path, schema, partitions, rows_per_file)
 

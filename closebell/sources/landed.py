@@ -1,59 +1,94 @@
-"""Readers for landed vendor files: bars, quarterly statements and news.
+"""Landed vendor files: bars, quarterly statements and news.
 
 Layout: ``<root>/symbol=<SYMBOL>/*`` per kind of data, so the symbol of a file is known
-even when its content is unreadable.
+even when its content is unreadable. Readers give the lines of files, parsers turn lines
+into rows and take them from anywhere. What a parser cannot read goes to ``quarantine``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from closebell.functions.dates import day_part, utc_date, utc_timestamp
-from closebell.schemas import LANDED_BARS, LANDED_NEWS, LANDED_STATEMENTS, NEWS_RAW
-from closebell.session import stage
+from closebell.schemas import LANDED_BARS, LANDED_NEWS, LANDED_STATEMENTS, NEWS_RAW, OHLCV
 
 BROKEN = "_broken"
-PAGE_SIZE = 100  # articles a vendor returns per symbol and request
+# Places of the parts of an article's number: symbol, landed record, article in the record.
+_RECORDS, _ARTICLES = 1 << 26, 1 << 20
 
 
-def read_bars(
-    spark: SparkSession, root: str, start: str, end: str, symbols: Sequence[str] | None = None
+def read_lines(
+    spark: SparkSession, root: str, symbols: Sequence[str] | None = None
 ) -> DataFrame:
-    """Daily bars with ``start <= date < end`` from landed CSV files with a header line.
+    """``file, symbol, value`` of all lines below ``root``."""
+    lines = spark.read.schema("value string, symbol string").text(root).select(
+        F.col("_metadata.file_path").alias("file"), "symbol", "value"
+    )
+    return lines if symbols is None else lines.where(F.col("symbol").isin(*symbols))
 
-    ``end`` is a parameter of the job, never today's date, so that reruns give the same rows.
+
+# --- bars --------------------------------------------------------------------------------
+
+
+def parse_bars(lines: DataFrame) -> DataFrame:
+    """Columns of ``OHLCV`` plus ``_broken``, the text of a line that cannot be read.
+
+    Cells are found by the names in the file's header line, in any order and case. A line is
+    broken without a date, with a number that is none, or in a file without a header.
     """
-    landed = _only(
-        spark.read.schema(StructType([*LANDED_BARS.fields, StructField("symbol", StringType())]))
-        .option("header", True)
-        .csv(root),
-        symbols,
-    )
-    bars = landed.select(
-        utc_date(F.col("Date")).alias("date"), "symbol",
-        *[F.col(c).alias(c.lower()) for c in ("Open", "High", "Low", "Close", "Volume")],
-    )
-    return bars.where(
-        (F.col("date") >= F.lit(start).cast("date")) & (F.col("date") < F.lit(end).cast("date"))
+    names = [c.lower() for c in LANDED_BARS.fieldNames()]
+    cells = F.transform(F.split("value", ","), lambda c: F.trim(F.replace(c, F.lit('"'), F.lit(""))))
+    rows = lines.where(F.trim("value") != "").withColumn("_cells", cells)
+    lower = F.transform("_cells", lambda c: F.lower(c))
+    is_head = F.array_contains(lower, "date") & F.array_contains(lower, "close")
+    heads = rows.where(is_head).groupBy("file").agg(F.min(lower).alias("_names"))
+    placed = rows.where(~is_head).join(heads, "file", "left")
+
+    def cell(name: str) -> Column:
+        at = F.array_position("_names", name)
+        return F.when(at > 0, F.try_element_at("_cells", at.cast("int")))
+
+    read = {"date": utc_date(cell("date"))}
+    for name in names[1:]:
+        read[name] = cell(name).try_cast(OHLCV[name].dataType)
+    wrong = read["date"].isNull() | F.col("_names").isNull()
+    for name in names[1:]:
+        filled = F.coalesce(cell(name), F.lit("")) != ""
+        wrong = wrong | (filled & read[name].isNull())
+    return placed.select(
+        read["date"].alias("date"), "symbol", *[read[n].alias(n) for n in names[1:]],
+        F.when(F.coalesce(wrong, F.lit(True)), F.col("value")).alias(BROKEN),
     )
 
 
-def _only(df: DataFrame, symbols: Sequence[str] | None) -> DataFrame:
-    return df if symbols is None else df.where(F.col("symbol").isin(*symbols))
+def sound_bars(parsed: DataFrame, start: str, end: str) -> DataFrame:
+    """The readable bars with ``start <= date < end``.
 
+    ``end`` is a parameter of the job, never today's date, so that reruns give the same rows.
+    """
+    return parsed.where(
+        F.col(BROKEN).isNull()
+        & (F.col("date") >= F.lit(start).cast("date")) & (F.col("date") < F.lit(end).cast("date"))
+    ).drop(BROKEN)
 
-def _read_json(
-    spark: SparkSession, root: str, schema: StructType, symbols: Sequence[str] | None
+
+def read_bars(
+    spark: SparkSession, root: str, start: str, end: str, symbols: Sequence[str] | None = None
 ) -> DataFrame:
-    """JSON lines as columns ``symbol``, ``record`` and ``_broken`` (text of bad lines)."""
+    """Daily bars of landed CSV files with a header line."""
+    return sound_bars(parse_bars(read_lines(spark, root, symbols)), start, end)
+
+
+# --- JSON lines --------------------------------------------------------------------------
+
+
+def parse_json(lines: DataFrame, schema: StructType) -> DataFrame:
+    """``symbol``, ``record`` and ``_broken`` (the text of a line that cannot be read)."""
     with_broken = StructType([*schema.fields, StructField(BROKEN, StringType())])
-    lines = _only(
-        spark.read.schema("value string, symbol string").text(root), symbols
-    )
     record = F.from_json(
         "value", with_broken, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BROKEN}
     )
@@ -62,31 +97,33 @@ def _read_json(
     )
 
 
-def _sound_symbols(landed: DataFrame) -> DataFrame:
+def _sound_symbols(parsed: DataFrame) -> DataFrame:
     """Records of the symbols that have no unreadable record at all."""
-    bad = landed.where(F.col(BROKEN).isNotNull()).select("symbol").distinct()
-    return landed.join(bad, "symbol", "left_anti")
+    bad = parsed.where(F.col(BROKEN).isNotNull()).select("symbol").distinct()
+    return parsed.join(bad, "symbol", "left_anti")
+
+
+def broken(lines: DataFrame, kind: str) -> DataFrame:
+    """The unreadable lines, ``symbol, broken``. ``kind``: ``bars``, ``statements`` or ``news``."""
+    if kind == "bars":
+        parsed = parse_bars(lines)
+    else:
+        parsed = parse_json(lines, {"statements": LANDED_STATEMENTS, "news": LANDED_NEWS}[kind])
+    return parsed.where(F.col(BROKEN).isNotNull()).select("symbol", F.col(BROKEN).alias("broken"))
 
 
 def quarantine(
     spark: SparkSession, root: str, kind: str, symbols: Sequence[str] | None = None
 ) -> DataFrame:
-    """The unreadable records, ``symbol, broken``. ``kind``: ``statements`` or ``news``."""
-    schema = {"statements": LANDED_STATEMENTS, "news": LANDED_NEWS}[kind]
-    landed = _read_json(spark, root, schema, symbols)
-    return landed.where(F.col(BROKEN).isNotNull()).select("symbol", F.col(BROKEN).alias("broken"))
+    return broken(read_lines(spark, root, symbols), kind)
 
 
-def read_statements(
-    spark: SparkSession, root: str, symbols: Sequence[str] | None = None
-) -> tuple[DataFrame, DataFrame, DataFrame]:
+def parse_statements(lines: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Income, balance and cash flow items with their landed position ``pos``.
 
-    A symbol with any unreadable record is left out whole; ``quarantine`` lists it. The
-    parsed records are staged, because the three results read one array each.
+    A symbol with any unreadable record is left out whole; ``quarantine`` lists it.
     """
-    landed = _sound_symbols(_read_json(spark, root, LANDED_STATEMENTS, symbols))
-    landed = stage(landed.select("symbol", "record"), "statements")
+    landed = _sound_symbols(parse_json(lines, LANDED_STATEMENTS)).select("symbol", "record")
 
     def items(statement: str) -> DataFrame:
         exploded = landed.select(
@@ -101,23 +138,22 @@ def read_statements(
     return items("income"), items("balance"), items("cashflow")
 
 
-def read_news(
-    spark: SparkSession,
-    root: str,
-    symbols: Sequence[str],
-    start_ts: str,
-    end_ts: str,
-    language: str = "en",
-    page_size: int = PAGE_SIZE,
+def read_statements(
+    spark: SparkSession, root: str, symbols: Sequence[str] | None = None
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    return parse_statements(read_lines(spark, root, symbols))
+
+
+def parse_news(
+    lines: DataFrame, symbols: Sequence[str], start_ts: str, end_ts: str, language: str = "en"
 ) -> DataFrame:
-    """Flattened articles in ``NEWS_RAW`` shape.
+    """Flattened articles in ``NEWS_RAW`` shape, all that the lines hold.
 
     Date bounds are inclusive days; articles without a language count as ``language``.
-    As with the vendor's pages, the first ``page_size`` articles per symbol are kept, in
-    landed order. ``ingest_seq`` numbers articles by symbol (in the order asked for), then
-    position, and so is the same on every rerun.
+    ``ingest_seq`` is made of the symbol's place among those asked for, the landed record's
+    number and the article's place in it: unique, in landed order, and the same on every rerun.
     """
-    landed = _sound_symbols(_read_json(spark, root, LANDED_NEWS, symbols))
+    landed = _sound_symbols(parse_json(lines.where(F.col("symbol").isin(*symbols)), LANDED_NEWS))
     articles = landed.select(
         "symbol", F.col("record.landed_seq").alias("seq"),
         F.posexplode("record.articles").alias("at", "a"),
@@ -127,19 +163,23 @@ def read_news(
         day.between(F.lit(day_part(start_ts)).cast("date"), F.lit(day_part(end_ts)).cast("date"))
         & (F.coalesce("a.language", F.lit(language)) == language)
     )
-    return page_per_symbol(wanted, symbols, page_size).select(
-        "ingest_seq", "ts", "symbol", F.col("a.source.name").alias("source"),
+    rank = F.array_position(F.array(*[F.lit(s) for s in symbols]), F.col("symbol")) - 1
+    number = (rank * _RECORDS + F.col("seq")) * _ARTICLES + F.col("at")
+    fits = F.col("seq").between(0, _RECORDS - 1) & (F.col("at") < _ARTICLES)
+    stop = F.raise_error(F.lit("landed_seq missing or too large to number an article"))
+    return wanted.select(
+        F.when(fits, number).otherwise(stop.cast("bigint")).alias("ingest_seq"),
+        "ts", "symbol", F.col("a.source.name").alias("source"),
         "a.title", "a.description", "a.url", "a.content",
     ).select(*NEWS_RAW.fieldNames())
 
 
-def page_per_symbol(articles: DataFrame, symbols: Sequence[str], page_size: int) -> DataFrame:
-    """The first ``page_size`` rows per symbol by ``seq, at``, numbered as ``ingest_seq``."""
-    in_order = Window.partitionBy("symbol").orderBy("seq", "at")
-    rank = F.array_position(F.array(*[F.lit(s) for s in symbols]), F.col("symbol")) - 1
-    return (
-        articles.withColumn("_n", F.row_number().over(in_order))
-        .where(F.col("_n") <= page_size)
-        .withColumn("ingest_seq", rank * page_size + F.col("_n") - 1)
-        .drop("_n")
-    )
+def read_news(
+    spark: SparkSession,
+    root: str,
+    symbols: Sequence[str],
+    start_ts: str,
+    end_ts: str,
+    language: str = "en",
+) -> DataFrame:
+    return parse_news(read_lines(spark, root, symbols), symbols, start_ts, end_ts, language)

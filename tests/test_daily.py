@@ -2,11 +2,18 @@
 
 import datetime as dt
 import json
+import os
+import random
 
 import pytest
 
+from pyspark.sql import functions as F
+
+from closebell.operators import features
 from closebell.operators.quality import ContractError
 from closebell.plans import daily
+from closebell.schemas import OHLCV
+from closebell.session import shared_folder
 from closebell.sources import lake
 
 RUN = "2024-03-01"
@@ -39,12 +46,16 @@ def run(spark, landed_root, root, mode="backtest"):
     def load():
         return lambda titles: [(4.0 * ("Fall" in t), 0.0, 4.0 * ("Rise" in t)) for t in titles]
 
-    daily.run_day(spark, landed_root, root, RUN, ["AAPL", "MSFT"], load, mode, min_alpha_buy=0.5, max_alpha_sell=-0.5)
+    return daily.run_day(spark, landed_root, root, RUN, ["AAPL", "MSFT"], load, mode, min_alpha_buy=0.5, max_alpha_sell=-0.5)
 
 
 def test_a_day(spark, landed_root, tmp_path):
     root = str(tmp_path / "lake")
-    run(spark, landed_root, root)
+    staged = shared_folder(spark).removeprefix("file://") + "/closebell"
+    before = set(os.listdir(staged)) if os.path.exists(staged) else set()
+    counts = run(spark, landed_root, root)
+    assert counts["ohlcv_daily"] == 62 and counts["features_daily"] > 0
+    assert set(os.listdir(staged) if os.path.exists(staged) else []) <= before
 
     def table(name):
         df = lake.read(spark, root, name)
@@ -66,6 +77,37 @@ def test_a_day(spark, landed_root, tmp_path):
     daily.nightly_checks(spark, root, RUN)
     with pytest.raises(ContractError, match="out of date"):
         daily.nightly_checks(spark, root, "2024-04-01")
+    scores = lake.read(spark, root, "sentiment_daily")
+    lake.replace(scores.withColumn("news_sent", F.lit(1.5)), root, "sentiment_daily")
+    with pytest.raises(ContractError, match="out of range"):
+        daily.nightly_checks(spark, root, RUN)
+    lake.replace(scores.withColumn("news_sent", F.lit(0.5)), root, "sentiment_daily")
+    rows = lake.read(spark, root, "features_daily")
+    lake.replace(rows.withColumn("date", F.date_add("date", 400)), root, "features_daily")
+    with pytest.raises(ContractError, match="after the last bar"):
+        daily.nightly_checks(spark, root, RUN)
+    bars = lake.read(spark, root, "ohlcv_daily").where("symbol = 'AAPL'")
+    lake.upsert_bars(bars.withColumn("close", F.col("close") + 1), root)
+    with pytest.raises(ContractError, match="checksum"):
+        daily.nightly_checks(spark, root, RUN)
+
+
+def test_features_of_a_day_equal_those_of_the_full_series(spark, tmp_path):
+    root, rng = str(tmp_path), random.Random(5)
+    price, rows = 100.0, []
+    for i in range(700):
+        price *= 1 + rng.uniform(-0.03, 0.03)
+        day = dt.date(2022, 1, 3) + dt.timedelta(days=i)
+        if day.weekday() < 5:
+            rows.append((day, "A", price, price, price, price, 10))
+    lake.upsert_bars(spark.createDataFrame(rows, OHLCV), root)
+    daily.build_features(spark, root, "2023-10-01", "2023-11-20")
+    got = {r.date: (r.r20, r.rsi14) for r in lake.read(spark, root, "features_daily").collect()}
+    full = features.daily_features(lake.read(spark, root, "ohlcv_daily")).where(
+        "date between date'2023-10-01' and date'2023-11-20'").collect()
+    assert len(got) == len(full) > 30
+    for r in full:
+        assert got[r.date] == (r.r20, pytest.approx(r.rsi14, abs=1e-9))
 
 
 def test_modes(spark, landed_root, tmp_path):

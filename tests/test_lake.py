@@ -69,7 +69,7 @@ def test_writes_check_the_contract(spark, tmp_path):
 def test_fundamentals_lie_sorted(spark, tmp_path):
     rows = [(s, D + dt.timedelta(days=i), 1.0, 1.0, 1.0, 1.0, 1.0, 1.0) for i in range(9, -1, -1) for s in "BA"]
     lake.replace_fundamentals(spark.createDataFrame(rows, schemas.FUNDAMENTALS).repartition(4), str(tmp_path))
-    got = spark.read.parquet(lake.path_of(str(tmp_path), "fundamentals"))
+    got = lake.read(spark, str(tmp_path), "fundamentals")
     for part in got.rdd.glom().collect():
         keys = [(r.symbol, r.date) for r in part]
         assert keys == sorted(keys)
@@ -79,18 +79,80 @@ def test_fundamentals_lie_sorted(spark, tmp_path):
 def test_compaction_keeps_rows(spark, tmp_path):
     path = str(tmp_path / "t")
     df = spark.createDataFrame([bar(i % 3, f"S{i}", float(i)) for i in range(60)], OHLCV)
-    df.repartition(12).write.partitionBy("date").parquet(path)
-    before = rows_of(spark.read.parquet(path), "date", "symbol", "close")
+    lake.write_atomic(df, path, OHLCV, ["date"], rows_per_file=4)
+    before = rows_of(df, "date", "symbol", "close")
 
     def files():
-        return sum(f.endswith(".parquet") for _, _, fs in os.walk(path) for f in fs)
+        stale = {(r.version, str(r.date)) for r in lake.stale_versions(spark, path, OHLCV, ["date"]).collect()}
+        live = 0
+        for folder, _, names in os.walk(path + "/data"):
+            parts = dict(p.split("=") for p in folder.split("/") if "=" in p)
+            if (parts.get("version"), parts.get("date")) not in stale:
+                live += sum(f.endswith(".parquet") for f in names)
+        return live
 
     many = files()
     lake.compact(spark, path, OHLCV, ["date"], where="date = date'2024-01-01'")
     some = files()
     lake.compact(spark, path, OHLCV, ["date"])
     assert many > some > files() == 3
-    assert rows_of(spark.read.schema(OHLCV).parquet(path), "date", "symbol", "close") == before
+    assert rows_of(lake.read_table(spark, path, OHLCV), "date", "symbol", "close") == before
+
+
+def fails_midway(df):
+    """Writes some rows, then stops."""
+    bad = df.limit(1).select(F.explode(F.sequence(F.lit(0), F.lit(9999))).alias("n"), "*").drop("n")
+    stop = F.when(F.col("_n") > 5000, F.raise_error(F.lit("midway")).cast("boolean")).otherwise(F.lit(True))
+    return bad.withColumn("_n", F.monotonically_increasing_id()).where(stop).drop("_n")
+
+
+def test_a_write_that_fails_midway_leaves_the_old_rows(spark, tmp_path):
+    root = str(tmp_path)
+    bars = spark.createDataFrame([bar(i, s, 1.0) for i in range(3) for s in "AB"], OHLCV)
+    facts = spark.createDataFrame([("A", D, 1.0, 1.0, 1.0, 1.0, 1.0, 1.0)], schemas.FUNDAMENTALS)
+    runs = spark.createDataFrame([("a", 0.1, 0.2, 0.3, -0.1)], schemas.METRICS)
+    lake.upsert_bars(bars, root)
+    lake.replace_fundamentals(facts, root)
+    lake.record_run(spark, root, runs, "2024-01-01")
+    equity = spark.createDataFrame([("r", D, 1.5)], EQUITY)
+    lake.replace(equity, root, "equity_curve")
+    before = {n: rows_of(lake.read(spark, root, n), *lake.read(spark, root, n).columns)
+              for n in ("ohlcv_daily", "fundamentals", "runs", "equity_curve")}
+    staged = shared_folder(spark)
+    writes = (
+        lambda: lake.upsert_bars(fails_midway(bars), root),
+        lambda: lake.replace_fundamentals(fails_midway(facts), root),
+        lambda: lake.upsert_fundamentals(fails_midway(facts), root),
+        lambda: lake.record_run(spark, root, fails_midway(runs), "2024-01-02"),
+        lambda: lake.replace(fails_midway(equity), root, "equity_curve"),
+        lambda: lake.write_atomic(fails_midway(bars), lake.path_of(root, "ohlcv_daily"), OHLCV, ["date"]),
+    )
+    def left():
+        return sum(len(fs) for d, _, fs in os.walk(staged.removeprefix("file://")) if "upsert" in d)
+
+    held = left()
+    for write in writes:
+        with pytest.raises(Exception, match="midway"):
+            write()
+        for n, rows in before.items():
+            got = lake.read(spark, root, n)
+            assert rows_of(got, *got.columns) == rows
+    assert left() == held  # staged tables go, also after errors
+    lake.replace(equity.limit(0), root, "equity_curve")
+    assert lake.read(spark, root, "equity_curve").count() == 0
+
+
+def test_null_keys_are_refused(spark, tmp_path):
+    df = spark.createDataFrame([bar(0, "A", 1.0), bar(0, None, 1.0)], OHLCV)
+    with pytest.raises(Exception, match="null key"):
+        lake.upsert_bars(df, str(tmp_path))
+
+
+def test_partial_statements_keep_the_others(spark, tmp_path):
+    root, columns = str(tmp_path), schemas.FUNDAMENTALS
+    lake.upsert_fundamentals(spark.createDataFrame([(s, D, 1.0, 1.0, 1.0, 1.0, 1.0, 1.0) for s in "AB"], columns), root)
+    lake.upsert_fundamentals(spark.createDataFrame([("A", D, 2.0, 1.0, 1.0, 1.0, 1.0, 1.0)], columns), root)
+    assert rows_of(lake.read(spark, root, "fundamentals"), "symbol", "revenue") == [("A", "2.0"), ("B", "1.0")]
 
 
 def test_equity_csv_round_trip(spark, tmp_path):
@@ -119,7 +181,14 @@ def test_landed_bars(spark, tmp_path):
     put(tmp_path, "bars", "A", "a.csv", [
         "Date,Open,High,Low,Close,Volume", "2024-01-01,1,2,0.5,1.5,100", "2024-01-02T00:00:00Z,2,3,1,2.5,200", "2024-01-03,9,9,9,9,9"])
     put(tmp_path, "bars", "B", "b.csv", ["Date,Open,High,Low,Close,Volume"])
-    got = landed.read_bars(spark, str(tmp_path / "bars"), "2024-01-01", "2024-01-03")
+    put(tmp_path, "bars", "C", "c.csv", ["Volume,Date, close ,High,Low,Open", "7,2024-01-01,1,3,0,2", "7,2024-01-01,one,3,0,2", "7,soon,1,3,0,2"])
+    put(tmp_path, "bars", "D", "d.csv", ["2024-01-01,1,2,0.5,1.5,100"])
+    bad = landed.quarantine(spark, str(tmp_path / "bars"), "bars")
+    assert rows_of(bad, "symbol", "broken") == [
+        ("C", "7,2024-01-01,one,3,0,2"), ("C", "7,soon,1,3,0,2"), ("D", "2024-01-01,1,2,0.5,1.5,100")]
+    byname = landed.read_bars(spark, str(tmp_path / "bars"), "2024-01-01", "2024-01-03", ["C"])
+    assert rows_of(byname, "open", "high", "low", "close", "volume") == [("2.0", "3.0", "0.0", "1.0", "7")]
+    got = landed.read_bars(spark, str(tmp_path / "bars"), "2024-01-01", "2024-01-03", ["A", "B"])
     assert schemas.schema_drift(got, OHLCV) == []
     assert rows_of(got, "date", "symbol", "close", "volume") == [
         ("2024-01-01", "A", "1.5", "100"), ("2024-01-02", "A", "2.5", "200")]
@@ -175,26 +244,36 @@ def test_landed_news(spark, news_root):
     got = landed.read_news(spark, news_root, ["B", "A", "C"], "2024-01-02T00:00:00Z", "2024-01-03T23:59:59Z")
     assert got.schema.fieldNames() == NEWS_RAW.fieldNames()
     assert rows_of(got, "ingest_seq", "symbol", "title") == [
-        ("0", "B", "one"), ("100", "A", "next day"), ("101", "A", "one"), ("102", "A", "ONE")]
+        (str(n), s, t) for n, s, t in (
+            (1 << 20, "B", "one"), ((1 << 46) + (1 << 20), "A", "next day"),
+            ((1 << 46) + (1 << 20) + 1, "A", "one"), ((1 << 46) + (1 << 20) + 2, "A", "ONE"))]
     kept = news.normalised(got)
     assert rows_of(kept, "symbol", "title", "text") == [("A", "next day", "c"), ("B", "one", "c")]
-    capped = landed.read_news(spark, news_root, ["A"], "2024-01-01T00:00:00Z", "2024-01-09T00:00:00Z", page_size=2)
-    assert rows_of(capped, "ingest_seq", "title") == [("0", "next day"), ("1", "one")]
+
+
+def test_no_article_is_lost(spark, tmp_path):
+    many = [article("2024-01-02T10:00:00Z", f"t{i}") for i in range(730)]
+    for k in range(3):
+        put(tmp_path, "news", "A", f"{k}.json", [{"landed_seq": k, "articles": many}])
+    got = landed.read_news(spark, str(tmp_path / "news"), ["A"], "2024-01-01", "2024-01-09")
+    assert got.count() == got.select("ingest_seq").distinct().count() == 3 * 730
 
 
 def test_streamed_news_agree_with_batch(spark, news_root, tmp_path):
-    cleaned = streaming.normalised(streaming.landed_articles(spark, news_root))
     out, checkpoint = str(tmp_path / "out"), str(tmp_path / "cp")
-    streaming.write(cleaned, out, checkpoint).awaitTermination(120)
-    got = spark.read.parquet(out)
-    assert sorted(t.lower() for (t,) in got.select("title").collect()) == ["late", "next day", "one", "zwei"]
+
+    def run():
+        streaming.write(streaming.landed_lines(spark, news_root), out, checkpoint).awaitTermination(120)
+        return spark.read.parquet(f"{out}/news")
+
+    got = run()
+    assert rows_of(got, "title") == [("late",), ("next day",), ("one",), ("zwei",)]
     put(tmp_path, "news", "B", "2.json", [{"landed_seq": 2, "articles": [
-        article("2024-01-05T12:00:00Z", "new"), article("2024-01-05T10:00:00Z", "Late")]}])
-    streaming.write(
-        streaming.normalised(streaming.landed_articles(spark, news_root)), out, checkpoint
-    ).awaitTermination(120)
-    assert spark.read.parquet(out).count() == 5
+        article("2024-01-05T12:00:00Z", "new"), article("2024-01-05T10:00:00Z", "Late"),
+        article("2001-01-05T10:00:00Z", "years late")]}])
+    assert run().count() == 6  # however late, and copies of earlier batches are known
     assert set(NEWS_NORM.fieldNames()) <= set(got.columns)
+    assert rows_of(spark.read.parquet(f"{out}/rejected"), "symbol", "broken") == [("C", "not json")]
 
 
 def test_quality_checks(spark):

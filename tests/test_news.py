@@ -49,7 +49,7 @@ def test_survivors_do_not_depend_on_partitioning(spark):
 def test_a_text_copied_into_most_rows_is_combined_before_the_shuffle(spark):
     df = raw(spark, [(n, "A", "R", "same") for n in range(3000)]).repartition(4)
     plan = news.deduplicated(df)._jdf.queryExecution().executedPlan().toString()
-    assert "partial_min_by" in plan and "Window" not in plan
+    assert "partial_min(ingest_seq" in plan and "Window" not in plan and "SortAggregate" not in plan
     assert seqs(news.deduplicated(df)) == [0]
 
 
@@ -113,3 +113,39 @@ def test_zscore_is_across_symbols_of_a_day(spark):
     got = {(r.date == d, r.symbol): r.news_sent for r in sentiment.zscored(df).collect()}
     assert got[True, "A"] == pytest.approx(-1 / math.sqrt(2)) and got[True, "B"] == pytest.approx(1 / math.sqrt(2))
     assert got[False, "A"] is None and got[True, "C"] is None
+
+
+def test_one_model_load_per_worker(spark, tmp_path):
+    folder = str(tmp_path)
+
+    def load():
+        import os
+        import uuid
+
+        open(os.path.join(folder, uuid.uuid4().hex), "w").write(str(os.getpid()))
+        return lambda titles: [(0.0, 0.0, 1.0)] * len(titles)
+
+    df = raw(spark, ROWS * 20).repartition(24)
+    assert sentiment.score_news(df, load).count() == 140
+    workers = [open(p).read() for p in tmp_path.iterdir()]
+    assert len(workers) == len(set(workers))
+
+
+def test_logits_of_a_wrong_width_fail(spark):
+    def load():
+        return lambda titles: [(0.0, 1.0)] * len(titles)
+
+    with pytest.raises(Exception, match="3 logits"):
+        sentiment.score_news(raw(spark, ROWS), load).count()
+
+
+def test_names_of_several_words(spark):
+    from closebell.operators import universe
+
+    aliases = spark.createDataFrame(
+        [("Big Apple", "AAPL"), ("big", "BIG"), ("apple rises", "X"), ("AT&T", "T"), ("", "E"), (None, "N")],
+        "alias string, symbol string")
+    rows = [(0, None, "R", "Big  apple rises"), (1, "MSFT", "R", "big apple"), (2, None, "R", "the big-apple"),
+            (3, None, "R", "at t falls"), (4, None, "R", "an apple"), (5, None, "R", None), (6, None, "R", "Apple rises")]
+    got = {r.ingest_seq: r.symbol for r in universe.map_to_symbols(raw(spark, rows), aliases).collect()}
+    assert got == {0: "AAPL", 1: "MSFT", 2: "AAPL", 3: "T", 4: None, 5: None, 6: "X"}

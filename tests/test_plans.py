@@ -8,7 +8,7 @@ from closebell.operators import features, news
 from closebell.operators.series import Series
 from closebell.plans import queries
 from closebell.schemas import OHLCV
-from closebell.sources import derived, lake
+from closebell.sources import derived
 
 SF = "/root/testdata/sf0.001"
 
@@ -23,9 +23,9 @@ def shuffles(df):
 
 @pytest.fixture(scope="module")
 def bars(spark, tmp_path_factory):
-    root = str(tmp_path_factory.mktemp("lake"))
-    lake.replace(queries.market(spark, SF), root, "ohlcv_daily")
-    return lake.read(spark, root, "ohlcv_daily")
+    path = str(tmp_path_factory.mktemp("bars") / "bars")
+    queries.market(spark, SF).write.parquet(path)
+    return spark.read.schema(OHLCV).parquet(path)
 
 
 def test_whole_series_features_need_one_shuffle(spark, bars):
@@ -53,9 +53,16 @@ def test_bars_combine_before_the_shuffle(spark):
     assert p.index("partial_min_by") > p.index("Exchange hashpartitioning") and "Window" not in p
 
 
-def test_news_lookups_are_the_only_forced_broadcasts(spark):
+def test_news_lookups_are_subqueries_without_a_limit(spark):
     p = plan(derived.news_raw(spark, SF))
-    assert p.count("BroadcastHashJoin") == 2 and "TakeOrderedAndProject(limit=30" in p
+    assert "Join" not in p and "Limit" not in p and "limit=" not in p
+    days = derived.news_raw(spark, SF).select("ts").distinct().count()
+    assert days > 60
+
+
+def test_texts_are_neither_sorted_nor_gathered_by_key(spark):
+    p = plan(news.normalised(derived.news_raw(spark, SF)))
+    assert "SortAggregate" not in p
 
 
 def test_only_wanted_news_columns_are_shuffled(spark):

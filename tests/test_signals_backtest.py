@@ -147,6 +147,16 @@ def test_an_account_that_cannot_pay_stops_the_job(spark):
     held = backtest.positions(bars, sig)
     with pytest.raises(Exception, match="not enough cash"):
         backtest.equity_by_symbol(held, cash=5.0).collect()
+    log = backtest.trades(held).withColumn("run_id", F.col("symbol"))
+    for poor in (backtest.equity_by_symbol(held, cash=5.0), backtest.equity_portfolio(held, cash=5.0)):
+        for reader in (
+            lambda e: e.select("run_id", "date", "equity").collect(),
+            lambda e: metrics.performance(e.select("run_id", "date", "equity")).collect(),
+            lambda e: backtest.turnover(log, e).collect(),
+            lambda e: e.count(),
+        ):
+            with pytest.raises(Exception, match="not enough cash"):
+                reader(poor)
     flagged = backtest.equity_by_symbol(held, cash=5.0, on_shortfall="flag").orderBy("date").collect()
     assert [r.shortfall for r in flagged] == [False, True]
     low = backtest.lowest_cash(backtest.equity_by_symbol(held)).first()
