@@ -61,12 +61,16 @@ _BAR = (
 )
 
 
-def _statement(columns: str, skipped: int) -> str:
-    return (
-        "select c_mktsegment as symbol, cast(date_trunc('quarter', o_orderdate) as date) as date, "
-        f"{columns} from orders join customer on o_custkey = c_custkey "
-        f"where quarter(o_orderdate) <> {skipped} group by 1, 2"
+def _statement(late: int, **fields: str) -> str:
+    """Monthly items by quarter of the day ``late`` months on; a quarter's last month counts."""
+    day = f"cast(o_orderdate as date) + interval {late} month"
+    items = (
+        f"select c_mktsegment as symbol, cast(date_trunc('quarter', {day}) as date) as date, "
+        f"month({day}) as pos, " + ", ".join(f"{v} as {k}" for k, v in fields.items())
+        + " from orders join customer on o_custkey = c_custkey group by 1, 2, 3"
     )
+    last = ", ".join(f"arg_max({k}, pos) as {k}" for k in fields)
+    return f"select symbol, date, {last} from ({items}) group by 1, 2"
 
 
 def _softmax(element: str) -> str:
@@ -130,19 +134,23 @@ PARTS = {
         "select date, symbol, case when down > 0 then 100 - 100 / (1 + up / down) when up > 0 then 100e0 end as rsi14 "
         f"from (select date, symbol, {_ewm('greatest(x, 0)', ALPHA)} as up, {_ewm('greatest(-x, 0)', ALPHA)} as down from changes)"
     ),
+    "days": "select d, row_number() over (order by d) - 1 as k, count(*) over () as n from (select cast(ts as date) as d from events union select cast(l_shipdate as date) from lineitem)",
+    "symbols": "select s, row_number() over (order by s) - 1 as k, count(*) over () as n from (select event_type as s from events union select p_brand from part)",
     "news_raw": """
         select doc_id as ingest_seq, cast(y.d as timestamp) as ts,
-               case when doc_id % 17 = 0 then null else x.symbol end as symbol,
+               case when doc_id % 17 = 0 then null else x.s end as symbol,
                case when doc_id % 23 = 0 then null else lang end as source,
-               substr(text, 1, 80) as title, substr(text, 81, 200) as description,
+               split_part(text, chr(10), 1) as title,
+               substr(text, length(split_part(text, chr(10), 1)) + 2) as description,
                concat('http://example.com/', cast(doc_id as varchar)) as url, text as content
-        from documents
-        join (select d, row_number() over (order by d) - 1 as k from (select distinct cast(ts as date) as d from events)) y on n_chars % 30 = y.k
-        join (select symbol, row_number() over (order by symbol) - 1 as m from (select distinct event_type as symbol from events)) x on doc_id % 5 = x.m""",
+        from documents join days y on n_chars % y.n = y.k join symbols x on doc_id % x.n = x.k""",
     "dedup": _dedup(_key()),
     "norm": f"select ts, coalesce(symbol, 'UNKNOWN') as symbol, source, title, {_clean('content')} as text, url from dedup",
-    "scores": f"select vec_id, {_softmax('embedding')} from embeddings",
-    "headlines": "select ts, coalesce(symbol, 'UNKNOWN') as symbol, news_sent, news_conf from dedup join scores on vec_id = ingest_seq",
+    "thirds": "select vec_id, [" + ", ".join(
+        f"list_sum(list_transform(generate_series({i}, len(embedding), 3), lambda j: cast(embedding[j] as double)))"
+        for i in (1, 2, 3)) + "] as l from embeddings",
+    "scores": f"select vec_id, {_softmax('l')} from thirds",
+    "headlines": "select ts, coalesce(symbol, 'UNKNOWN') as symbol, news_sent, news_conf from dedup left join scores on vec_id = ingest_seq",
     "sentiment": "select cast(ts as date) as date, symbol, avg(news_sent) as news_sent, avg(news_conf) as news_conf, count(*) as headlines from headlines group by 1, 2",
     "features": (
         "select date, symbol, r20, rsi14, news_sent, news_conf from r20 "
@@ -180,17 +188,21 @@ PARTS = {
         "min(drawdown) as max_drawdown, max(date) as last_date from drawdowns group by run_id having count(*) >= 2"
     ),
     "income": _statement(
-        "cast(sum(cast(o_totalprice as decimal(18,2))) as double) as revenue, "
-        "cast(count(*) as double) as netIncome, max(o_totalprice) as eps", 4),
+        0, revenue="cast(sum(cast(o_totalprice as decimal(18,2))) as double)",
+        netIncome="cast(count(*) as double)", eps="max(o_totalprice)"),
     "balance": _statement(
-        "cast(sum(cast(c_acctbal as decimal(18,2))) as double) as totalAssets, "
-        "min(c_acctbal) as totalLiabilities", 1),
-    "cashflow": _statement("min(o_totalprice) as cashFlowFromOperatingActivities", 2),
+        3, totalAssets="cast(sum(cast(c_acctbal as decimal(18,2))) as double)",
+        totalLiabilities="min(c_acctbal)"),
+    "cashflow": _statement(6, cashFlowFromOperatingActivities="min(o_totalprice)"),
     "fundamentals": (
         "select symbol, date, revenue, netIncome, eps, totalAssets, totalLiabilities, "
         "cashFlowFromOperatingActivities from income full join balance using (symbol, date) "
         "full join cashflow using (symbol, date)"
     ),
+    "monthly": " union all ".join(
+        f"select distinct c_mktsegment as symbol, date_trunc('quarter', cast(o_orderdate as date) + interval {m} month) as q, "
+        f"month(cast(o_orderdate as date) + interval {m} month) as m, {m} as late from orders join customer on o_custkey = c_custkey"
+        for m in (0, 3, 6)),
     "known": (
         "select d.symbol, d.date, f.date as fact_date, f.* exclude (symbol, date) from "
         "(select distinct c_mktsegment as symbol, cast(o_orderdate as date) as date "
@@ -229,6 +241,8 @@ _STOP = (
     "'a', 'an', 'and', 'are', 'as', 'at', 'be', 'by', 'for', 'from', 'in', 'is', 'it', 'its', 'of', "
     "'on', 'or', 'that', 'the', 'this', 'to', 'was', 'were', 'with'"
 )
+_SYMBOLS = "['click', 'error', 'purchase', 'signup', 'view', " + ", ".join(
+    f"'Brand#{i}{j}'" for i in range(1, 6) for j in range(1, 6)) + "]"
 _NEWS_COLUMNS = ("ingest_seq", "ts", "symbol", "source", "title", "description", "url", "content")
 _TOP10 = "select symbol from bars group by symbol order by avg(close * volume) desc, symbol limit 10"
 
@@ -255,6 +269,7 @@ _SELECTS = {
     "bars_range": f"select date, symbol, {_PRICES}, volume from bars where symbol in ('Brand#11', 'Brand#12', 'click') and date between date '1996-01-01' and date '1996-12-31'",
     "r20": f"select date, symbol, r20.r20 as r20 from r20",
     "rsi14": f"select date, symbol, {_r('rsi14')} from rsi where rsi14 is not null",
+    "features_incremental": f"select date, r20.symbol as symbol, r20.r20 as r20, {_r('rsi14')} from r20 left join rsi using (date, symbol) where date between date '1997-03-01' and date '1997-03-31'",
     "features_daily": f"select date, features.symbol, r20, {_r('rsi14')}, {_SENT}, sector from features left join (select p_brand as symbol, min(p_type) as sector from part group by 1) s on s.symbol = features.symbol",
     "log_returns": f"select date, symbol, q - 1 as simple_return, {_r('ln(q)', 'log_return')} from (select date, symbol, close / nullif(lag(close) over ({SPAN}), 0) as q from bars) where q > 0",
     "sma20": f"select date, symbol, {_r('m', 'sma')} from (select date, symbol, avg(close) over ({SPAN} rows between 19 preceding and current row) as m, row_number() over ({SPAN}) as n from bars) where n >= 20",
@@ -270,22 +285,26 @@ _SELECTS = {
     "url_strip": f"select page_id, {_clean('html')} as text from pages",
     "symbol_strip": r"select doc_id, trim(regexp_replace(text, '[^\p{L}\p{N}$%.+-]+', ' ', 'g')) as text from documents",
     "stopword_strip": rf"select doc_id, array_to_string(list_filter(regexp_split_to_array(text, '\s+'), lambda w: lower(w) not in ({_STOP})), ' ') as text from documents",
-    "unicode_nfc": "select doc_id, nfc_normalize(text) as text from documents",
-    "news_page": "select cast((list_position(['click', 'error', 'purchase', 'signup', 'view'], symbol) - 1) * 100 + n - 1 as bigint) as ingest_seq, symbol, ts, source, title, url from (select *, row_number() over (partition by symbol order by ingest_seq) as n from news_raw where symbol is not null) where n <= 100",
+    "landed_news": "select ((list_position(" + _SYMBOLS + ", symbol) - 1) * 67108864 + ingest_seq) * 1048576 as ingest_seq, ts, symbol, source, title, url from news_raw where symbol <> 'view' and (ingest_seq % 3 = 0 or coalesce(source, 'en') = 'en')",
+    "landed_statements": f"select symbol, date, {_STATEMENT} from fundamentals where symbol <> 'MACHINERY'",
+    "landed_bars": f"select date, symbol, {_PRICES}, volume from bars where volume % 97 <> 0",
+    "quarantine": "select symbol, count(*) as lines, 'bars' as kind from bars where volume % 97 = 0 group by 1 union all select symbol, count(*), 'news' from news_raw where symbol = 'view' and ingest_seq % 7 < 3 group by 1 union all select symbol, 2 * count(*), 'statements' from monthly where symbol = 'MACHINERY' group by 1",
     "news_dedup": f"select {_DEDUP_COLUMNS} from dedup",
     "news_dedup_by_symbol": f"select {_DEDUP_COLUMNS} from ({_dedup(_key(', symbol'))})",
     "news_dedup_latest": f"select {_DEDUP_COLUMNS} from ({_dedup(_key(), 'desc')})",
     "news_norm": "select * from norm",
     "news_returns": f"select cast(ts as date) as date, norm.symbol, r20.r20 as r20, source, title from norm left join r20 on r20.symbol = norm.symbol and r20.date = cast(ts as date)",
     "alias_mapping": r"""select n.ingest_seq, coalesce(n.symbol, h.s) as symbol, n.title from news_raw n left join (
-        select ingest_seq, arg_min(t.s, place) as s from (
-            select ingest_seq, -1 as place, lower(title) as w from news_raw where symbol is null
-            union all
-            select ingest_seq, unnest(generate_series(0, len(l) - 1)), unnest(l) from (
-                select ingest_seq, string_split(regexp_replace(lower(title), '[^\p{L}\p{N}]+', ' ', 'g'), ' ') as l
-                from news_raw where symbol is null)) u
-        join (select lower(string_split(text, ' ')[1]) as alias, min('B' || cast(item_id as varchar)) as s
-              from benchmark group by 1 having alias <> '') t on t.alias = u.w
+        select ingest_seq, arg_min(t.s, place * 10 - t.k) as s from (
+            select ingest_seq, i as place, concat(l[i], ' ', l[i + 1]) as w2, l[i] as w1 from (
+                select ingest_seq, l, unnest(generate_series(1, len(l))) as i from (
+                    select ingest_seq, list_filter(string_split(regexp_replace(lower(title), '[^\p{L}\p{N}]+', ' ', 'g'), ' '), lambda w: w <> '') as l
+                    from news_raw where symbol is null))) u
+        join (select array_to_string(a, ' ') as alias, len(a) as k, min(s) as s from (
+                select list_filter(string_split(regexp_replace(lower(concat(w[i], ' ', w[i + 1])), '[^\p{L}\p{N}]+', ' ', 'g'), ' '), lambda x: x <> '') as a, s
+                from (select w, s, unnest(generate_series(1, len(w) - 1)) as i from (
+                    select string_split(regexp_replace(text, '\s+', ' ', 'g'), ' ') as w, 'B' || cast(item_id as varchar) as s from benchmark)))
+              where len(a) > 0 group by 1, 2) t on t.alias = case t.k when 1 then u.w1 else u.w2 end
         group by ingest_seq) h on h.ingest_seq = n.ingest_seq""",
     "sentiment_scores": f"select vec_id as ingest_seq, {_SENT} from scores",
     "sentiment_daily": f"select date, symbol, {_SENT}, headlines from sentiment",
@@ -325,7 +344,7 @@ _SELECTS = {
     "quality_keys": "select l_orderkey, l_linenumber, count(*) as rows from lineitem group by 1, 2 having count(*) > 1",
     "quality_ranges": "select 'news_sent' as column, count(*) filter (where news_sent not between -0.2e0 and 0.2e0) as violations from scores union all select 'news_conf', count(*) filter (where news_conf not between 0e0 and 0.7e0) from scores",
     "quality_freshness": "select max(date) as latest, cast(date '2024-02-01' - max(date) as integer) as age_days, date '2024-02-01' - max(date) <= 4 as fresh from bars",
-    "causality_violations": "select count(*) as rows, count(*) filter (where fact_date > date) as violations from known",
+    "causality_violations": "select count(*) as rows, count(*) filter (where fact_date > date - 45) as violations from known",
 }
 
 ORACLES = {name: _sql(select) for name, select in _SELECTS.items()}

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,6 +74,12 @@ def coarser(df: DataFrame, digits: int, *columns: str) -> DataFrame:
     )
 
 
+# All symbols of the derived news, in the order articles are numbered in.
+SYMBOLS = (
+    "click", "error", "purchase", "signup", "view",
+    *(f"Brand#{maker}{line}" for maker in range(1, 6) for line in range(1, 6)),
+)
+
 PRICES = ("open", "high", "low", "close")
 HEADLINE = ("ingest_seq", "ts", "symbol", "source", "title", "url")
 TRADE = ("price", "cost", "commission")
@@ -91,13 +98,13 @@ def ohlcv(spark, sf_dir) -> DataFrame:
 
 
 def headline_scores(spark, sf_dir) -> DataFrame:
-    """Scores per normalised headline; only embedded documents have one."""
+    """Every normalised headline with its scores, which are null where there is no vector."""
     raw = derived.news_raw(spark, sf_dir)
     kept = news.deduplicated(raw, columns=("ingest_seq", "ts", "symbol"))
     scores = sentiment.scored(derived.headline_logits(spark, sf_dir))
     return kept.select(
         "ingest_seq", "ts", F.coalesce("symbol", F.lit(news.UNKNOWN)).alias("symbol")
-    ).join(scores, "ingest_seq")
+    ).join(scores, "ingest_seq", "left")
 
 
 def sectors(spark, sf_dir) -> DataFrame:
@@ -155,6 +162,12 @@ def rsi14(spark, sf_dir):
     return rows.where(F.col("rsi14").isNotNull()).select("date", "symbol", "rsi14")
 
 
+@query("r20")
+def features_incremental(spark, sf_dir):
+    """The features of one month, rebuilt: they equal those of the full series."""
+    return features.features_between(market(spark, sf_dir), "1997-03-01", "1997-03-31")
+
+
 @query("r20")
 def features_daily(spark, sf_dir):
     rows = features.daily_features(ohlcv(spark, sf_dir))
@@ -241,26 +254,38 @@ def stopword_strip(spark, sf_dir):
 
 
 @query()
-def unicode_nfc(spark, sf_dir):
-    docs = derived.table(spark, sf_dir, "documents")
-    return docs.select("doc_id", text.unicode_normalised(F.col("text"), "NFC").alias("text"))
+def landed_news(spark, sf_dir):
+    """All articles of landed lines; the symbol with broken lines is left out."""
+    lines = derived.news_lines(spark, sf_dir)
+    found = landed.parse_news(lines, SYMBOLS, "1900-01-01", "2999-12-31")
+    return found.select("ingest_seq", "ts", "symbol", "source", "title", "url")
 
 
-@query()
-def unicode_nfkc(spark, sf_dir):
-    docs = derived.table(spark, sf_dir, "documents")
-    return docs.select("doc_id", text.unicode_normalised(F.col("text")).alias("text"))
+@query(*STATEMENT_FIELDS)
+def landed_statements(spark, sf_dir):
+    return fundamentals.merged(*landed.parse_statements(derived.statement_lines(spark, sf_dir)))
+
+
+@query("open", "high", "low", "close")
+def landed_bars(spark, sf_dir):
+    lines = derived.bar_lines(market(spark, sf_dir))
+    return landed.sound_bars(landed.parse_bars(lines), "1900-01-01", "2999-12-31")
 
 
 @query()
-def news_page(spark, sf_dir):
-    """The first 100 articles per symbol, the vendor's page size, in landed order."""
-    raw = derived.news_raw(spark, sf_dir).where(F.col("symbol").isNotNull())
-    seen = raw.withColumn("seq", F.col("ingest_seq")).withColumn("at", F.lit(0))
-    order = ["click", "error", "purchase", "signup", "view"]
-    return landed.page_per_symbol(seen.drop("ingest_seq"), order, 100).select(
-        "ingest_seq", "symbol", "ts", "source", "title", "url"
-    )
+def quarantine(spark, sf_dir):
+    """Unreadable landed lines per kind and symbol."""
+    kinds = {
+        "bars": derived.bar_lines(market(spark, sf_dir)),
+        "news": derived.news_lines(spark, sf_dir),
+        "statements": derived.statement_lines(spark, sf_dir),
+    }
+    found = [
+        landed.broken(lines, kind).groupBy("symbol").agg(F.count("*").alias("lines"))
+        .withColumn("kind", F.lit(kind))
+        for kind, lines in kinds.items()
+    ]
+    return reduce(DataFrame.unionByName, found)
 
 
 @query()
@@ -291,10 +316,15 @@ def news_returns(spark, sf_dir):
 
 @query()
 def alias_mapping(spark, sf_dir):
-    """Symbols for articles without one; the first word of a benchmark text is an alias."""
+    """Symbols for articles without one; aliases are the pairs of words in benchmark texts."""
     items = derived.table(spark, sf_dir, "benchmark")
+    words = F.split(F.regexp_replace("text", r"\s+", " "), " ")
+    pairs = F.transform(
+        F.slice(words, F.lit(1), F.greatest(F.size(words) - 1, F.lit(0))),
+        lambda w, i: F.concat_ws(" ", w, F.get(words, i + 1)),
+    )
     aliases = items.select(
-        F.split("text", " ")[0].alias("alias"),
+        F.explode(pairs).alias("alias"),
         F.concat(F.lit("B"), F.col("item_id").cast("string")).alias("symbol"),
     )
     mapped = universe.map_to_symbols(derived.news_raw(spark, sf_dir), aliases)
@@ -347,8 +377,8 @@ def fundamentals_merge(spark, sf_dir):
 
 @query(*STATEMENT_FIELDS)
 def fundamentals_asof(spark, sf_dir):
-    facts = stage(fundamentals_merge(spark, sf_dir), "fundamentals")
-    return fundamentals.as_of(stage(order_days(spark, sf_dir), "decisions"), facts)
+    return fundamentals.as_of(
+        order_days(spark, sf_dir), fundamentals.merged(*derived.statements(spark, sf_dir)))
 
 
 # --- decisions and backtest -------------------------------------------------------------
@@ -367,7 +397,8 @@ def signals_zscore(spark, sf_dir):
 
 @query()
 def orders(spark, sf_dir):
-    return signals.to_orders(signals.decide(rule_inputs(spark, sf_dir), **RULE))
+    placed = signals.to_orders(signals.decide(rule_inputs(spark, sf_dir), **RULE))
+    return signals.split_by_side(placed)[0]
 
 
 @query(*PRICES)
@@ -485,4 +516,7 @@ def quality_freshness(spark, sf_dir):
 
 @query()
 def causality_violations(spark, sf_dir):
-    return quality.causality_violations(fundamentals_asof(spark, sf_dir))
+    """Decisions moved 45 days back, so that some come before the facts they used."""
+    known = fundamentals.as_of(
+        order_days(spark, sf_dir), fundamentals.merged(*derived.statements(spark, sf_dir)))
+    return quality.causality_violations(known.withColumn("date", F.date_sub("date", 45)))

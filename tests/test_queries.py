@@ -5,12 +5,12 @@ import re
 import pytest
 
 import __spark_entry__ as entry_module
+from closebell.plans.oracles import ORACLES
+from closebell.plans.queries import QUERIES
 from oracle_check import compare, connect
 
 SF = "/root/testdata/sf0.001"
-ORACLES = entry_module.oracle_sql()
-QUERIES = entry_module.queries()
-PYTHON = {"unicode_nfc", "unicode_nfkc", "sentiment_model"}
+PYTHON = {"sentiment_model"}
 
 
 @pytest.fixture(scope="module")
@@ -26,14 +26,13 @@ def test_query(spark, con, name):
     assert not re.search(r"BatchEvalPython|FlatMapGroupsInPandas", plan)
     if name not in PYTHON:
         assert not re.search(r"ArrowEvalPython|MapInPandas", plan)
-    if name in ORACLES:
-        assert compare(df, con, ORACLES[name]) is None
-    else:
-        assert df.count() > 0
+    assert compare(df, con, ORACLES[name]) is None
 
 
-def test_every_query_but_one_has_an_oracle():
-    assert set(QUERIES) - set(ORACLES) == {"unicode_nfkc"} and set(ORACLES) <= set(QUERIES)
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_module.queries())
+    assert set(ORACLES) <= set(entry_module.oracle_sql())
 
 
 def test_entry(spark):
