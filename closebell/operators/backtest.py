@@ -7,10 +7,10 @@ cash and equity running values of each series instead of an event loop.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from closebell.operators.series import BLOCK, Series, own_rows, running, with_history
+from closebell.operators.series import BLOCK, Series, blocked, own_rows, running, with_history
 from closebell.session import stage
 
 BARS = Series()
@@ -30,28 +30,48 @@ def positions(
 ) -> DataFrame:
     """``symbol, date, open, close, pos, fill`` per bar; pos is 1 (long) or 0 (flat).
 
-    Without ``signals`` the bars have a ``side`` already (see ``with_signals``); staging
-    those first saves repeating the join in the branches below.
+    Without ``signals`` the bars have a ``side`` already (see ``with_signals``).
 
     BUY counts only when flat and SELL only when long, because repeating a side changes
-    nothing. ``fill`` is the change of position at this bar's open.
+    nothing. ``fill`` is the change of position at this bar's open. Both positions are the last
+    target of a frame that ends one or two bars back, so a block needs two values from the
+    blocks before it, which travel in one small row.
     """
     target = F.when(F.col("side") == "BUY", 1).when(F.col("side") == "SELL", 0)
     decided = bars if signals is None else with_signals(bars, signals)
-    rows = decided.select("symbol", "date", "open", "close", target.alias("_target"))
-    w = series.window()
-    rows = own_rows(
-        with_history(rows, series, 2, ["_target"]).select(
-            "*",
-            F.lag("_target", 1).over(w).alias("_decided"),
-            F.lag("_target", 2).over(w).alias("_decided_before"),
-        )
+    rows = blocked(
+        decided.select("symbol", "date", "open", "close", target.alias("_target")), series
     )
-    held = running(
-        rows, series, _pos=("last", "_decided"), _pos_before=("last", "_decided_before")
+    w, last = series.window(), F.last("_target", ignorenulls=True)
+    local = rows.select(
+        "*", F.row_number().over(w).alias("_n"),
+        *[last.over(w.rowsBetween(Window.unboundedPreceding, -back)).alias(f"_back{back}")
+          for back in range(3)],
     )
-    pos, before = F.coalesce("_pos", F.lit(0)), F.coalesce("_pos_before", F.lit(0))
-    return held.select(
+    if series.days is None:
+        pos, before = F.col("_back1"), F.col("_back2")
+    else:
+        # a block's last target, and the same without its last bar
+        ends = local.groupBy(*series.parts).agg(
+            F.max_by("_back0", series.order_value()).alias("_all"),
+            F.max_by("_back1", series.order_value()).alias("_less"),
+        )
+        in_order = Window.partitionBy(*series.keys).orderBy(BLOCK)
+        known = F.last("_all", ignorenulls=True)
+        carry = ends.select(
+            *series.parts,
+            known.over(in_order.rowsBetween(Window.unboundedPreceding, -1)).alias("_carry"),
+            F.coalesce(
+                F.lag("_less").over(in_order),
+                known.over(in_order.rowsBetween(Window.unboundedPreceding, -2)),
+            ).alias("_carry_less"),
+        )
+        local = local.join(carry, series.parts, "left")
+        pos = F.coalesce("_back1", "_carry")
+        before = F.when(F.col("_n") == 1, F.col("_carry_less")).otherwise(
+            F.coalesce("_back2", "_carry"))
+    pos, before = F.coalesce(pos, F.lit(0)), F.coalesce(before, F.lit(0))
+    return local.select(
         "symbol", "date", "open", "close", pos.alias("pos"), (pos - before).alias("fill")
     )
 
@@ -238,7 +258,7 @@ def run_backtest(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(positions, trades, portfolio equity) for bars with ``start <= date <= end``.
 
-    Bars with their signals, and positions, are staged: both are read more than once.
+    Positions are staged, as they are read more than once.
     """
     if symbols is not None:
         bars = bars.where(F.col("symbol").isin(*symbols))
@@ -246,7 +266,6 @@ def run_backtest(
         bars = bars.where(F.col("date") >= F.lit(start).cast("date"))
     if end is not None:
         bars = bars.where(F.col("date") <= F.lit(end).cast("date"))
-    decided = stage(with_signals(bars, signals), "decided")
-    held = stage(positions(decided, series=series), "positions")
+    held = stage(positions(bars, signals, series), "positions")
     fees = {k: v for k, v in account.items() if k in ("stake", "commission", "slippage_bps")}
     return held, trades(held, **fees), equity_portfolio(held, series=series, **account)

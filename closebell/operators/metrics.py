@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from closebell.functions.numbers import fixed4
 from closebell.functions.text import metric_label
-from closebell.operators.series import Series, own_rows, running, with_history
+from closebell.operators.series import Series, blocked, running
 
 RUNS = Series(keys=("run_id",))
 TRADING_DAYS = 252  # fixed value: trading days per year
@@ -34,12 +34,26 @@ def performance(equity: DataFrame, series: Series = RUNS) -> DataFrame:
     With exactly two points there is one return, whose deviation is undefined: volatility
     and Sharpe ratio are null then. Sharpe is 0 when the deviation is 0.
     """
-    rows = with_history(equity.select("run_id", "date", "equity"), series, 1, ["equity"])
-    before = F.lag("equity").over(series.window())
-    rows = own_rows(
-        rows.withColumn("_ret", F.try_divide(F.col("equity"), before) - 1)
+    rows = blocked(equity.select("run_id", "date", "equity"), series)
+    local = rows.select(
+        "*", F.lag("equity").over(series.window()).alias("_before"),
+        F.max("equity").over(series.so_far()).alias("_peak"),
     )
-    rows = running(rows, series, _peak=("max", "equity"))
+    if series.days is not None:
+        # what a block needs from earlier ones: their last point and their highest
+        ends = rows.groupBy(*series.parts).agg(
+            F.max_by("equity", "date").alias("_last"), F.max("equity").alias("_high")
+        )
+        earlier = series.earlier_blocks()
+        carry = ends.select(
+            *series.parts, F.last("_last").over(earlier).alias("_last"),
+            F.max("_high").over(earlier).alias("_high"),
+        )
+        local = local.join(carry, series.parts, "left").withColumns({
+            "_before": F.coalesce("_before", "_last"),
+            "_peak": F.greatest("_peak", "_high"),
+        })
+    rows = local.withColumn("_ret", F.try_divide(F.col("equity"), F.col("_before")) - 1)
     drawdown = F.try_divide(F.col("equity"), F.col("_peak")) - 1
     total = F.try_divide(F.max_by("equity", "date"), F.min_by("equity", "date")) - 1
     stats = rows.groupBy("run_id").agg(

@@ -242,7 +242,7 @@ _STOP = (
     "'on', 'or', 'that', 'the', 'this', 'to', 'was', 'were', 'with'"
 )
 _SYMBOLS = "['click', 'error', 'purchase', 'signup', 'view', " + ", ".join(
-    f"'Brand#{i}{j}'" for i in range(1, 6) for j in range(1, 6)) + "]"
+    f"'Brand#{n}'" for n in range(1, 26)) + "]"
 _NEWS_COLUMNS = ("ingest_seq", "ts", "symbol", "source", "title", "description", "url", "content")
 _TOP10 = "select symbol from bars group by symbol order by avg(close * volume) desc, symbol limit 10"
 

@@ -77,7 +77,7 @@ def coarser(df: DataFrame, digits: int, *columns: str) -> DataFrame:
 # All symbols of the derived news, in the order articles are numbered in.
 SYMBOLS = (
     "click", "error", "purchase", "signup", "view",
-    *(f"Brand#{maker}{line}" for maker in range(1, 6) for line in range(1, 6)),
+    *(f"Brand#{n}" for n in range(1, 26)),
 )
 
 PRICES = ("open", "high", "low", "close")
@@ -123,7 +123,7 @@ def held_of(spark, sf_dir) -> DataFrame:
 
 
 def equity_of(spark, sf_dir) -> DataFrame:
-    return stage(backtest.equity_by_symbol(held_of(spark, sf_dir), cash=CASH), "equity_curve")
+    return backtest.equity_by_symbol(held_of(spark, sf_dir), cash=CASH)
 
 
 def order_days(spark, sf_dir) -> DataFrame:
@@ -407,8 +407,7 @@ def positions(spark, sf_dir):
     rows = features.with_sentiment(
         features.trailing_return(bars), sentiment.daily(headline_scores(spark, sf_dir))
     )
-    decided = backtest.with_signals(bars, signals.decide(rows, **RULE))
-    return backtest.positions(stage(decided, "decided"))
+    return backtest.positions(bars, signals.decide(rows, **RULE))
 
 
 @query(*TRADE)
