@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from closebell.llm import decontaminate, host_quality, mixing, secrets, simhash
 from closebell.llm.queries import MIX
-from closebell.session import shared_folder
+from closebell.session import shared_folder, staging
 from closebell.sources.derived import table
 
 
@@ -52,11 +52,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each result is written to the shared folder and reread."""
+    """All stages over ``documents``; each result is written to the shared folder and reread.
+
+    What a stage stages for itself is dropped once its result is written.
+    """
     docs = table(spark, sf_dir, "documents")
     base = f"{shared_folder(spark)}/corpus-{uuid.uuid4().hex}"
     for number, (_, stage) in enumerate(STAGES):
         path = f"{base}/{number}"
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with staging(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
