@@ -141,6 +141,7 @@ def keep_good(docs: DataFrame, host: str = "source", text: str = "text", **rules
     max_rate = rules.pop("max_host_rate", 0.5)
     verdicts = judge(docs, host, text, max_rate, carry=(), **rules)
     bad = verdicts.where(F.col("host_rate") > max_rate).select("_host").distinct()
+    bad = stage(bad, "bad-hosts")  # its size is known before the texts would be shuffled to meet it
     good = hosted.where(~base_failure(**rules)).withColumn(
         "_host", F.coalesce(F.col(host).cast("string"), F.lit(""))
     )

@@ -260,13 +260,14 @@ def keep_one(
     kept = found.where("doc_id is null or doc_id = component_id")
     dropped = found.where("doc_id is not null").select("doc_id").distinct().join(
         kept.select("doc_id").distinct(), "doc_id", "left_anti"
-    )
-    repeated = kept.groupBy("doc_id").count().where("count > 1").select("doc_id")
-    match = lambda rows: docs[id_column] == rows["doc_id"]
-    stay = docs.join(dropped, match(dropped), "left_anti")
-    single = stay.join(repeated, stay[id_column] == repeated["doc_id"], "left_anti")
-    several = stay.join(repeated, stay[id_column] == repeated["doc_id"], "left_semi")
+    ).withColumnRenamed("doc_id", id_column)
+    repeated = kept.groupBy("doc_id").count().where("count > 1").select(
+        F.col("doc_id").alias(id_column))
+    # staged, so that their sizes are known before the texts would be shuffled to meet them
+    dropped, repeated = stage(dropped, "simhash-dropped"), stage(repeated, "simhash-repeated")
+    single = docs.join(repeated, id_column, "left_anti").join(dropped, id_column, "left_anti")
+    several = docs.join(repeated, id_column, "left_semi").join(dropped, id_column, "left_anti")
     one = several.groupBy(F.col(id_column).alias("_id")).agg(
         F.min(F.struct(*[F.col(c) for c in docs.columns])).alias("_row")
     )
-    return single.unionByName(one.select("_row.*"))
+    return single.select(*docs.columns).unionByName(one.select("_row.*"))
