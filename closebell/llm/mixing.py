@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from closebell.session import stage
 
 SPACES = "[ \\t-\\r]+"
-DOCUMENTS_PER_SLICE = 20_000  # expected; a leaf's order is cut into slices of its key
+DOCUMENTS_PER_SLICE = 2_000  # expected; a leaf's order is cut into slices of its key
 
 
 def word_count(text: Column) -> Column:
