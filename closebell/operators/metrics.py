@@ -100,8 +100,8 @@ def walk_forward(df: DataFrame, min_train_months: int = 12) -> DataFrame:
     monthly = df.groupBy(F.to_date(F.date_trunc("month", "date")).alias("test_start")).agg(
         F.count("*").alias("test_rows"), F.min("date").alias("first_date")
     )
-    monthly = monthly.withColumn("_all", F.lit(1))
-    series = Series(keys=("_all",), order=("test_start",), days=None)  # one row per month
+    monthly = monthly.withColumn("_one_group_of_months", F.lit(1))
+    series = Series(keys=("_one_group_of_months",), order=("test_start",), days=None)  # one row per month
     w = series.window()
     rows = running(monthly, series, _total=("sum", "test_rows"))
     rows = rows.select(

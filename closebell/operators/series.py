@@ -21,7 +21,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -58,8 +58,15 @@ class Series:
         return F.col(self.order[0]) if len(self.order) == 1 else F.struct(*self.order)
 
 
+def unkeyed(df: DataFrame, series: Series) -> DataFrame:
+    """The rows without a key, which the operators below leave out: they belong to no series.
+    Lake tables have none, as their writers refuse them; other callers may list them here."""
+    return df.where(reduce(or_, [F.col(k).isNull() for k in series.keys]))
+
+
 def blocked(df: DataFrame, series: Series) -> DataFrame:
-    """Add the block number. Rows without a key belong to no series and are left out.
+    """Add the block number. Rows without a key belong to no series and are left out
+    (``unkeyed`` has them).
 
     The explicit filter also keeps the branches below alike: a join would add it to one
     of them only, and Spark could not share their common shuffle any more.

@@ -77,7 +77,9 @@ def build_features(
         rows = rows.withColumn("sector", F.lit(None).cast("string"))
     else:
         rows = features.with_sector(rows, sectors)
-    lake.replace(rows.select(*FEATURES.fieldNames()), root, "features_daily")
+    # decisions are taken day by day: rows of a day lie together
+    laid_out = rows.select(*FEATURES.fieldNames()).repartitionByRange("date", "symbol")
+    lake.replace(laid_out.sortWithinPartitions("date", "symbol"), root, "features_daily")
 
 
 def decide(spark: SparkSession, root: str, **rule) -> None:

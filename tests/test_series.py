@@ -120,3 +120,13 @@ def test_a_long_series_is_spread_over_tasks(df):
     rows = with_history(long_rows, s, 1, ["x"]).withColumn("l", F.lag("x").over(w))
     per_task = rows.where("not _past").groupBy(F.spark_partition_id().alias("p")).count().collect()
     assert len(per_task) > 3
+
+
+def test_rows_without_a_key_are_listed(spark):
+    from closebell.operators.features import returns
+    from closebell.operators.series import unkeyed
+
+    df = spark.createDataFrame([("A", dt.date(2024, 1, 1), 1.0), (None, dt.date(2024, 1, 1), 2.0)],
+                               "symbol string, date date, close double")
+    assert returns(df).count() == 1
+    assert [r.close for r in unkeyed(df, Series()).collect()] == [2.0]
