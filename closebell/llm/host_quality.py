@@ -137,12 +137,14 @@ def judge(
 def keep_good(docs: DataFrame, host: str = "source", text: str = "text", **rules) -> DataFrame:
     """The rows of ``docs`` that ``judge`` keeps, with their columns. Rows with one ``doc_id``
     stay or go by their own text: the verdict is computed beside the text, not joined by id."""
-    hosted = with_stats(docs.withColumn("_text", F.col(text)), "_text").drop("_text")
     max_rate = rules.pop("max_host_rate", 0.5)
     verdicts = judge(docs, host, text, max_rate, carry=(), **rules)
     bad = verdicts.where(F.col("host_rate") > max_rate).select("_host").distinct()
     bad = stage(bad, "bad-hosts")  # its size is known before the texts would be shuffled to meet it
-    good = hosted.where(~base_failure(**rules)).withColumn(
-        "_host", F.coalesce(F.col(host).cast("string"), F.lit(""))
-    )
-    return good.join(bad, "_host", "left_anti").select(*docs.columns)
+    # whole rows travel as one column, so that no name of theirs can clash
+    rows = docs.select(
+        F.struct(*docs.columns).alias("_row"), _stats(F.col(text)).alias("_s"),
+        F.coalesce(F.col(host).cast("string"), F.lit("")).alias("_host"),
+    ).select("_row", "_host", "_s.*")
+    good = rows.where(~base_failure(**rules)).join(bad, "_host", "left_anti")
+    return good.select("_row.*")

@@ -55,5 +55,5 @@ def test_clashing_columns_and_empty_tables(spark, extra):
     kind = "x" if extra.endswith("string") else 7
     docs = spark.createDataFrame([(1, GOOD, "h", kind)], f"doc_id long, text string, source string, {extra}")
     assert H.judge(docs).first().n_words == 60
-    assert H.keep_good(docs).columns == docs.columns or extra.startswith("_")
+    assert [tuple(r) for r in H.keep_good(docs).collect()] == [(1, GOOD, "h", kind)]
     assert H.judge(docs.limit(0)).count() == 0 and H.keep_good(docs.limit(0)).count() == 0
