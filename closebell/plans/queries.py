@@ -153,12 +153,12 @@ def bars_range(spark, sf_dir):
 
 @query("r20")
 def r20(spark, sf_dir):
-    return features.trailing_return(ohlcv(spark, sf_dir))
+    return features.trailing_return(market(spark, sf_dir))
 
 
 @query()
 def rsi14(spark, sf_dir):
-    rows = features.momentum(ohlcv(spark, sf_dir))
+    rows = features.momentum(market(spark, sf_dir))
     return rows.where(F.col("rsi14").isNotNull()).select("date", "symbol", "rsi14")
 
 
@@ -177,12 +177,12 @@ def features_daily(spark, sf_dir):
 
 @query("simple_return")
 def log_returns(spark, sf_dir):
-    return features.returns(ohlcv(spark, sf_dir)).where(F.col("log_return").isNotNull())
+    return features.returns(market(spark, sf_dir)).where(F.col("log_return").isNotNull())
 
 
 @query()
 def sma20(spark, sf_dir):
-    return features.moving_average(ohlcv(spark, sf_dir)).where(F.col("sma").isNotNull())
+    return features.moving_average(market(spark, sf_dir)).where(F.col("sma").isNotNull())
 
 
 @query()
@@ -192,7 +192,7 @@ def rolling_vol20(spark, sf_dir):
 
 @query()
 def macd(spark, sf_dir):
-    return coarser(features.macd(ohlcv(spark, sf_dir)), 4, "macd", "macd_signal")
+    return coarser(features.macd(market(spark, sf_dir)), 4, "macd", "macd_signal")
 
 
 @query()
