@@ -1,19 +1,23 @@
 """License scans: a trained paragraph classifier, confirmed by comparison with templates.
 
-A paragraph is a line. Its words and word pairs are hashed into a sparse vector; a multinomial
-logistic regression tells the licence families and ``unknown`` apart. It is trained on the templates
-with words left out, swapped in or cut off, and on a bounded sample of corpus lines as
-``unknown``; a temperature fitted on held-out lines calibrates its probabilities. A family is
-reported if it is the likeliest class with a calibrated probability of ``min_probability`` and the
-paragraph holds ``min_similarity`` of the five-word shingles of one of its templates.
-
-Only paragraphs with a word that begins like one of ``STEMS`` are classified. That drops nothing:
+A paragraph is a run of lines between lines without a letter or digit; comment marks at line starts
+are left out and line breaks are read as spaces, so a notice may be wrapped. A notice in it is a
+stretch that holds ``min_similarity`` of the five-word shingles of a template: in the template's
+order, or else anywhere in one line or in the paragraph. Notices of one family that share a line
+are one. Their words and word pairs are hashed into a sparse vector; a multinomial logistic
+regression tells the licence families and ``unknown`` apart. It is trained on the templates with
+words left out, swapped in or cut off, and on a bounded sample of corpus lines as ``unknown``; a
+temperature fitted on held-out lines calibrates its probabilities. A notice is reported, with its
+first and last line, if its family is the likeliest class with a calibrated probability of
+``min_probability``.
+
+Only paragraphs with a word that begins like one of ``STEMS`` are searched. That drops nothing:
 in every template at least a fifth of the shingles hold such a word (checked on import), so no
 paragraph without one can be confirmed.
 
 Everything is DataFrame and Spark ML code. Defined results: null and empty texts have no
-paragraphs; lines of fewer than five words are never confirmed. Repeated lines and rows are
-reported one by one, an empty table gives an empty result. Other columns are ignored.
+paragraphs; paragraphs of fewer than five words are never confirmed. Repeated paragraphs and rows
+are reported one by one, an empty table gives an empty result. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -23,7 +27,7 @@ from dataclasses import dataclass
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from closebell.session import stage
@@ -70,6 +74,7 @@ CLASSES = (UNKNOWN, *TEMPLATES)
 STEMS = ("licen", "copyright", "permission", "permitted", "redistribut", "software")
 
 _SEPARATOR = r"[^\p{L}\p{N}]+"
+_MARK = r"^[\s/*#;%!<>|\"'.\\-]*(?:(?i:dnl|rem|c)(?=\s|$))?\s*"  # what a comment line begins with
 
 
 def words(text: Column) -> Column:
@@ -89,9 +94,13 @@ def _plain_words(text: str) -> list[str]:
     return "".join(c if c.isalnum() else " " for c in text.lower()).split()
 
 
-def _plain_shingles(text: str) -> list[str]:
+def _ordered_shingles(text: str) -> list[str]:
     w = _plain_words(text)
-    return sorted({" ".join(w[i:i + SHINGLE]) for i in range(len(w) - SHINGLE + 1)})
+    return list(dict.fromkeys(" ".join(w[i:i + SHINGLE]) for i in range(len(w) - SHINGLE + 1)))
+
+
+def _plain_shingles(text: str) -> list[str]:
+    return sorted(_ordered_shingles(text))
 
 
 for _family, _texts in TEMPLATES.items():
@@ -124,7 +133,7 @@ def _variants(text: str) -> list[str]:
     return [text, text.upper(), *dropped, *around, " ".join(w[:-1]), " ".join(w[1:])]
 
 
-def paragraphs(docs: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataFrame:
+def lines(docs: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataFrame:
     """``doc_id, line, paragraph``: every non-empty line with its number from 0."""
     return docs.select(
         F.col(id_column).alias("doc_id"), F.posexplode(F.split(F.col(text), "\n")).alias(
@@ -132,6 +141,23 @@ def paragraphs(docs: DataFrame, text: str = "text", id_column: str = "doc_id") -
     ).where(F.trim("paragraph") != "")
 
 
+def paragraphs(docs: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataFrame:
+    """``doc_id, line, lines``: the number of each paragraph's first line, and its lines."""
+    stripped = F.transform(F.split(F.col(text), "\n"), lambda t: F.regexp_replace(t, _MARK, ""))
+    # every line carries its number, so that blocks can be cut out of the joined text
+    numbered = F.transform(stripped, lambda t, i: F.when(
+        t.rlike(r"[\p{L}\p{N}]"), F.concat_ws(":", i, t)).otherwise(""))
+    blocks = docs.select(
+        F.col(id_column).alias("doc_id"),
+        F.explode(F.split(F.array_join(numbered, "\n"), "\n\n+")).alias("_block"),
+    ).withColumn("_block", F.ltrim(F.col("_block"), F.lit("\n"))).where("_block != ''")
+    return blocks.select(
+        "doc_id", F.substring_index("_block", ":", 1).cast("int").alias("line"),
+        F.transform(F.split(F.rtrim(F.col("_block"), F.lit("\n")), "\n"),
+                    lambda t: F.regexp_replace(t, "^[0-9]+:", "")).alias("lines"),
+    )
+
+
 def train(
     docs: DataFrame, text: str = "text", id_column: str = "doc_id", sample_docs: int = 400,
     sample_lines: int = 4_000, dimensions: int = 1 << 14, regularisation: float = 1e-3,
@@ -142,9 +168,9 @@ def train(
     ids = docs.select(F.col(id_column).alias("i")).where("i is not null").distinct().orderBy(
         F.xxhash64("i"), "i").limit(sample_docs)
     chosen = [r.i for r in ids.collect()]
-    lines = paragraphs(docs.where(F.col(id_column).isin(chosen)) if chosen else docs.limit(0),
-                       text, id_column)
-    unknown = lines.where(~_has_stem(F.col("paragraph"))).orderBy(
+    sample = lines(docs.where(F.col(id_column).isin(chosen)) if chosen else docs.limit(0),
+                   text, id_column)
+    unknown = sample.where(~_has_stem(F.col("paragraph"))).orderBy(
         F.xxhash64("paragraph"), "paragraph").limit(sample_lines)
     unknown = unknown.select("paragraph", F.lit(0.0).alias("label"))
     known = spark.createDataFrame(
@@ -202,37 +228,109 @@ def classify(rows: DataFrame, classifier: Classifier) -> DataFrame:
     )
 
 
-def _similarity(shingles: Column, family: Column) -> Column:
-    """The largest share of a template's shingles, over the templates of ``family``."""
-    result = F.lit(0.0)
-    for name, texts in TEMPLATES.items():
-        wanted = [_plain_shingles(t) for t in texts]
-        shares = [
-            F.size(F.array_intersect(shingles, F.array(*[F.lit(s) for s in w]))) / float(len(w))
-            for w in wanted
-        ]
-        best = F.greatest(*shares) if len(shares) > 1 else shares[0]
-        result = F.when(family == name, best).otherwise(result)
-    return result
+# Every shingle of every template: (shingle, template, family, place in the template, shingles)
+_SHINGLES = [
+    (shingle, f"{family}/{number}", family, place, len(_plain_shingles(text)))
+    for family, texts in TEMPLATES.items() for number, text in enumerate(texts)
+    for place, shingle in enumerate(_ordered_shingles(text))
+]
+
+
+def _matched(blocks: DataFrame) -> DataFrame:
+    """Paragraphs with a template's shingle: ``_block``, a number, ``words`` and ``hits``, an array of
+    ``gram, pos`` (from 0) and the lines ``a, b`` (from 0) where it begins and ends."""
+    worded = blocks.withColumn("_worded", F.transform("lines", words))
+    numbers = F.transform("_worded", lambda w, i: F.array_repeat(i, F.size(w)))
+    # a generator, as an optimizer that merges projections would split the text for every shingle
+    flat = worded.select("doc_id", "line", "lines", F.inline(F.array(F.struct(
+        F.flatten("_worded").alias("words"), F.flatten(numbers).alias("_at")))))
+    grams = F.transform(
+        _grams(F.col("words"), SHINGLE), lambda g, i: F.struct(g.alias("gram"), i.alias("pos")))
+    known = F.filter(grams, lambda x: x["gram"].isin(sorted({s[0] for s in _SHINGLES})))
+    hits = F.transform(known, lambda x: F.struct(
+        x["gram"], x["pos"], F.get("_at", x["pos"]).alias("a"),
+        F.get("_at", x["pos"] + (SHINGLE - 1)).alias("b")))
+    return flat.withColumn("hits", hits).where(F.size("hits") > 0).select(
+        F.monotonically_increasing_id().alias("_block"), "doc_id", "line", "lines", "words", "hits")
+
+
+def _notices(matched: DataFrame, min_similarity: float) -> DataFrame:
+    """``_block, family, similarity``, the lines ``a`` to ``b`` and words ``low`` to ``high``."""
+    known = F.array(*[
+        F.struct(*[F.lit(v).alias(c) for c, v in
+                   zip(("gram", "template", "family", "place", "n"), s)]) for s in _SHINGLES])
+    hits = matched.select("_block", F.explode("hits").alias("h")).select("_block", "h.*")
+    hits = hits.select("_block", "pos", "a", "b", F.explode(
+        F.filter(known, lambda t: t["gram"] == F.col("gram"))).alias("t"))
+    hits = hits.select("_block", "pos", "a", "b", "t.template", "t.family", "t.place", "t.n")
+    whole = Window.partitionBy("_block", "template")
+    order = whole.orderBy("pos")
+    shift = (F.col("pos") - F.lag("pos").over(order)) - (F.col("place") - F.lag("place").over(order))
+    goes_on = (F.col("place") > F.lag("place").over(order)) & (shift <= F.col("n"))
+    hits = hits.withColumn("_cut", (~F.coalesce(goes_on, F.lit(False))).cast("int"))
+    hits = hits.withColumn("_run", F.sum("_cut").over(order))
+
+    def share(window):
+        return F.size(F.collect_set("place").over(window)) / F.col("n").cast("double")
+
+    # in the template's order; or else anywhere in one line; or else anywhere in the paragraph
+    one_line = F.when(F.col("a") == F.col("b"), F.col("a"))
+    line = Window.partitionBy("_block", "template", "_line")
+    hits = hits.withColumn("_line", one_line).withColumn(
+        "_by_run", share(Window.partitionBy("_block", "template", "_run"))
+    ).withColumn("_by_line", F.when(
+        F.col("_line").isNotNull()
+        & (F.max("_by_run").over(line) < min_similarity), share(line)).otherwise(0.0))
+    found = F.greatest("_by_run", "_by_line")
+    hits = hits.withColumn("_by_block", F.when(
+        F.max(found).over(whole) < min_similarity, share(whole)).otherwise(0.0))
+    kind = (F.when(F.col("_by_run") >= min_similarity, F.struct(F.lit(0).alias("k"), F.col("_run").alias("i")))
+            .when(F.col("_by_line") >= min_similarity, F.struct(F.lit(1).alias("k"), F.col("_line").cast("long").alias("i")))
+            .when(F.col("_by_block") >= min_similarity, F.struct(F.lit(2).alias("k"), F.lit(0).cast("long").alias("i"))))
+    single = hits.withColumn("_kind", kind).where("_kind is not null").groupBy(
+        "_block", "template", "family", "_kind").agg(
+        F.max(F.greatest(found, "_by_block")).alias("similarity"), F.min("a").alias("a"),
+        F.max("b").alias("b"), F.min("pos").alias("low"), F.max("pos").alias("high"))
+    by_line = Window.partitionBy("_block", "family").orderBy("a", "b", "low", "high")
+    before = F.max("b").over(by_line.rowsBetween(Window.unboundedPreceding, -1))
+    apart = single.withColumn("_new", F.coalesce(F.col("a") > before, F.lit(True)).cast("int"))
+    return apart.withColumn("_group", F.sum("_new").over(
+        by_line.rowsBetween(Window.unboundedPreceding, 0))).groupBy(
+        "_block", "family", "_group").agg(
+        F.max("similarity").alias("similarity"), F.min("a").alias("a"), F.max("b").alias("b"),
+        F.min("low").alias("low"), F.max(F.col("high") + SHINGLE).alias("high")).drop("_group")
 
 
 def find(
     docs: DataFrame, classifier: Classifier, text: str = "text", id_column: str = "doc_id",
     min_probability: float = 0.5, min_similarity: float = MIN_SIMILARITY,
 ) -> DataFrame:
-    """``doc_id, line, paragraph, family, probability, similarity`` of confirmed paragraphs.
-    ``min_similarity`` may not be below ``MIN_SIMILARITY``, on which the choice by stem rests."""
+    """``doc_id, line, last_line, paragraph, family, probability, similarity`` of confirmed notices;
+    ``paragraph`` is their lines. ``min_similarity`` may not be below ``MIN_SIMILARITY``, on which the
+    choice by stem rests."""
     if min_similarity < MIN_SIMILARITY:
         raise ValueError(f"min_similarity must be at least {MIN_SIMILARITY}")
     marked = docs.where(_has_stem(F.col(text)))
-    lines = paragraphs(marked, text, id_column).where(_has_stem(F.col("paragraph")))
-    # lines with a stem are few; staged, so that no expression of the model runs twice
-    judged = stage(classify(lines, classifier), "licence-lines").where(
-        (F.col("family") != UNKNOWN) & (F.col("probability") >= min_probability))
-    shingled = judged.withColumn("_shingles", _grams(F.col("words"), SHINGLE))
-    return shingled.withColumn(
-        "similarity", _similarity(F.col("_shingles"), F.col("family"))
-    ).where(F.col("similarity") >= min_similarity).drop("words", "_shingles")
+    blocks = paragraphs(marked, text, id_column).where(F.exists("lines", _has_stem))
+    # paragraphs with a shingle are few; staged, as they are read twice and numbered
+    matched = stage(_matched(blocks), "licence-paragraphs")
+    notices = _notices(matched, min_similarity).groupBy("_block").agg(F.collect_list(F.struct(
+        F.col("family").alias("wanted"), "similarity", "a", "b", "low", "high")).alias("notices"))
+    # cut before they are exploded, so that no row repeats its paragraph
+    cut = F.transform("notices", lambda x: F.struct(
+        x["wanted"], x["similarity"],
+        (F.col("line") + x["a"]).alias("line"), (F.col("line") + x["b"]).alias("last_line"),
+        F.array_join(F.slice("lines", x["a"] + 1, x["b"] - x["a"] + 1), " ").alias("paragraph"),
+        F.array_join(F.slice("words", x["low"] + 1, x["high"] - x["low"]), " ").alias("notice")))
+    rows = matched.join(notices, "_block").select("doc_id", F.inline(cut))
+    # staged, so that no expression of the model runs twice
+    judged = stage(classify(
+        rows.withColumnRenamed("paragraph", "_lines").withColumnRenamed("notice", "paragraph"),
+        classifier), "licence-notices")
+    return judged.where(
+        (F.col("family") == F.col("wanted")) & (F.col("probability") >= min_probability)
+    ).select("doc_id", "line", "last_line", F.col("_lines").alias("paragraph"), "family",
+             "probability", "similarity")
 
 
 def scan(docs: DataFrame, text: str = "text", id_column: str = "doc_id", **settings) -> DataFrame:

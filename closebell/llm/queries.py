@@ -80,7 +80,7 @@ def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select(
-        "doc_id", "line", "family", F.round("similarity", 4).alias("similarity"))
+        "doc_id", "line", "last_line", "family", F.round("similarity", 4).alias("similarity"))
 
 
 def op7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -49,6 +49,50 @@ def test_finds_templates_and_leaves_clean_text(spark, classifier):
         (7, 2, "MIT"), (9, 1, "Apache-2.0")}
 
 
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell"""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice"""
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License"""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+
+
+def test_wrapped_notices(spark, classifier):
+    def commented(text, mark):
+        return "\n".join(mark + line for line in text.split("\n"))
+
+    texts = {
+        0: MIT, 1: "/*\n * Copyright 2020 Jo\n *\n" + commented(BSD, " * ") + "\n */\nint x;",
+        2: "#!/bin/sh\n#\n" + commented(GPL, "# ") + "\r\n#\n", 3: commented(MPL, "dnl "),
+        4: "x = 1\n" + commented(MPL, "// ") + "\n" + commented(GPL, "// ") + "\n" + commented(MIT, "REM "),
+        5: " ".join(MIT.split("\n")), 6: MIT.replace("obtaining", "\n\nobtaining"),
+        # a line of another notice, twice the same, and two families on one line
+        7: "Released under the MIT License.\nReleased under the MIT License.\n" + MPL,
+        8: "Released under the MIT License. Licensed under the Apache License, Version 2.0.",
+        # the middle first: no order, but one line
+        9: "and/or modify it under the terms of the GNU General Public License "
+           "this program is free software you can redistribute it and or modify it",
+    }
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = L.find(docs, classifier).collect()
+    got = sorted((r.doc_id, r.line, r.last_line, r.family) for r in found)
+    assert got == [
+        (0, 0, 1, "MIT"), (1, 3, 4, "BSD-3-Clause"), (2, 2, 3, "GPL-3.0"), (3, 0, 1, "MPL-2.0"),
+        (4, 1, 2, "MPL-2.0"), (4, 4, 5, "GPL-3.0"), (4, 7, 8, "MIT"), (5, 0, 0, "MIT"),
+        (7, 0, 0, "MIT"), (7, 1, 1, "MIT"), (7, 2, 3, "MPL-2.0"),
+        (8, 0, 0, "Apache-2.0"), (8, 0, 0, "MIT"), (9, 0, 0, "GPL-3.0")]
+    assert next(r.paragraph for r in found if r.doc_id == 3) == " ".join(MPL.split("\n")[:2])
+    many = spark.createDataFrame([(1, "Released under the MIT License.\n" * 20_000)], docs.schema)
+    assert L.find(many, classifier).select("line").distinct().count() == 20_000
+
+
 def test_similarity_bound_and_empty_table(spark, classifier):
     with pytest.raises(ValueError):
         L.find(spark.createDataFrame([], "doc_id long, text string"), classifier, min_similarity=0.5)
