@@ -2,14 +2,17 @@
 
 Patterns find e-mail addresses, IP addresses, card numbers and phone numbers. The field then labels
 the tokens that hold a digit or ``@`` (all others are no personal data by definition, which cuts
-the chain there): features of the token and its neighbours, transitions between adjacent
+the chain there, as do commas and the like): features of the token and its neighbours, transitions between adjacent
 tokens, and skip links between repeated or similar tokens of the document, however far apart. Loopy
 message passing makes linked tokens agree, so a number written in full once is also found where
-it stands without its prefix. Tokens inside pattern spans are observed. Another token is added
-if skip links lead from it to an observed one and its marginal for one kind reaches ``threshold``.
+it stands without its prefix. Digit groups side by side are read as one number: numbers with the same
+last digits are linked group by group, however they are spaced. Tokens inside pattern spans are
+observed. All others are decoded: a token is added if its marginal for one kind reaches ``threshold``,
+and groups of one number as one span, if it holds seven digits or an ``@``.
 
-Weights are fitted by pseudo-likelihood on a bounded sample of documents, labelled by the patterns;
-tokens linked to an observed one are left out, as their label is what is to be found.
+Weights are fitted by pseudo-likelihood on a bounded sample of documents, labelled by the patterns,
+on ``BACKGROUND``, plain numbers that are no personal data, and on ``FORMS`` that the patterns leave
+out; tokens linked to an observed one are left out, as their label is what is to be found.
 
 Spans are code points, end exclusive, by kind as listed in ``KINDS``, then start. Defined results:
 null and empty texts have no spans; whole texts are read. Repeated rows are scanned one by
@@ -18,7 +21,9 @@ one, an empty table gives an empty result. Extra columns stay; ``pii`` is replac
 
 from __future__ import annotations
 
+import hashlib
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -102,6 +107,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 # --- the field -------------------------------------------------------------------------------
 
+_BREAKS = (",", ";", ":", "!", "?")  # no number goes on after them
 _STRIP = ".,;:!?\"'()[]{}<>"
 CUES = {
     "tel": "phone", "tel:": "phone", "phone": "phone", "call": "phone", "fax": "phone",
@@ -110,6 +116,7 @@ CUES = {
     "account": "card",
 }
 N_FEATURES = 40
+_DATE = re.compile(r"[0-9]{4}([-/.])[0-9]{1,2}\1[0-9]{1,2}|[0-9]{1,2}([-/.])[0-9]{1,2}\2[0-9]{2,4}")
 _EDGES = (1, 2, 4, 5, 7, 9, 11, 16, 20)
 
 
@@ -130,7 +137,11 @@ def _features(token: str, before: str, after: str) -> list[int]:
         cue = CUES.get(word.lower().rstrip(":"))
         if cue:
             found.append(base + KINDS.index(cue))
-    found += [32] * bool(_CANDIDATE.search(before)) + [33] * bool(_CANDIDATE.search(after))
+    if before[-1:] not in _BREAKS and _CANDIDATE.search(before):
+        found.append(32)
+    if token[-1:] not in _BREAKS and _CANDIDATE.search(after):
+        found.append(33)
+    found += [34] * bool(_DATE.fullmatch(core))
     return found
 
 
@@ -143,32 +154,109 @@ class Graph:
     observed: np.ndarray  # label, or -1
     chain: np.ndarray  # pairs of adjacent candidates
     skip: np.ndarray  # pairs of linked candidates
-
-
-def _keys(token: str) -> list[str]:
-    """What repeated or similar tokens have in common."""
-    if "@" in token:
-        core = token.strip(_STRIP).lower()
-        return ["@" + core, "@" + core.partition("@")[0]] if core.partition("@")[0] else []
-    digits = _digits(token)
-    return [digits, "~" + digits[-7:]] if len(digits) >= 7 else []
+    digits: list[int] | None = None  # of each candidate that is no address
+    run_digits: np.ndarray | None = None  # of the run of digit groups it is in
+    together: set[tuple[int, int]] | None = None  # neighbours linked as groups of one number
+
+
+LEAST_DIGITS = 7  # of a number that is linked or added
+_SUFFIXES = (LEAST_DIGITS, 10, 16)  # digits from the right by which numbers are linked
+_LONGEST = 19  # digits of a number
+_LETTER = re.compile(r"[^\W\d_]|@")
+
+
+def _mail_keys(token: str) -> list[str]:
+    """What repeated or similar addresses have in common."""
+    core = token.strip(_STRIP).lower()
+    return [core, core.partition("@")[0] + "@"] if core.partition("@")[0] else []
+
+
+def _ends(digits: list[str], run: list[int]) -> Iterator[tuple[str, tuple[int, ...]]]:
+    """At each group of a run: the digits up to it and the groups that hold their last
+    ``_LONGEST``, from the right. A single long group is whole."""
+    for k, last in enumerate(run):
+        groups, text = [], ""
+        for i in reversed(run[:k + 1][-_LONGEST:]):
+            if len(text) >= _LONGEST:
+                break
+            groups.append(i)
+            text = digits[i] + text
+        if len(text) >= LEAST_DIGITS:
+            yield text, tuple(groups)
+
+
+def _aligned(digits: list[str], one, other) -> list[tuple[int, int]]:
+    """Pairs of groups of two numbers whose digits stand at the same place from the right, as far
+    as the numbers agree. A group counts if it agrees whole, but for zeros at its start (trunk
+    prefixes), or its partner does."""
+    (a, left), (b, right) = one, other
+    same = 0
+    while same < min(len(a), len(b)) and a[-1 - same] == b[-1 - same]:
+        same += 1
+
+    def places(groups):
+        end = 0
+        for i in groups:
+            begin, end = end, end + len(digits[i])
+            rest = digits[i][:max(end - same, 0)]
+            yield i, begin, end, begin < same and not rest.strip("0")
+
+    pairs = [(left[0], right[0])] if min(
+        len(digits[left[0]]), len(digits[right[0]])) >= LEAST_DIGITS else []
+    for i, begin, end, whole in places(left):
+        pairs += [(i, j) for j, start, stop, full in places(right)
+                  if (whole or full) and max(begin, start) < min(end, stop, same)]
+    return pairs
+
+
+def _number_links(digits: list[str], runs: list[list[int]]):
+    """Links of groups of digits, and the neighbours that belong to one number."""
+    links, together, first_of, before_of = set(), set(), {}, {}
+    for run in runs:
+        for end in _ends(digits, run):
+            text = end[0]
+            partners = {}
+            for n in (*_SUFFIXES, len(text)):
+                if len(text) < n:
+                    continue
+                key = (n in _SUFFIXES, text[-n:])
+                if key in first_of:  # to the first and the one before: linear, and never far apart
+                    partners[first_of[key]] = partners[before_of[key]] = None
+                first_of.setdefault(key, end)
+                before_of[key] = end
+            for other in partners:
+                pairs = [p for p in _aligned(digits, other, end) if p[0] != p[1]]
+                links.update((min(p), max(p)) for p in pairs)
+                for side in zip(*pairs):
+                    held = sorted(set(side))
+                    together.update((x, y) for x, y in zip(held, held[1:]) if y == x + 1)
+    return links, together
 
 
 def graph(text: str, base: list[tuple[str, int, int]]) -> Graph:
     spans, features, keys, chain = [], [], [], []
+    digits, runs, plain = [], [], False  # runs: groups of digits side by side
     before, previous = "", None  # the token before, and its candidate number
     for m in _TOKEN.finditer(text):
         token = m.group()
         if features and previous == len(spans) - 1 and features[-1] is None:
             features[-1] = _features(*spans_text, token)
         if _CANDIDATE.search(token):
+            if before[-1:] in _BREAKS:
+                previous = None
             if previous is not None:
                 chain.append((previous, len(spans)))
+            was_plain, plain = plain and previous is not None, not _LETTER.search(token)
+            digits.append("" if "@" in token else _digits(token))
+            if was_plain and plain:
+                runs[-1].append(len(spans))
+            else:
+                runs.append([len(spans)])
             previous = len(spans)
             spans.append(m.span())
             spans_text = (token, before)
             features.append(None)
-            keys.append(_keys(token))
+            keys.append(_mail_keys(token) if "@" in token else [])
         else:
             previous = None
         before = token
@@ -189,8 +277,13 @@ def graph(text: str, base: list[tuple[str, int, int]]) -> Graph:
                 links.add((before_of[key], i))
             first_of.setdefault(key, i)
             before_of[key] = i
+    numbers, together = _number_links(digits, runs)
+    sizes = np.zeros(len(spans), np.int64)
+    for run in runs:
+        sizes[run] = sum(len(digits[i]) for i in run)
     pairs = lambda p: np.array(sorted(p), np.int64).reshape(-1, 2)
-    return Graph(spans, features, observed, pairs(chain), pairs(links))
+    return Graph(spans, features, observed, pairs(chain), pairs(links | numbers),
+                 [len(d) for d in digits], sizes, together)
 
 
 def _reached(g: Graph) -> np.ndarray:
@@ -207,6 +300,30 @@ def _reached(g: Graph) -> np.ndarray:
     return mark
 
 
+# Numbers that are no personal data, of each length and of the usual forms.
+BACKGROUND = tuple(
+    f"about {form} of the" for n in range(1, 20) for form in (
+        "1234567890123456789"[:n], "9075318642907531864"[:n], "5" * n)
+) + tuple(f"since {y}-{m:02d}-{d:02d} at {h}:{m * 4:02d} in {d}.{m}.{y}, {d * 13}.{h}{m}% of {y}-{y + 1}"
+          for y, m, d, h in ((1998, 1, 31, 7), (2009, 6, 12, 11), (2021, 12, 5, 23), (2024, 10, 17, 16))
+          ) + tuple(
+    f'{name} = "{hashlib.sha1(bytes([i])).hexdigest()[:size]}" and' for i in range(20)
+    for name, size in (("token", 40), ("id", 32), ("commit", 24))
+) + ("version 1.2.34 and 10.4", "1,234,567.89 or 12,345,678", "id_20210317 x86-64 4567890a")
+
+# Forms of personal data that the patterns leave out: numbers without a country's prefix, and cards
+# written with other signs.
+FORMS = tuple(
+    (f"{before} {n} {after}", kind) for before, after in (
+        ("call", "now"), ("later", "again"), ("reach us on", "or write"), ("and", ""), ("", "is mine"))
+    for kind, numbers in (
+        ("phone", ("974-555-3436", "212-555-0188", "974.555.3436", "(974) 555-3436", "030 1234 5678",
+                   "0171-2345678", "(0171) 2345678")),
+        ("card", ("4111.1111.1111.1111", "5500-0000-0000-0004", "4111/1111/1111/1111")))
+    for n in numbers
+)
+
+
 @dataclass
 class Field:
     """Weights: labels by features, transitions of adjacent and of linked tokens."""
@@ -226,8 +343,12 @@ def fit(texts: list[str], steps: int = 150, rate: float = 0.5, decay: float = 1e
     the prior, by which linked tokens agree; without data the prior is the result."""
     rows, n = [], len(LABELS)
     field, prior = Field.prior(), Field.prior()
-    for text in texts:
-        g = graph(text, base_spans(text))
+    labelled = [(t, base_spans(t)) for t in texts]
+    if labelled:
+        labelled += [(t, []) for t in BACKGROUND]
+        labelled += [(t, [(kind, 0, len(t))]) for t, kind in FORMS]
+    for text, base in labelled:
+        g = graph(text, base)
         if not g.spans:
             continue
         label = np.maximum(g.observed, 0)
@@ -296,23 +417,42 @@ def marginals(g: Graph, field: Field, rounds: int = 50, damping: float = 0.3) ->
 def added_spans(
     text: str, base: list[tuple[str, int, int]], field: Field, threshold: float
 ) -> list[tuple[str, int, int]]:
-    if not base:
-        return []  # no token can be linked to an observed one
     g = graph(text, base)
-    open_ = _reached(g) & (g.observed < 0)
-    if not open_.any():
+    open_ = g.observed < 0
+    mail = np.array(["@" in text[s:e] for s, e in g.spans], bool)
+    if not (open_ & (mail | (g.run_digits >= LEAST_DIGITS))).any():
         return []
     p = marginals(g, field)
     best = p[:, 1:].argmax(axis=1) + 1
     chosen = open_ & (p[np.arange(len(best)), best] >= threshold)
     found = []
+    groups: list[list[int]] = []
+    side = set(map(tuple, g.chain.tolist()))
+    linked = set(g.skip.ravel().tolist())
     for i in np.flatnonzero(chosen).tolist():
-        start, end = g.spans[i]
+        last = groups[-1][-1] if groups else None
+        # groups of one number: linked as such, or short ones side by side without any link
+        if last is not None and (last, i) in side and best[last] == best[i] and not mail[i] and not mail[last] and (
+                (last, i) in g.together or last not in linked and i not in linked
+                and min(g.digits[last], g.digits[i]) < LEAST_DIGITS
+                and sum(g.digits[j] for j in groups[-1]) + g.digits[i] <= _LONGEST
+                and text[g.spans[last][1] - 1] != "."):
+            groups[-1].append(i)
+        else:
+            groups.append([i])
+    for group in groups:
+        kind = KINDS[best[group[0]] - 1]
+        if not mail[group[0]] and sum(g.digits[j] for j in group) < LEAST_DIGITS:
+            continue
+        start, end = g.spans[group[0]][0], g.spans[group[-1]][1]
         token = text[start:end]
-        start += len(token) - len(token.lstrip(_STRIP))
+        left = len(token) - len(token.lstrip(_STRIP))
+        start += left
         end -= len(token) - len(token.rstrip(_STRIP))
+        if left and text[start - 1] == "(" and ")" in text[start:end]:
+            start -= 1
         if start < end:
-            found.append((KINDS[best[i] - 1], start, end))
+            found.append((kind, start, end))
     return found
 
 

@@ -51,6 +51,24 @@ def test_chains_add_what_repeats(spark):
     assert [s[3] for s in P.pii_spans(text, unfitted)][0]
 
 
+def test_grouped_numbers_are_linked_and_every_candidate_is_decoded():
+    field = P.fit([f"call +1 (974) 555-{i:04d} or write a{i}@b.example" for i in range(200)]
+                  + [f"pay with 4111 1111 1111 1111 or at +49 30 {i:04d} 5678" for i in range(50)])
+
+    def added(text):
+        return [text[s:e] for _, s, e, base in P.pii_spans(text, field) if not base]
+
+    assert added("call +49 30 1234 5678 now, later 030 1234 5678 or in 2020 1234 5678") == [
+        "030 1234 5678", "1234 5678"]
+    assert added("card 4111 1111 1111 1111 and then 4111.1111.1111.1111 again") == [
+        "4111.1111.1111.1111"]
+    assert added("call +1 555 123 4567 now, later (555) 123-4567 and 123 4567.") == [
+        "(555) 123-4567", "123 4567"]
+    # no pattern's match in the document
+    assert added("call 974-555-3436 now, later 974-555-3436 again") == ["974-555-3436"] * 2
+    assert added("about 12345678 since 2021-03-17 and 2021-03-17, 5551234 or 12 34 56") == []
+
+
 def test_message_passing_equals_enumeration():
     import itertools
 
