@@ -9,6 +9,11 @@ enough for any such run of diagonals; bands that reach the bound are verified by
 Texts and items are compared as UTF-8 bytes, lower-cased, with runs of white space as one space.
 Items shorter than ``MIN_BYTES`` after that are no evidence and match nothing.
 
+Items longer than ``PASSAGE`` are also searched by overlapping passages of that length, one every
+``STEP`` bytes, each with an edit budget of its own: a text that quotes any ``PASSAGE + STEP`` bytes
+of an item within its rate matches, wherever the quote is cut. Where a whole item matches, its passages are
+not given again.
+
 Defined results: a null or empty text has no matches; a null item matches nothing. Repeated
 items match separately, repeated documents too. No items or no documents give an empty result.
 Extra columns are ignored by ``matches`` and kept by ``drop_contaminated``.
@@ -16,6 +21,7 @@ Extra columns are ignored by ``matches`` and kept by ``drop_contaminated``.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import reduce
 
@@ -28,6 +34,8 @@ from closebell.session import stage
 
 Q = 8  # bytes: a q-gram is one unsigned 64-bit number
 MIN_BYTES = 32  # at this length the bound is positive for an edit rate of a tenth
+PASSAGE = 200  # bytes, some 35 words
+STEP = 100
 BAND = 32  # diagonals by which one band is shifted against the next
 _BUFFER = 4 << 20  # bytes of text searched at a time; a longer text is searched whole
 _TABLE_BITS = 20
@@ -198,6 +206,32 @@ def _find(index, raw, starts, texts, first) -> list[tuple[int, int, int, int, in
     return found
 
 
+def passages(raw: bytes) -> list[bytes]:
+    """Overlapping passages that cover an item; none if it is no longer than one."""
+    last = len(raw) - PASSAGE
+    return [raw[k:k + PASSAGE] for k in (*range(0, last, STEP), last)] if last > 0 else []
+
+
+def _without_covered(found: list, owner: list[int], wholes: int) -> list:
+    """The matches without passages where the whole item matches. Entries from ``wholes`` on are
+    passages, ``owner`` has the item of each entry."""
+    spans: dict[tuple[int, int], list[tuple[int, int]]] = {}
+    for t, i, start, end, _ in found:
+        if i < wholes:
+            spans.setdefault((t, i), []).append((start, end))
+    merged = {k: sorted(v) for k, v in spans.items()}
+    kept = []
+    for match in found:
+        t, i, start, end, _ = match
+        if i >= wholes:
+            held = merged.get((t, owner[i]), [])
+            at = bisect_left(held, (end, 0))
+            if at and max(e for _, e in held[max(at - 2, 0):at]) > start:
+                continue
+        kept.append(match)
+    return kept
+
+
 def _blocks(benchmark: DataFrame, id_column: str, text: str, max_bytes: int):
     """The items in blocks of bounded size, streamed in the order of their ids."""
     block, size = [], 0
@@ -224,7 +258,8 @@ def matches(
     item_column: str = "item_id",
     block_bytes: int = 1 << 20,
 ) -> DataFrame:
-    """Rows ``doc_id, item_id, start, end, edits, bytes``: the matches of items in documents.
+    """Rows ``doc_id, item_id, start, end, edits, bytes``: the matches of items in documents, and
+    of passages where the whole item does not match; ``bytes`` is the length of what matches.
 
     Positions are byte offsets in the normalised text. Of overlapping regions of one document
     and item the best match is given. The benchmark is a stated query set: it is taken in blocks
@@ -234,16 +269,20 @@ def matches(
 
     def scan(items):
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            index = Index(items, max_edit_rate)
+            cut = [(i, part) for i, (_, raw) in enumerate(items) for part in passages(raw)]
+            entries = [*((i, raw) for i, (_, raw) in enumerate(items)), *cut]
+            owner = [i for i, _ in entries]
+            index = Index(entries, max_edit_rate)
             for batch in batches:
-                found = find(index, [normalise(t) for t in batch["text"]])
+                found = _without_covered(
+                    find(index, [normalise(t) for t in batch["text"]]), owner, len(items))
                 ids = batch["doc_id"].astype("Int64")
                 yield pd.DataFrame({
                     "doc_id": pd.array([ids.iloc[f[0]] for f in found], "Int64"),
-                    "item_id": pd.array([items[f[1]][0] for f in found], "Int64"),
+                    "item_id": pd.array([items[owner[f[1]]][0] for f in found], "Int64"),
                     **{c: np.array([f[k] for f in found], np.int64)
                        for k, c in ((2, "start"), (3, "end"), (4, "edits"))},
-                    "bytes": np.array([len(items[f[1]][1]) for f in found], np.int64),
+                    "bytes": np.array([len(entries[f[1]][1]) for f in found], np.int64),
                 })
         return run
 
@@ -257,9 +296,11 @@ def matches(
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
-    """One row per contaminated document and item: ``doc_id, item_id, n_matches, edits, bytes``."""
+    """One row per contaminated document and item: ``doc_id, item_id, n_matches, edits, bytes``; the
+    edits are the fewest of the longest matches, so those of the whole item if it matches."""
     return matches(docs, benchmark, **settings).groupBy("doc_id", "item_id").agg(
-        F.count("*").alias("n_matches"), F.min("edits").alias("edits"),
+        F.count("*").alias("n_matches"), F.min(
+            F.struct(-F.col("bytes"), "edits"))["edits"].alias("edits"),
         F.max("bytes").alias("bytes"),
     )
 

@@ -79,6 +79,26 @@ def test_odd_rows(spark):
     assert blocks == D.matches(docs, bench).count()
 
 
+def test_parts_of_long_items_are_found(spark):
+    rng = random.Random(5)
+    words = text_of(rng, 100).split()
+    item, other = " ".join(words), text_of(rng, 60)
+    texts = {
+        1: f"{other} {' '.join(words[:80])}",  # cut at the end of the document
+        2: f"{other} {' '.join(words[20:])} {other}",
+        3: f"{edited(rng, ' '.join(words[10:90]).encode(), 8).decode()} {other}",
+        4: f"{item} {other}", 5: other, 6: " ".join(words[:20]),
+        7: f"{item} {other} {' '.join(words[:80])}",
+    }
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = {r.doc_id: r for r in D.contaminated(docs, bench).collect()}
+    assert found.keys() == {1, 2, 3, 4, 7}
+    assert found[1].bytes == D.PASSAGE and found[3].edits > 0
+    assert found[4][2:] == (1, 0, len(item)) and found[7].n_matches > 1 and found[7].bytes == len(item)
+    assert sorted(r.doc_id for r in D.drop_contaminated(docs, bench).collect()) == [5, 6]
+
+
 def test_whole_query(spark):
     sf = "/root/testdata/sf0.001"
     items = [(r.item_id, D.normalise(r.text)) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
