@@ -144,15 +144,16 @@ def align(item: bytes, regions: list[bytes], max_edits: int) -> list[tuple[int,
     text = np.full((len(regions), m + width + 1), 256, np.int16)
     for row, region in enumerate(regions):
         text[row, max_edits:max_edits + len(region)] = np.frombuffer(region, np.uint8)
-    far = np.int16(min(m + width, 30_000))
-    steps = np.arange(width, dtype=np.int16)
-    cost = np.zeros((len(regions), width), np.int16)
+    kind = np.int16 if m + width <= 30_000 else np.int32
+    far = kind(m + width)
+    steps = np.arange(width, dtype=kind)
+    cost = np.zeros((len(regions), width), kind)
     for i in range(m):
         swap = cost + (text[:, i:i + width] != item[i])
         drop = np.concatenate([cost[:, 1:], np.full((len(regions), 1), far)], axis=1) + 1
         cost = np.minimum(swap, drop)
         cost = np.minimum.accumulate(cost - steps, axis=1) + steps  # text bytes not in the item
-        cost = np.minimum(cost, far).astype(np.int16)
+        cost = np.minimum(cost, far).astype(kind)
     best = cost.argmin(axis=1)
     return [
         (int(cost[row, d]), int(min(max(m + d - max_edits, 0), len(regions[row]))))

@@ -79,6 +79,12 @@ def test_odd_rows(spark):
     assert blocks == D.matches(docs, bench).count()
 
 
+def test_wide_regions_do_not_overflow():
+    item = b"the quick brown fox jumps over the lazy dog again"
+    region = b"z" * 36_000 + item.replace(b"quick", b"quack") + b"z" * 3_000
+    assert D.align(item, [region], 4) == [(1, 36_000 + len(item))]
+
+
 def test_parts_of_long_items_are_found(spark):
     rng = random.Random(5)
     words = text_of(rng, 100).split()
