@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 from closebell.llm import (
     chat,
     decontaminate,
+    divergence,
     host_quality,
     licenses,
     mixing,
+    packing,
     pii,
     secrets,
     simhash,
+    spelling,
     suffix_dedup,
     url_rules,
 )
@@ -118,6 +121,24 @@ def op10_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents").select("text", "lang", "source"))
+
+
+def op12_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack(
+        table(spark, sf_dir, "documents").select("doc_id", "text"),
+        public_tokenizers.path("word_bpe_49k.json"), capacity=4096, end_id=1)
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(
+        table(spark, sf_dir, "documents").select("doc_id", "text"),
+        min_length=5, min_count=3, ratio=2, every=97)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_decontaminate": op2_decontaminate,
@@ -129,6 +150,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_chat": op9_chat,
     "op10_host_quality": op10_host_quality,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_best_fit": op12_best_fit,
+    "op13_spelling": op13_spelling,
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^ \t-\r]+')"
@@ -238,4 +262,54 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 from judged join rates using (host)
 """
 
-ORACLES: dict[str, str] = {"op7_mix": _MIX_SQL, "op10_host_quality": _QUALITY_SQL}
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+_DIVERGENCE_SQL = rf"""
+with docs as (
+  select row_number() over () as rid, coalesce(lang, '') as lang, coalesce(source, '') as source,
+    translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') as t
+  from documents),
+met as (
+  select rid, lang, source,
+    unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) as term
+  from docs),
+kept as (
+  select lang, term, count(*) as n from met group by lang, term having count(distinct rid) >= 3),
+counts as (
+  select lang, source, term, count(*) as n from met join kept k using (lang, term)
+  group by lang, source, term),
+langs as (select lang, count(*) as v, sum(n) as total from kept group by lang),
+groups as (select distinct lang, source from docs),
+totals as (
+  select lang, source, coalesce(sum(n), 0) as total
+  from groups left join counts using (lang, source) group by lang, source),
+shares as (
+  select g.lang, g.source, k.term, coalesce(c.n, 0) as n,
+    1 + (1000000000::hugeint * (coalesce(c.n, 0) + 1)) // (g.total + l.v) as p,
+    1 + (1000000000::hugeint * (k.n + 1)) // (l.total + l.v) as q
+  from totals g join langs l using (lang) join kept k using (lang)
+  left join counts c on c.lang = g.lang and c.source = g.source and c.term = k.term),
+apart as (
+  select a.lang, a.source, b.source as item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) as value
+  from shares a join shares b on a.lang = b.lang and a.term = b.term and a.source <> b.source
+  group by a.lang, a.source, b.source),
+found as (
+  select a.lang, a.source, 'pair' as part, b.source as item,
+    coalesce(value, 0)::bigint as value
+  from groups a join groups b on a.lang = b.lang and a.source <> b.source
+  left join apart p on p.lang = a.lang and p.source = a.source and p.item = b.source
+  union all
+  select lang, source, 'term', term, (((p - q) * (p - q)) // q)::bigint
+  from shares where n > 0 and p > q),
+ranked as (
+  select *, row_number() over (
+    partition by lang, source, part order by value desc, item)::int as rank
+  from found)
+select * from ranked where part = 'pair' or rank <= 200
+"""
+
+ORACLES: dict[str, str] = {
+    "op7_mix": _MIX_SQL,
+    "op10_host_quality": _QUALITY_SQL,
+    "op11_source_divergence": _DIVERGENCE_SQL,
+}
