@@ -171,9 +171,9 @@ def equity_portfolio(
 
 
 def _funded(equity: DataFrame, on_shortfall: str) -> DataFrame:
-    """Orders the account cannot pay would be refused, which these formulas do not model:
-    fail, or with ``flag`` mark the rows. The check is a filter, so it runs whatever columns a
-    reader asks for."""
+    """Orders the account cannot pay would be refused, which these formulas do not model
+    (``accounts.limited_positions`` does): fail, or with ``flag`` mark the rows. The check is a
+    filter, so it runs whatever columns a reader asks for."""
     short = F.col("cash") < 0
     if on_shortfall == "flag":
         return equity.withColumn("shortfall", short)
@@ -256,9 +256,11 @@ def run_backtest(
     series: Series = BARS,
     **account,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(positions, trades, portfolio equity) for bars with ``start <= date <= end``.
+    """(positions, trades, equity) for bars with ``start <= date <= end``.
 
-    Positions are staged, as they are read more than once.
+    One account holds all symbols, and one that cannot pay stops the job. With
+    ``on_shortfall="refuse"`` every symbol has an account of its own, which refuses such orders and
+    goes on. Positions are staged, as they are read more than once.
     """
     if symbols is not None:
         bars = bars.where(F.col("symbol").isin(*symbols))
@@ -266,6 +268,13 @@ def run_backtest(
         bars = bars.where(F.col("date") >= F.lit(start).cast("date"))
     if end is not None:
         bars = bars.where(F.col("date") <= F.lit(end).cast("date"))
-    held = stage(positions(bars, signals, series), "positions")
     fees = {k: v for k, v in account.items() if k in ("stake", "commission", "slippage_bps")}
+    if account.get("on_shortfall") == "refuse":
+        from closebell.operators import accounts
+
+        limits = {k: v for k, v in account.items() if k in ("cash", "check_submit")}
+        held = stage(
+            accounts.limited_positions(bars, signals, series=series, **limits, **fees), "positions")
+        return held, trades(held, **fees), accounts.limited_equity(held, fees.get("stake", STAKE))
+    held = stage(positions(bars, signals, series), "positions")
     return held, trades(held, **fees), equity_portfolio(held, series=series, **account)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from closebell.functions.numbers import null_if_nan
-from closebell.operators.series import Series, ewm, own_rows, with_history
+from closebell.operators.series import Series, ewm, own_rows, running, with_history
 
 BARS = Series()
 
@@ -167,6 +167,71 @@ def adjusted(bars: DataFrame, factors: DataFrame) -> DataFrame:
     return joined.select(*[scaled.get(c, F.col(c)).alias(c) for c in bars.columns])
 
 
+def _last_bar_before(rows: DataFrame, series: Series) -> DataFrame:
+    """Adds ``_before``, the close of the symbol's last bar before a row."""
+    return own_rows(
+        with_history(rows, series, 1, ["close"]).withColumn(
+            "_before", F.lag("close").over(series.window())))
+
+
+def adjustment_factors(
+    bars: DataFrame, actions: DataFrame, series: Series = BARS
+) -> DataFrame:
+    """``symbol, date, factor, shares`` per bar: what its prices, and its volume, are multiplied by.
+
+    ``actions`` has ``symbol, date`` (the first day without the right), ``split`` (new shares for an
+    old one, null or 1 for none) and ``dividend`` (per old share, null or 0 for none). An action
+    takes effect on the symbol's first bar on or after its day, and multiplies all bars before that
+    by (1 - dividend / close of the last bar before) / split. Several actions that meet at one bar
+    add up their dividends and multiply their splits. Without effect are actions after the last bar or
+    up to the first, splits that are not positive, and dividends that leave no price.
+
+    The factor is a running product from the end of the series backwards, carried from block to
+    block; an action meets its bar by the same kind of carry, not by a range join.
+    """
+    days = actions.where(F.col("symbol").isNotNull() & F.col("date").isNotNull()).groupBy(
+        "symbol", "date").agg(
+        F.product(F.when(F.col("split") > 0, F.col("split"))).alias("_split"),
+        F.sum("dividend").alias("_dividend"))
+    dated = bars.select("symbol", "date", F.col("date").alias("_bar")).unionByName(
+        days.select("symbol", "date", F.lit(None).cast("date").alias("_bar"), "_split", "_dividend"),
+        allowMissingColumns=True)
+    # a bar and an action of its day are two rows: the bar is the later one, so it is met first backwards
+    order = Series(series.keys, (*series.order, "_is_bar"), series.days)
+    met = running(
+        dated.withColumn("_is_bar", F.col("_bar").isNotNull()), order, backwards=True,
+        _at=("last", "_bar"))
+    at_bar = met.where(~F.col("_is_bar") & F.col("_at").isNotNull()).groupBy(
+        "symbol", F.col("_at").alias("date")).agg(
+        F.product("_split").alias("_split"), F.sum("_dividend").alias("_dividend"))
+    rows = bars.select("symbol", "date", null_if_nan(F.col("close")).alias("close"))
+    rows = _last_bar_before(rows, series).join(at_bar, ["symbol", "date"], "left")
+    left = 1 - F.try_divide(F.coalesce("_dividend", F.lit(0.0)), F.col("_before"))
+    first, one = F.col("_before").isNull(), F.lit(1.0)
+    rows = rows.select(
+        "symbol", "date",
+        F.when(first, one).otherwise(F.coalesce("_split", one)).alias("_split"),
+        F.when(left > 0, left).otherwise(one).alias("_left"))
+    rows = rows.withColumn("_step", F.col("_left") / F.col("_split"))
+    total = running(rows, series, backwards=True,
+                    _all=("product", "_step"), _shares=("product", "_split"))
+    # the bar an action takes effect on is not changed by it
+    return total.select(
+        "symbol", "date", (F.col("_all") / F.col("_step")).alias("factor"),
+        (F.col("_shares") / F.col("_split")).alias("shares"))
+
+
+def adjusted_by_actions(
+    bars: DataFrame, actions: DataFrame, series: Series = BARS
+) -> DataFrame:
+    """Bars with prices and volumes as if all splits and dividends had been in effect from the start.
+    Volumes are rounded to whole shares."""
+    scaled = {c: F.col(c) * F.col("factor") for c in ("open", "high", "low", "close")}
+    scaled["volume"] = F.round(F.col("volume") * F.col("shares")).cast("bigint")
+    joined = bars.join(adjustment_factors(bars, actions, series), ["symbol", "date"])
+    return joined.select(*[scaled.get(c, F.col(c)).alias(c) for c in bars.columns])
+
+
 def liquid(
     bars: DataFrame, min_volume: float, n: int = 20, series: Series = BARS
 ) -> DataFrame:

@@ -71,15 +71,39 @@ def freshness(df: DataFrame, today: str, max_age_days: int, column: str = "date"
     )
 
 
-def checksums(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
+def portable_hash(*columns: Column) -> Column:
+    """A row's hash that other engines can compute: the first 15 hex digits of the MD5 of its values
+    as text, joined by ``|``; nulls are left out."""
+    text = F.md5(F.concat_ws("|", *[c.cast("string") for c in columns]))
+    return F.conv(F.substring(text, 1, 15), 16, 10).cast("long")
+
+
+def checksums(
+    df: DataFrame, partitions: Sequence[str], row_hash: Column | None = None
+) -> DataFrame:
     """Row count and order-free checksum per partition. The count is needed as well: in an
     exclusive or, two equal rows cancel out."""
-    hashed = F.xxhash64(*[c for c in df.columns if c not in partitions])
+    hashed = F.xxhash64(*[c for c in df.columns if c not in partitions]) if row_hash is None else row_hash
     return df.groupBy(*partitions).agg(
         F.count("*").alias("rows"), F.bit_xor(hashed).alias("checksum")
     )
 
 
+def updated_checksums(
+    df: DataFrame, recorded: DataFrame, touched: DataFrame, column: str = "date",
+    row_hash: Column | None = None,
+) -> DataFrame:
+    """``recorded`` with new checksums for the ``touched`` values of one partition ``column``.
+
+    The touched values (days: a bounded number) become literals of a filter, so the scan of a table
+    with a folder per value opens no other folder. Values that have no rows any more are left out.
+    """
+    values = [r[0] for r in touched.select(column).where(F.col(column).isNotNull()).distinct().collect()]
+    fresh = checksums(df.where(F.col(column).isin(*values)), [column], row_hash)
+    kept = recorded.where(~F.col(column).isin(*values)) if values else recorded
+    return kept.select(*fresh.columns).unionByName(fresh) if values else kept
+
+
 def changed_partitions(
     df: DataFrame, recorded: DataFrame, partitions: Sequence[str]
 ) -> DataFrame:

@@ -8,7 +8,7 @@ from typing import Protocol
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
@@ -76,6 +76,42 @@ def score_news(
     return scored(sent.mapInPandas(run, schema), labels)
 
 
+def title_key(title: Column) -> Column:
+    """What a title's stored scores are found by; null titles read as empty ones."""
+    return F.sha2(F.coalesce(title, F.lit("")), 256)
+
+
+def unscored(news: DataFrame, stored: DataFrame, model: str) -> DataFrame:
+    """``title_key, title``: every different title without a stored score of the model, once."""
+    titles = news.select(F.coalesce("title", F.lit("")).alias("title")).select(
+        title_key(F.col("title")).alias("title_key"), "title")
+    different = titles.groupBy("title_key").agg(F.any_value("title").alias("title"))
+    known = stored.where(F.col("model") == model).select("title_key")
+    return different.join(known, "title_key", "left_anti")
+
+
+def score_titles(
+    news: DataFrame, stored: DataFrame, load: Callable[[], Scorer], model: str, **options
+) -> DataFrame:
+    """``model, title_key, news_sent, news_conf`` of the titles without a stored score.
+
+    ``model`` names the weights: another name scores everything anew. Titles are scored once
+    however many articles have them. ``options`` as for ``score_news``.
+    """
+    found = score_news(unscored(news, stored, model), load, keep=("title_key",), **options)
+    return found.select(F.lit(model).alias("model"), "title_key", "news_sent", "news_conf")
+
+
+def with_scores(
+    news: DataFrame, stored: DataFrame, model: str, keep: Sequence[str] = ("ts", "symbol")
+) -> DataFrame:
+    """``keep`` columns plus ``news_sent`` and ``news_conf`` from stored scores, null where there
+    are none; no model is called."""
+    scores = stored.where(F.col("model") == model).select("title_key", "news_sent", "news_conf")
+    keyed = news.select(*keep, title_key(F.col("title")).alias("title_key"))
+    return keyed.join(scores, "title_key", "left").drop("title_key")
+
+
 def scored(news: DataFrame, labels: Sequence[str] = LABELS) -> DataFrame:
     """Replace a ``logits`` array by ``news_sent`` in [-1, 1] and ``news_conf`` in [0, 1]."""
     sent, conf = sentiment_scores(F.col("logits"), labels)

@@ -50,10 +50,20 @@ class Series:
     def so_far(self) -> WindowSpec:
         return self.window().rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
+    def from_here(self) -> WindowSpec:
+        """The same frame read backwards: this row and those after it, the last one first."""
+        backwards = Window.partitionBy(*self.parts).orderBy(*[F.desc(c) for c in self.order])
+        return backwards.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
     def earlier_blocks(self, most: int | None = None) -> WindowSpec:
         start = Window.unboundedPreceding if most is None else -most
         return Window.partitionBy(*self.keys).orderBy(BLOCK).rowsBetween(start, -1)
 
+    def later_blocks(self) -> WindowSpec:
+        """All later blocks, the last one first."""
+        return Window.partitionBy(*self.keys).orderBy(F.desc(BLOCK)).rowsBetween(
+            Window.unboundedPreceding, -1)
+
     def order_value(self) -> Column:
         return F.col(self.order[0]) if len(self.order) == 1 else F.struct(*self.order)
 
@@ -136,6 +146,7 @@ def own_rows(df: DataFrame) -> DataFrame:
 _RUNNING = {
     "sum": (lambda c, _: F.sum(c), lambda own, carry: F.coalesce(own + carry, own, carry)),
     "max": (lambda c, _: F.max(c), lambda own, carry: F.greatest(own, carry)),
+    "product": (lambda c, _: F.product(c), lambda own, carry: F.coalesce(own * carry, own, carry)),
     "last": (
         lambda c, order: F.max_by(c, F.when(F.col(c).isNotNull(), order)),
         lambda own, carry: F.coalesce(own, carry),
@@ -143,13 +154,21 @@ _RUNNING = {
 }
 
 
-def running(df: DataFrame, series: Series, **specs: tuple[str, str]) -> DataFrame:
+# Read backwards, the last value so far is the earliest one of a block.
+_FIRST = (lambda c, order: F.min_by(c, F.when(F.col(c).isNotNull(), order)), _RUNNING["last"][1])
+
+
+def running(
+    df: DataFrame, series: Series, backwards: bool = False, **specs: tuple[str, str]
+) -> DataFrame:
     """Add running values from the start of each series up to the current row.
 
-    ``out=(kind, column)`` with kind ``sum``, ``max`` or ``last`` (last non-null value).
+    ``out=(kind, column)`` with kind ``sum``, ``max``, ``product`` or ``last`` (last non-null
+    value). ``backwards``, they run from the end of each series down to the current row.
     """
     rows = blocked(df, series)
-    frame = series.so_far()
+    frame = series.from_here() if backwards else series.so_far()
+    by_block = {**_RUNNING, "last": _FIRST} if backwards else _RUNNING
     over_rows = {
         out: F.last(col, ignorenulls=True) if kind == "last" else _RUNNING[kind][0](col, None)
         for out, (kind, col) in specs.items()
@@ -159,10 +178,10 @@ def running(df: DataFrame, series: Series, **specs: tuple[str, str]) -> DataFram
         return local
 
     ends = rows.groupBy(*series.parts).agg(
-        *[_RUNNING[kind][0](col, series.order_value()).alias(out)
+        *[by_block[kind][0](col, series.order_value()).alias(out)
           for out, (kind, col) in specs.items()]
     )
-    earlier = series.earlier_blocks()
+    earlier = series.later_blocks() if backwards else series.earlier_blocks()
     over_blocks = {
         out: F.last(out, ignorenulls=True) if kind == "last" else _RUNNING[kind][0](out, None)
         for out, (kind, _) in specs.items()
@@ -177,14 +196,21 @@ def running(df: DataFrame, series: Series, **specs: tuple[str, str]) -> DataFram
     return local.join(carry, series.parts, "left").select(*rows.columns, *merged)
 
 
-def ewm(df: DataFrame, series: Series, **specs: tuple[str, float]) -> DataFrame:
+def ewm(
+    df: DataFrame, series: Series, seeds: DataFrame | None = None, **specs: tuple[str, float]
+) -> DataFrame:
     """Add exponentially weighted averages ``out=(column, alpha)``, seeded with the first value.
 
     avg_0 = x_0, avg_t = alpha * x_t + (1 - alpha) * avg_{t-1}, over non-null values only;
     rows whose value is null get null. Writing b = 1 - alpha and n for the values seen so
     far in the block, avg = b^n * (sum(alpha * x_i * b^-i) + carry), where carry is the
     average at the end of the previous block, or x_0 at the start of the series.
+
+    ``seeds`` (the keys, and a column for each ``out``) continues series whose earlier rows are
+    not in ``df``: their first block starts from the seed, where it is not null.
     """
+    if seeds is not None and series.days is None:
+        raise ValueError("a continued series needs blocks")
     rates = {out: -math.log(1.0 - alpha) for out, (_, alpha) in specs.items()}
     if series.days is not None and series.days * max(rates.values()) > _LOG_LIMIT:
         raise ValueError(f"blocks of {series.days} days are too long for {specs}")
@@ -233,11 +259,13 @@ def ewm(df: DataFrame, series: Series, **specs: tuple[str, float]) -> DataFrame:
               ("x0", F.max(F.when(F.col(f"_n_{out}") == 1, F.col(f"_x0_{out}")))),
           )]
     )
-    carry = _carried_averages(ends, series, rates)
+    carry = _carried_averages(ends, series, rates, seeds)
     return local.join(carry, series.parts, "left").select(*rows.columns, *averages("_c_"))
 
 
-def _carried_averages(ends: DataFrame, series: Series, rates: dict[str, float]) -> DataFrame:
+def _carried_averages(
+    ends: DataFrame, series: Series, rates: dict[str, float], seeds: DataFrame | None = None
+) -> DataFrame:
     """Per block, the averages it starts from. Walks the block rows of each series."""
     fields = ", ".join(f"_c_{out}: double" for out in rates)
     walked_type = f"array<struct<{BLOCK}: bigint, {fields}>>"
@@ -253,14 +281,19 @@ def _carried_averages(ends: DataFrame, series: Series, rates: dict[str, float])
         here = F.struct(block[BLOCK].alias(BLOCK), *[before[o].alias(f"_c_{o}") for o in rates])
         return F.struct(*after, F.array_append(state["walked"], here).alias("walked"))
 
+    none = F.lit(None).cast("double")
     start = F.struct(
-        *[F.lit(None).cast("double").alias(out) for out in rates],
+        *[(none if seeds is None else F.col(f"_seed_{out}")).alias(out) for out in rates],
         F.array().cast(walked_type).alias("walked"),
     )
     columns = [BLOCK, *[f"_{tag}_{out}" for out in rates for tag in ("n", "s", "x0")]]
+    blocks = ends.groupBy(*series.keys).agg(
+        F.sort_array(F.collect_list(F.struct(*columns))).alias("_blocks"))
+    if seeds is not None:
+        blocks = blocks.join(
+            seeds.select(*series.keys, *[F.col(out).alias(f"_seed_{out}") for out in rates]),
+            list(series.keys), "left")
     return (
-        ends.groupBy(*series.keys)
-        .agg(F.sort_array(F.collect_list(F.struct(*columns))).alias("_blocks"))
-        .select(*series.keys, F.explode(F.aggregate("_blocks", start, step)["walked"]).alias("_b"))
+        blocks.select(*series.keys, F.explode(F.aggregate("_blocks", start, step)["walked"]).alias("_b"))
         .select(*series.keys, "_b.*")
     )

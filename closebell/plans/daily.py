@@ -20,11 +20,12 @@ from closebell.operators import (
     metrics,
     news,
     quality,
+    resumed,
     sentiment,
     signals,
 )
 from closebell.schemas import DATASETS, EQUITY, FEATURES, METRICS, SENTIMENT, SIGNALS
-from closebell.session import staging
+from closebell.session import stage, staging
 from closebell.sources import lake, landed
 
 INGEST_DAYS = 30
@@ -36,12 +37,23 @@ def ingest(
 ) -> None:
     """Landed bars, statements and news of ``symbols`` into the lake.
 
-    Bars run from ``start`` up to, not including, ``end``; news days include both.
+    Bars run from ``start`` up to, not including, ``end``; news days include both. Only bars that are
+    not stored alike are written, and only their days get new checksums. What has changed is noted in
+    ``bar_changes`` before it is written, and stays there until ``update_momentum`` has seen it.
     """
-    bars = landed.read_bars(spark, f"{landed_root}/bars", start, end, symbols)
-    lake.upsert_bars(bars, root)
-    stored = lake.read(spark, root, "ohlcv_daily")
-    lake.replace(quality.checksums(stored, ["date"]), root, "ohlcv_checksums")
+    with staging(spark):
+        bars = landed.read_bars(spark, f"{landed_root}/bars", start, end, symbols)
+        stored = lake.read(spark, root, "ohlcv_daily")
+        window = stored.where(
+            (F.col("date") >= F.lit(start).cast("date")) & (F.col("date") < F.lit(end).cast("date")))
+        changed = stage(lake.changed_rows(bars, window), "changed-bars")
+        noted = lake.read(spark, root, "bar_changes").unionByName(changed.select("symbol", "date"))
+        lake.replace(noted.distinct(), root, "bar_changes")
+        lake.upsert_bars(changed, root)
+        touched = lake.read(spark, root, "bar_changes")
+        recorded = lake.read(spark, root, "ohlcv_checksums")
+        stored = lake.read(spark, root, "ohlcv_daily")
+        lake.replace(quality.updated_checksums(stored, recorded, touched), root, "ohlcv_checksums")
     statements = landed.read_statements(spark, f"{landed_root}/statements", symbols)
     lake.upsert_fundamentals(fundamentals.merged(*statements), root)
     raw = landed.read_news(
@@ -56,13 +68,49 @@ def score(
     root: str,
     load_model: Callable[[], sentiment.Scorer],
     labels: Sequence[str] = sentiment.LABELS,
+    model: str | None = None,
+    scored_on: str | None = None,
 ) -> None:
-    """Score the normalised news and store sentiment per (date, symbol)."""
-    scores = sentiment.score_news(lake.read(spark, root, "news_norm"), load_model, labels)
+    """Score the normalised news and store sentiment per (date, symbol).
+
+    With the name of a ``model``, scores are kept in ``title_scores``: a title is scored once by
+    each model, on the day ``scored_on``, however often it comes and the day is rerun.
+    """
+    headlines = lake.read(spark, root, "news_norm")
+    if model is None:
+        scores = sentiment.score_news(headlines, load_model, labels)
+    else:
+        dataset = DATASETS["title_scores"]
+        found = sentiment.score_titles(
+            headlines, lake.read(spark, root, "title_scores"), load_model, model, labels=labels)
+        found = found.withColumn("scored_on", F.lit(scored_on).cast("date"))
+        lake.upsert(found.select(*dataset.schema.fieldNames()), lake.path_of(root, "title_scores"),
+                    dataset.schema, dataset.keys, dataset.partitions)
+        scores = sentiment.with_scores(headlines, lake.read(spark, root, "title_scores"), model)
     daily = sentiment.daily(scores).select(*SENTIMENT.fieldNames())
     lake.replace(daily, root, "sentiment_daily")
 
 
+def update_momentum(spark: SparkSession, root: str) -> None:
+    """Bring ``momentum_daily`` and the states it is continued from up to the bars noted in
+    ``bar_changes``. Blocks before a symbol's first change are neither read nor written; without
+    states, all bars count as changed. A run that fails is made good by the next one."""
+    bars = lake.read(spark, root, "ohlcv_daily")
+    states = lake.read(spark, root, "momentum_states")
+    changed = lake.read(spark, root, "bar_changes")
+    if states.isEmpty():
+        changed = bars
+    elif changed.isEmpty():
+        return
+    for name, rows in zip(
+        ("momentum_daily", "momentum_states"), resumed.momentum_from(bars, states, changed)
+    ):
+        dataset = DATASETS[name]
+        lake.upsert(rows.select(*dataset.schema.fieldNames()), lake.path_of(root, name),
+                    dataset.schema, dataset.keys, dataset.partitions)
+    lake.replace(lake.empty(spark, DATASETS["bar_changes"].schema), root, "bar_changes")
+
+
 def build_features(
     spark: SparkSession,
     root: str,
@@ -70,8 +118,13 @@ def build_features(
     end: str,
     sectors: DataFrame | None = None,
 ) -> None:
-    """Features for ``start <= date <= end``, from all bars up to ``end``."""
-    rows = features.features_between(lake.read(spark, root, "ohlcv_daily"), start, end)
+    """Features for ``start <= date <= end``: those of the full series, continued from stored states."""
+    update_momentum(spark, root)
+    days = F.lit(start).cast("date"), F.lit(end).cast("date")
+    blocks = [F.floor(F.unix_date(d) / F.lit(features.BARS.days)) for d in days]
+    rows = lake.read(spark, root, "momentum_daily").where(
+        F.col("block").between(*blocks) & F.col("date").between(*days) & F.col("r20").isNotNull()
+    ).select("date", "symbol", "r20", "rsi14")
     rows = features.with_sentiment(rows, lake.read(spark, root, "sentiment_daily"))
     if sectors is None:
         rows = rows.withColumn("sector", F.lit(None).cast("string"))
@@ -148,9 +201,10 @@ def run_day(
     symbols: Sequence[str],
     load_model: Callable[[], sentiment.Scorer],
     mode: str = "backtest",
+    model: str | None = None,
     **rule,
 ) -> dict[str, int]:
-    """All steps for one day. Mode ``backtest`` measures the last week; ``paper`` stops at
+    """All steps for one day. ``model`` names the model's stored scores (see ``score``). Mode ``backtest`` measures the last week; ``paper`` stops at
     the orders table, which a trading client picks up. Returns the rows of each table.
     Tables staged on the way are dropped at the end, also after an error."""
     if mode not in ("backtest", "paper"):
@@ -159,7 +213,7 @@ def run_day(
     first = days_before(run_date, INGEST_DAYS)
     with staging(spark):
         ingest(spark, landed_root, root, symbols, first, tomorrow)
-        score(spark, root, load_model)
+        score(spark, root, load_model, model=model, scored_on=run_date)
         build_features(spark, root, first, run_date)
         decide(spark, root, **rule)
         if mode == "backtest":

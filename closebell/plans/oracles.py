@@ -164,6 +164,23 @@ PARTS = {
         "select b.symbol, b.date, open, close, case side when 'BUY' then 1 when 'SELL' then 0 end as target "
         "from bars b left join signals s on s.symbol = b.symbol and s.date = b.date))"
     ),
+    "asked": (
+        f"select symbol, date, open, close, row_number() over ({SPAN}) as i, "
+        f"lag(target) over ({SPAN}) as want, lag(close) over ({SPAN}) as before from ("
+        "select b.symbol, b.date, open, close, case side when 'BUY' then 1 when 'SELL' then 0 end as target "
+        "from bars b left join signals s on s.symbol = b.symbol and s.date = b.date)"
+    ),
+    # bar by bar: an order is filled if the account can pay it, else refused
+    "account": (
+        "select symbol, date, i, close, 0 as pos, 0 as fill, false as refused, 1500e0 as cash "
+        "from asked where i = 1 union all "
+        "select symbol, date, i, close, pos + fill as pos, fill, wanted and fill = 0 as refused, "
+        "cash - fill * open * (1 + fill * 0.001e0) as cash from ("
+        "select a.*, w.pos, w.cash, coalesce(a.want <> w.pos, false) as wanted, "
+        "case when a.want = 0 and w.pos = 1 then -1 when a.want = 1 and w.pos = 0 "
+        "and w.cash >= greatest(a.open, a.before) * 1.001e0 then 1 else 0 end as fill "
+        "from account w join asked a on a.symbol = w.symbol and a.i = w.i + 1)"
+    ),
     "flows": "select *, -fill * open - abs(fill * open) * 0.001e0 as flow, pos * close as value from positions",
     "equity": (
         "select symbol as run_id, date, cash, cash + value as equity from "
@@ -187,6 +204,50 @@ PARTS = {
         "case when stddev_samp(ret) = 0 then 0 else avg(ret) / stddev_samp(ret) * sqrt(252) end as sharpe_ratio, "
         "min(drawdown) as max_drawdown, max(date) as last_date from drawdowns group by run_id having count(*) >= 2"
     ),
+    "years": "select symbol, year(date) as y, min(low) as low from bars group by 1, 2",
+    "actions": (
+        "select symbol, make_date(y, 3, 15) as date, null::double as split, low / 50 as dividend from years "
+        "union all select symbol, make_date(min(y) + 2, 7, 4), 2e0, null from years group by symbol "
+        "union all select symbol, make_date(min(y) + 4, 3, 15), 3e0, null from years group by symbol"
+    ),
+    "steps": (
+        "select b.*, case when before is null then 1e0 else coalesce(x.split, 1e0) end as shares, "
+        "case when before is null then 1e0 when 1 - coalesce(dividend, 0) / before > 0 "
+        "then 1 - coalesce(dividend, 0) / before else 1e0 end as kept "
+        f"from (select *, lag(close) over ({SPAN}) as before from bars) b left join ("
+        "select a.symbol, h.date, product(split) as split, sum(dividend) as dividend "
+        "from actions a asof join bars h on a.symbol = h.symbol and a.date <= h.date group by 1, 2"
+        ") x on x.symbol = b.symbol and x.date = b.date"
+    ),
+    "factors": (
+        f"select *, coalesce(product(kept / shares) over ({SPAN} rows between 1 following and unbounded following), 1e0) as factor, "
+        f"coalesce(product(shares) over ({SPAN} rows between 1 following and unbounded following), 1e0) as total "
+        "from (select symbol, date, open, high, low, close, volume, kept, shares from steps)"
+    ),
+    "ranked_months": (
+        "select * from (select month, symbol, sum(s) / sum(n) as adv, "
+        "row_number() over (partition by month order by sum(s) / sum(n) desc, symbol) as rank from ("
+        "select symbol, cast(m + interval (k) month as date) as month, s, n from ("
+        "select symbol, cast(date_trunc('month', date) as date) as m, sum(close * volume) as s, count(*) as n "
+        "from bars group by 1, 2) cross join (values (1), (2), (3)) later(k)) "
+        "where month in (select cast(date_trunc('month', date) as date) from bars) "
+        "group by month, symbol) where rank <= 10"
+    ),
+    "by_month": (
+        "select *, date_trunc('month', date) as m, "
+        "dense_rank() over (partition by run_id order by date_trunc('month', date)) as k from equity"
+    ),
+    "folds": (
+        "select distinct f.run_id, f.k - 12 as fold, f.k as k, cast(f.m as date) as test_start from by_month f where f.k > 12"
+    ),
+    "fold_points": (
+        "select f.*, 'train' as part, date, equity from folds f join by_month e on e.run_id = f.run_id and e.k < f.k "
+        "union all select f.*, 'test', date, equity from folds f join by_month e on e.run_id = f.run_id and e.k = f.k"
+    ),
+    "fold_steps": (
+        "select *, equity / lag(equity) over w - 1 as ret, equity / max(equity) over w - 1 as drawdown "
+        "from fold_points window w as (partition by run_id, fold, part order by date)"
+    ),
     "income": _statement(
         0, revenue="cast(sum(cast(o_totalprice as decimal(18,2))) as double)",
         netIncome="cast(count(*) as double)", eps="max(o_totalprice)"),
@@ -226,7 +287,7 @@ def _needed(sql: str) -> list[str]:
 
 def _sql(select: str) -> str:
     parts = ", ".join(f"{name} as ({PARTS[name]})" for name in _needed(select))
-    return f"with {parts} {select}" if parts else select
+    return f"with recursive {parts} {select}" if parts else select
 
 
 _PRICES = "open, high, low, close"
@@ -278,6 +339,13 @@ _SELECTS = {
     "atr14": _atr(),
     "adjusted_bars": "select date, symbol, " + ", ".join(
         f"{c} * case when date < date '1998-01-01' then 0.5e0 else 1e0 end as {c}" for c in ("open", "high", "low", "close")) + ", volume from bars",
+    "adjustment_factors": f"select symbol, date, {_r('factor')}, {_r('total', 'shares')} from factors",
+    "adjusted_from_actions": "select date, symbol, " + ", ".join(
+        _r(f"{c} * factor", c, 4) for c in ("open", "high", "low", "close")) + ", cast(round(volume * total) as bigint) as volume from factors",
+    "features_resumed": f"""select date, r20.symbol as symbol, r20.r20 as r20, {_r('rsi14')} from r20 left join rsi using (date, symbol)
+        where floor((date - date '1970-01-01') / 512) >= (select floor((min(b.date) - date '1970-01-01') / 512) from bars b where b.symbol = r20.symbol and b.date >= date '1997-03-01')""",
+    "universe_by_month": f"select month, symbol, {_r('adv', digits=4)}, cast(rank as integer) as rank from ranked_months",
+    "universe_bars_by_month": f"select date, symbol, {_PRICES}, volume from bars b where exists (select 1 from ranked_months u where u.symbol = b.symbol and u.month = cast(date_trunc('month', b.date) as date))",
     "liquid_bars": f"select date, symbol, {_PRICES}, volume from (select *, avg(volume) over ({SPAN} rows between 19 preceding and current row) as m from bars) where m >= 50",
     "top_adv_universe": f"select symbol, {_r('avg(close * volume)', 'adv')} from bars group by symbol order by avg(close * volume) desc, symbol limit 10",
     "universe_bars": f"select date, symbol, {_PRICES}, volume from bars where symbol in ({_TOP10})",
@@ -324,6 +392,7 @@ _SELECTS = {
         join (select g.date, sum(p.pos * p.close) as value from
                 (select d.date, s.symbol from (select distinct date from flows) d, (select distinct symbol from flows) s) g
               asof left join positions p on p.symbol = g.symbol and g.date >= p.date group by g.date) v on v.date = d.date""",
+    "equity_refused": f"select symbol, date, pos, fill, refused, {_cents('cash')}, {_cents('cash + pos * close', 'equity')} from account",
     "pnl_by_symbol": f"select symbol, {_r('sum(flow) + arg_max(value, date)', 'pnl')}, count(*) filter (where fill <> 0) as fills from flows group by symbol",
     "turnover": f"select run_id, {_r('coalesce(traded, 0)', 'traded')}, {_r('coalesce(traded, 0) / m', 'turnover')} from (select run_id, avg(equity) as m from equity group by 1) left join (select symbol as run_id, sum(cost) as traded from trades group by 1) using (run_id)",
     "closed_trades": f"select symbol, opened, date, qty, entry, exit, profit from closed",
@@ -339,6 +408,14 @@ _SELECTS = {
         cast(total - test_rows as bigint) as train_rows, test_rows from (
         select *, row_number() over (order by test_start) as m, min(f) over (order by test_start) as train_start, sum(test_rows) over (order by test_start) as total
         from (select cast(date_trunc('month', date) as date) as test_start, count(*) as test_rows, min(date) as f from bars group by 1)) where m > 12""",
+    "fold_metrics": "select run_id, cast(fold as integer) as fold, part, test_start, n as rows, " + ", ".join(
+        _r(f"case when n < 2 then 0e0 else {v} end", name) for name, v in (
+            ("total_return", "total"), ("annualized_volatility", "sd * sqrt(252)"),
+            ("sharpe_ratio", "case when sd = 0 then 0e0 else mean / sd * sqrt(252) end"), ("max_drawdown", "worst")))
+        + " from (select run_id, fold, part, test_start, count(*) as n, arg_max(equity, date) / arg_min(equity, date) - 1 as total, "
+        "stddev_samp(ret) as sd, avg(ret) as mean, min(drawdown) as worst from fold_steps group by 1, 2, 3, 4)",
+    "quality_checksums": "select date, count(*) as rows, bit_xor(cast(concat('0x', substr(md5(concat_ws('|', symbol, " + ", ".join(
+        f"cast(round({c} * 100) as bigint)" for c in ("open", "high", "low", "close")) + ", volume)), 1, 15)) as bigint)) as checksum from bars group by date",
     "quality_nulls": " union all ".join(
         f"select '{c}' as column, count(*) - count({c}) as nulls, count(*) as rows from news_raw" for c in _NEWS_COLUMNS),
     "quality_keys": "select l_orderkey, l_linenumber, count(*) as rows from lineitem group by 1, 2 having count(*) > 1",

@@ -16,12 +16,14 @@ from pyspark.sql.types import DoubleType, FloatType
 
 from closebell.functions import text
 from closebell.operators import (
+    accounts,
     backtest,
     features,
     fundamentals,
     metrics,
     news,
     quality,
+    resumed,
     sentiment,
     signals,
     universe,
@@ -210,6 +212,33 @@ def adjusted_bars(spark, sf_dir):
     return features.adjusted(bars, factors)
 
 
+@query()
+def adjustment_factors(spark, sf_dir):
+    bars = ohlcv(spark, sf_dir)
+    return features.adjustment_factors(bars, derived.corporate_actions(bars))
+
+
+@query()
+def adjusted_from_actions(spark, sf_dir):
+    """Bars before splits and dividends, made comparable with those after."""
+    bars = ohlcv(spark, sf_dir)
+    adjusted = features.adjusted_by_actions(bars, derived.corporate_actions(bars))
+    return coarser(adjusted, 4, *PRICES)
+
+
+@query("r20")
+def features_resumed(spark, sf_dir):
+    """Features of all bars from March 1997 on and of the blocks they lie in, continued from the
+    stored states of a run over the bars before."""
+    bars = ohlcv(spark, sf_dir)
+    new = F.col("date") >= F.lit("1997-03-01").cast("date")
+    old = bars.where(~new)
+    none = spark.createDataFrame([], resumed.STATE)
+    states = stage(resumed.momentum_from(old, none, old)[1], "momentum-states")
+    rows, _ = resumed.momentum_from(bars, states, bars.where(new))
+    return rows.where(F.col("r20").isNotNull()).select("date", "symbol", "r20", "rsi14")
+
+
 @query(*PRICES)
 def liquid_bars(spark, sf_dir):
     return features.liquid(ohlcv(spark, sf_dir), min_volume=50.0)
@@ -220,6 +249,18 @@ def top_adv_universe(spark, sf_dir):
     return universe.top_by_dollar_volume(market(spark, sf_dir), 10)
 
 
+@query()
+def universe_by_month(spark, sf_dir):
+    return coarser(universe.by_month(market(spark, sf_dir), 10), 4, "adv")
+
+
+@query(*PRICES)
+def universe_bars_by_month(spark, sf_dir):
+    """Bars of the ten symbols most traded in the three months before."""
+    bars = ohlcv(spark, sf_dir)
+    return universe.restrict_by_month(bars, universe.by_month(bars, 10))
+
+
 @query(*PRICES)
 def universe_bars(spark, sf_dir):
     bars = ohlcv(spark, sf_dir)
@@ -432,6 +473,23 @@ def equity_portfolio(spark, sf_dir):
     return coarser(account, 2, "cash", "equity")
 
 
+# Too little for the dearer bars: some orders are refused.
+SMALL_CASH = 1_500.0
+
+
+@query(*PRICES)
+def equity_refused(spark, sf_dir):
+    """Accounts with little cash: what they hold, refuse and are worth."""
+    bars = ohlcv(spark, sf_dir)
+    rows = features.with_sentiment(
+        features.trailing_return(bars), sentiment.daily(headline_scores(spark, sf_dir)))
+    held = accounts.limited_positions(bars, signals.decide(rows, **RULE), cash=SMALL_CASH)
+    equity = F.col("cash") + F.col("pos") * F.col("close")
+    return coarser(held.select(
+        "symbol", "date", "pos", "fill", "refused", "cash", equity.alias("equity")),
+        2, "cash", "equity")
+
+
 @query()
 def pnl_by_symbol(spark, sf_dir):
     return backtest.pnl_by_symbol(held_of(spark, sf_dir))
@@ -488,6 +546,12 @@ def walk_forward(spark, sf_dir):
     return metrics.walk_forward(market(spark, sf_dir))
 
 
+@query()
+def fold_metrics(spark, sf_dir):
+    """Train and test metrics of every walk-forward fold of every account."""
+    return metrics.fold_metrics(equity_of(spark, sf_dir))
+
+
 # --- quality ----------------------------------------------------------------------------
 
 
@@ -519,3 +583,14 @@ def causality_violations(spark, sf_dir):
     known = fundamentals.as_of(
         order_days(spark, sf_dir), fundamentals.merged(*derived.statements(spark, sf_dir)))
     return quality.causality_violations(known.withColumn("date", F.date_sub("date", 45)))
+
+
+@query()
+def quality_checksums(spark, sf_dir):
+    """Checksums per day, of which those from 1997 on are taken anew and the others kept."""
+    bars = ohlcv(spark, sf_dir)
+    cents = [(F.round(F.col(c) * 100)).cast("long") for c in PRICES]
+    row = quality.portable_hash(F.col("symbol"), *cents, F.col("volume"))
+    late = F.col("date") >= F.lit("1997-01-01").cast("date")
+    recorded = stage(quality.checksums(bars.where(~late), ["date"], row), "checksums")
+    return quality.updated_checksums(bars, recorded, bars.where(late), "date", row)

@@ -51,6 +51,12 @@ RUNS = _struct(
     total_return=_F, annualized_volatility=_F, sharpe_ratio=_F, max_drawdown=_F,
 )
 CHECKSUMS = _struct(date=_D, rows=_L, checksum=_L)
+BAR_KEYS = _struct(symbol=_S, date=_D)
+MOMENTUM = _struct(block=_L, symbol=_S, date=_D, r20=_F, rsi14=_F)
+MOMENTUM_STATES = _struct(
+    symbol=_S, block=_L, tail=ArrayType(_struct(date=_D, close=_F)), up=_F, down=_F
+)
+TITLE_SCORES = _struct(model=_S, title_key=_S, scored_on=_D, news_sent=_F, news_conf=_F)
 
 # Landed files, as the vendors send them.
 LANDED_BARS = _struct(Date=_S, Open=_F, High=_F, Low=_F, Close=_F, Volume=_L)
@@ -90,6 +96,12 @@ class Dataset:
 DATASETS: dict[str, Dataset] = {
     "ohlcv_daily": Dataset(OHLCV, "ohlcv", ("date", "symbol"), ("date",)),
     "ohlcv_checksums": Dataset(CHECKSUMS, "ohlcv_checksums", ("date",)),
+    "bar_changes": Dataset(BAR_KEYS, "bar_changes"),
+    "momentum_daily": Dataset(MOMENTUM, "features/momentum", ("symbol", "date"), ("block",)),
+    "momentum_states": Dataset(
+        MOMENTUM_STATES, "features/momentum_states", ("symbol", "block"), ("block",)),
+    "title_scores": Dataset(
+        TITLE_SCORES, "title_scores", ("model", "title_key"), ("scored_on",), "scored_on"),
     "fundamentals": Dataset(FUNDAMENTALS, "fundamentals", ("symbol", "date"), max_age_days=120),
     "news_raw": Dataset(NEWS_RAW, "news_raw", ("ingest_seq",), date_column="ts"),
     "news_norm": Dataset(NEWS_NORM, "news_norm", date_column="ts"),
@@ -119,7 +131,7 @@ def schema_drift(df: DataFrame, schema: StructType) -> list[str]:
         [f"missing column {n}" for n in want if n not in have]
         + [f"unexpected column {n}" for n in have if n not in want]
         + [f"column {n} is {have[n].simpleString()}, expected {want[n].simpleString()}"
-           for n in want if n in have and have[n] != want[n]]
+           for n in want if n in have and have[n].simpleString() != want[n].simpleString()]
     )
 
 

@@ -64,6 +64,21 @@ def bars_brand(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _bars(trades, "price", order, F.sum("l_quantity"))
 
 
+def corporate_actions(bars: DataFrame) -> DataFrame:
+    """``symbol, date, split, dividend``: every 15 March a dividend of a fiftieth of the year's lowest
+    price; two new shares for one on 4 July of a symbol's third year, three on 15 March of its fifth."""
+    years = bars.groupBy("symbol", F.year("date").alias("y")).agg(F.min("low").alias("low"))
+    dividends = years.select(
+        "symbol", F.make_date("y", F.lit(3), F.lit(15)).alias("date"),
+        F.lit(None).cast("double").alias("split"), (F.col("low") / 50).alias("dividend"))
+    first = years.groupBy("symbol").agg(F.min("y").alias("y"))
+    splits = first.select("symbol", F.explode(F.array(
+        F.struct(F.make_date(F.col("y") + 2, F.lit(7), F.lit(4)).alias("date"), F.lit(2.0).alias("split")),
+        F.struct(F.make_date(F.col("y") + 4, F.lit(3), F.lit(15)).alias("date"), F.lit(3.0).alias("split")),
+    )).alias("s")).select("symbol", "s.date", "s.split", F.lit(None).cast("double").alias("dividend"))
+    return dividends.unionByName(splits)
+
+
 def _listed(*parts: DataFrame) -> Column:
     """All distinct values of the parts' first columns, as one sorted array.
 

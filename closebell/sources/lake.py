@@ -2,17 +2,22 @@
 
 A table is a folder with ``data/version=<id>/...`` and ``log``. A write adds a version of the
 partitions it touches (or of the whole table, without partitions) beside the old ones, and then
-adds its rows to the log, a single small file that Spark's commit protocol makes visible as a
-whole. Readers take the latest logged version of each partition, so a job that fails midway
-leaves no trace in what they see. ``stale_versions`` lists what no reader uses any more.
+publishes a single small file that lists them under the next number of the log. Publishing is a rename that
+fails if the number is taken, so commits are ordered by when they were published, not by when their
+jobs began, and a job that fails midway leaves no trace in what readers see. Readers take the version
+with the highest commit of each partition. A write that builds on what it has read (``upsert``,
+``compact``) must be the very next commit; if another came between, it starts over from there, so
+neither is lost. ``stale_versions`` lists what no reader uses any more.
 """
 
 from __future__ import annotations
 
-import time
 import uuid
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +27,12 @@ from closebell.schemas import DATASETS, conform
 from closebell.session import stage, staging
 
 VERSION = "version"
+COMMIT = "commit"
+ATTEMPTS = 10  # of a write that builds on what it has read
+
+
+class Conflict(RuntimeError):
+    """Another write was published since the table was read."""
 
 
 def empty(spark: SparkSession, schema: StructType) -> DataFrame:
@@ -33,17 +44,65 @@ def path_of(root: str, name: str) -> str:
     return f"{root}/{DATASETS[name].path}"
 
 
-def _live(spark: SparkSession, path: str) -> DataFrame | None:
-    """The latest version of each partition, or None when nothing was published yet. The log
-    itself tells by which columns the table is partitioned."""
+def _log(spark: SparkSession, path: str) -> DataFrame | None:
+    """The log with the ``commit`` number of each row, or None when nothing was published yet."""
     try:
         log = spark.read.parquet(f"{path}/log")
     except AnalysisException as missing:
         if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
         return None
-    partitions = [c for c in log.columns if c != VERSION]
-    return log.groupBy(*partitions).agg(F.max(VERSION).alias(VERSION))
+    number = F.regexp_extract(F.col("_metadata.file_name"), r"^(\d+)\.parquet$", 1)
+    return log.select("*", number.cast("long").alias(COMMIT))
+
+
+def _live(spark: SparkSession, path: str) -> DataFrame | None:
+    """The latest version of each partition, or None when nothing was published yet. The log
+    itself tells by which columns the table is partitioned."""
+    log = _log(spark, path)
+    if log is None:
+        return None
+    partitions = [c for c in log.columns if c not in (VERSION, COMMIT)]
+    return log.groupBy(*partitions).agg(F.max_by(VERSION, COMMIT).alias(VERSION))
+
+
+def last_commit(spark: SparkSession, path: str) -> int:
+    """The number of the last published write; 0 when there is none."""
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(f"{path}/log")
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(folder):
+        return 0
+    names = [status.getPath().getName() for status in system.listStatus(folder)]
+    return max((int(n.split(".")[0]) for n in names if n.endswith(".parquet")), default=0)
+
+
+def _publish(rows: DataFrame, path: str, version: str, base: int | None) -> None:
+    """Make ``rows`` the next commit of the log; with ``base``, only if that is still the last one."""
+    spark = rows.sparkSession
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    as_path = jvm.org.apache.hadoop.fs.Path
+    pending = f"{path}/pending/{version}"
+    rows.coalesce(1).write.parquet(pending)
+    folder = as_path(pending)
+    system = folder.getFileSystem(conf)
+    system.mkdirs(as_path(f"{path}/log"))
+    [made] = [s.getPath() for s in system.listStatus(folder) if s.getPath().getName().endswith(".parquet")]
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(system.getUri(), conf)
+    no_options = spark._sc._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+    try:
+        while True:
+            number = (last_commit(spark, path) if base is None else base) + 1
+            try:  # fails if the target exists
+                files.rename(made, files.makeQualified(as_path(f"{path}/log/{number:012d}.parquet")), no_options)
+                return
+            except Py4JJavaError as taken:
+                if "FileAlreadyExistsException" not in str(taken.java_exception):
+                    raise
+                if base is not None:
+                    raise Conflict(f"{path} has changed since commit {base}") from taken
+    finally:
+        system.delete(folder, True)
 
 
 def _stored(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -129,9 +188,13 @@ def write_atomic(
     partitions: Sequence[str] = (),
     rows_per_file: int = 0,
     keys: Sequence[str] = (),
+    base: int | None = None,
 ) -> None:
     """Replace a table, or with ``partitions`` the partitions that occur in ``df``.
 
+    With ``base`` (see ``last_commit``) the write fails with ``Conflict`` if another one was published
+    since; without, the last one to be published counts.
+
     Rows are rebalanced by partition first: one file instead of one per task for a small
     partition, while adaptive execution splits a partition too large for one task. A null in
     one of ``keys`` fails the job. ``df`` may read the same table.
@@ -145,7 +208,7 @@ def write_atomic(
     })
     if partitions:
         rows = rows.hint("rebalance", *partitions)
-    version = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    version = uuid.uuid4().hex
     rows.withColumn(VERSION, F.lit(version)).write.mode("append").option(
         "compression", "zstd"
     ).option("maxRecordsPerFile", rows_per_file).partitionBy(VERSION, *partitions).parquet(
@@ -157,7 +220,7 @@ def write_atomic(
         ).distinct()
     else:
         written = spark.createDataFrame([(version,)], StructType([StructField(VERSION, StringType())]))
-    written.coalesce(1).write.mode("append").parquet(f"{path}/log")
+    _publish(written, path, version, base)
 
 
 def replace(df: DataFrame, root: str, name: str) -> None:
@@ -181,16 +244,23 @@ def upsert(
     """
     spark = df.sparkSession
     new = conform(df, schema)
-    if set(keys) <= set(partitions) or _live(spark, path) is None:
+    if set(keys) <= set(partitions):
         write_atomic(new, path, schema, partitions, keys=keys)
         return
     with staging(spark):
         new = stage(new, "upsert-new")
-        old = read_table(spark, path, schema)
-        if partitions:
-            old = old.join(new.select(*partitions).distinct(), list(partitions), "left_semi")
-        kept = old.join(new.select(*keys), list(keys), "left_anti")
-        write_atomic(kept.unionByName(new), path, schema, partitions, keys=keys)
+        for _ in range(ATTEMPTS):
+            base = last_commit(spark, path)
+            old = read_table(spark, path, schema)
+            if partitions:
+                old = old.join(new.select(*partitions).distinct(), list(partitions), "left_semi")
+            kept = old.join(new.select(*keys), list(keys), "left_anti")
+            try:
+                write_atomic(kept.unionByName(new), path, schema, partitions, keys=keys, base=base)
+                return
+            except Conflict:
+                continue  # merge with what was published meanwhile
+        raise Conflict(f"{path} kept changing during {ATTEMPTS} attempts")
 
 
 def upsert_bars(df: DataFrame, root: str, partitions: Sequence[str] | None = None) -> None:
@@ -212,6 +282,28 @@ def replace_fundamentals(df: DataFrame, root: str) -> None:
     replace(laid_out, root, "fundamentals")
 
 
+def changed_rows(new: DataFrame, stored: DataFrame) -> DataFrame:
+    """The rows of ``new`` that are not stored alike, nulls being equal to nulls."""
+    new, stored = new.alias("new"), stored.alias("stored")
+    alike = reduce(and_, [
+        F.col(f"new.`{c}`").eqNullSafe(F.col(f"stored.`{c}`")) for c in new.columns])
+    return new.join(stored, alike, "left_anti")
+
+
+def save_bucketed(
+    df: DataFrame, name: str, buckets: int, by: str = "symbol", order: Sequence[str] = ("symbol", "date"),
+    mode: str = "overwrite",
+) -> DataFrame:
+    """Write a catalog table in buckets of ``by``, sorted inside, and read it.
+
+    Joins and windows by that column, and by it and others, start from the buckets: no shuffle. A
+    table that many jobs read by symbol is shuffled once, when it is written.
+    """
+    rows = df.repartition(buckets, by)  # one file per bucket
+    rows.write.mode(mode).bucketBy(buckets, by).sortBy(*order).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def record_run(
     spark: SparkSession, root: str, metrics: DataFrame, started: str, status: str = "FINISHED"
 ) -> None:
@@ -231,11 +323,13 @@ def compact(
     where: str | None = None,
     rows_per_file: int = 5_000_000,
 ) -> None:
-    """Rewrite a table, or the partitions ``where`` selects, into few large files."""
+    """Rewrite a table, or the partitions ``where`` selects, into few large files. Fails with
+    ``Conflict`` if another write is published meanwhile."""
+    base = last_commit(spark, path)
     rows = read_table(spark, path, schema)
     rows = rows.where(where) if where else rows
     packed = rows if partitions else rows.hint("rebalance")
-    write_atomic(packed, path, schema, partitions, rows_per_file)
+    write_atomic(packed, path, schema, partitions, rows_per_file, base=base)
 
 
 def write_equity_csv(df: DataFrame, path: str) -> None:

@@ -1,0 +1,241 @@
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from closebell.operators import features, quality, resumed, sentiment
+from closebell.operators.series import Series, running
+from closebell.plans import daily
+from closebell.schemas import DATASETS, OHLCV
+from closebell.sources import lake
+
+D0 = dt.date(2023, 1, 1)
+
+
+def day(i):
+    return D0 + dt.timedelta(days=i)
+
+
+def bars_of(rng, symbols):
+    """{(symbol, day): close}; some bars have no close."""
+    out = {}
+    for s, (n, step) in symbols.items():
+        at, price = 0, 100.0
+        for _ in range(n):
+            price *= rng.uniform(0.95, 1.05)
+            out[s, at] = None if rng.random() < 0.02 else price
+            at += rng.randint(1, step)
+    return out
+
+
+def frame(spark, bars):
+    rows = [(day(i), s, c, c, c, c, 1) for (s, i), c in bars.items()]
+    return spark.createDataFrame(rows, OHLCV)
+
+
+def full(spark, bars, s):
+    rows = features.momentum(frame(spark, bars), s).collect()
+    return {(r.symbol, r.date): (r.r20, r.rsi14) for r in rows}
+
+
+def keyed(rows):
+    return {(r.symbol, r.date): (r.r20, r.rsi14) for r in rows.collect()}
+
+
+def same(got, want):
+    assert set(got) == set(want)
+    for k, (r20, rsi) in want.items():
+        assert got[k][0] == r20
+        assert got[k][1] == (None if rsi is None else pytest.approx(rsi, abs=1e-9))
+
+
+SYMBOLS = {"A": (160, 1), "B": (70, 4), "C": (12, 30), "D": (1, 1), "E": (45, 2)}
+
+
+@pytest.mark.parametrize("days", [16])
+def test_continued_features_equal_the_full_series(spark, days):
+    """Appended days, corrected bars and new symbols, one change after the other."""
+    s, rng = Series(days=days), random.Random(days)
+    bars = bars_of(rng, SYMBOLS)
+    cut = 120
+    known = {k: c for k, c in bars.items() if k[1] < cut and k[0] != "E"}
+    none = spark.createDataFrame([], resumed.STATE)
+    rows, states = resumed.momentum_from(frame(spark, known), none, frame(spark, known), s)
+    stored, states = keyed(rows), states.collect()
+    same(stored, full(spark, known, s))
+    changes = [
+        {k: c for k, c in bars.items() if cut <= k[1] < cut + 1},
+        {k: c for k, c in bars.items() if cut + 1 <= k[1] < cut + 40},
+        {("A", 50): 123.0, ("B", max(i for x, i in known if x == "B" and i < 90)): 7.0},
+        {k: c for k, c in bars.items() if k[0] == "E"},
+        {("C", 0): None, ("F", 3): 5.0, ("F", 200): 6.0},
+    ]
+    for change in changes:
+        known.update(change)
+        changed = frame(spark, change)
+        before = spark.createDataFrame(states, resumed.STATE)
+        rows, ends = resumed.momentum_from(frame(spark, known), before, changed, s)
+        new = keyed(rows)
+        first = {r.symbol: r["first"] for r in resumed.first_blocks(changed, s).collect()}
+        assert {k[0] for k in new} <= set(first)
+        assert all((k[1] - dt.date(1970, 1, 1)).days // days >= first[k[0]] for k in new)
+        stored.update(new)
+        kept = [r for r in states if r.symbol not in first or r.block < first[r.symbol]]
+        states = kept + ends.collect()
+        same(stored, full(spark, known, s))
+
+
+def test_the_scan_begins_at_the_first_touched_block(spark, tmp_path):
+    root, rng = str(tmp_path), random.Random(1)
+    bars = {("A", i): rng.uniform(9, 11) for i in range(0, 1200, 3)}
+    lake.upsert_bars(frame(spark, bars), root)
+    stored = lake.read(spark, root, "ohlcv_daily")
+    touched = resumed.touched_bars(stored, resumed.first_blocks(frame(spark, {("A", 1150): 1.0})))
+    plan = touched._jdf.queryExecution().executedPlan().toString()
+    start = resumed.EPOCH + dt.timedelta(days=(day(1150) - resumed.EPOCH).days // 512 * 512)
+    assert "PartitionFilters" in plan and f">= {(start - resumed.EPOCH).days}" in plan.replace(str(start), str((start - resumed.EPOCH).days))
+    assert touched.agg(F.min("date")).first()[0] >= start > day(0)
+
+
+def test_lake_tables_follow_the_bars(spark, tmp_path):
+    """Appended, corrected and rerun through the daily steps; a failed update is made good later."""
+    root, rng = str(tmp_path), random.Random(5)
+    bars = {(s, i): rng.uniform(90, 110) for s in "AB" for i in range(0, 700, 2)}
+
+    def note(change):
+        lake.replace(frame(spark, change).select("symbol", "date").unionByName(
+            lake.read(spark, root, "bar_changes")), root, "bar_changes")
+        lake.upsert_bars(frame(spark, change), root)
+
+    def check():
+        daily.update_momentum(spark, root)
+        rows = keyed(lake.read(spark, root, "momentum_daily"))
+        same(rows, full(spark, bars, features.BARS))
+        assert lake.read(spark, root, "bar_changes").isEmpty()
+        keys = lake.read(spark, root, "momentum_states").groupBy("symbol", "block").count()
+        assert keys.where("count > 1").isEmpty()
+
+    note(bars)
+    check()
+    untouched = {r.version for r in spark.read.parquet(f"{root}/features/momentum/data").select("version").distinct().collect()}
+    change = {("A", 700): 95.0}
+    bars.update(change)
+    note(change)  # noted, but the update fails ...
+    change = {("B", 300): 150.0, ("B", 702): 99.0}
+    bars.update(change)
+    note(change)  # ... and the next one sees both
+    check()
+    blocks = {r.block for r in spark.read.parquet(f"{root}/features/momentum/data").where(
+        ~F.col("version").isin(*untouched)).select("block").distinct().collect()}
+    assert min(blocks) == (day(300) - resumed.EPOCH).days // 512
+
+
+def test_titles_are_scored_once(spark, tmp_path):
+    root = str(tmp_path)
+    dataset = DATASETS["news_norm"]
+
+    def store(titles):
+        rows = [(dt.datetime(2024, 1, 1, 9), "A", "s", t, "", "u") for t in titles]
+        lake.replace(spark.createDataFrame(rows, dataset.schema), root, "news_norm")
+
+    def load():
+        return lambda titles: [(float(t.count("d")), 0.0, float(t.count("u"))) for t in titles]
+
+    def refuse():
+        def model(titles):
+            raise AssertionError(f"scored again: {titles}")
+        return model
+
+    def rows():
+        return sorted((str(r.date), round(r.news_sent, 9)) for r in lake.read(spark, root, "sentiment_daily").collect())
+
+    store(["up", "down down", "up", None, ""])
+    daily.score(spark, root, load, model="m1", scored_on="2024-01-01")
+    first = rows()
+    assert lake.read(spark, root, "title_scores").count() == 3
+    daily.score(spark, root, refuse, model="m1", scored_on="2024-01-02")
+    assert rows() == first
+    store(["up", "down down", "up", None, "", "new u"])
+    daily.score(spark, root, load, model="m1", scored_on="2024-01-02")
+    assert lake.read(spark, root, "title_scores").count() == 4
+    daily.score(spark, root, load, model="m2", scored_on="2024-01-02")
+    assert lake.read(spark, root, "title_scores").count() == 8
+    plain = sentiment.score_news(lake.read(spark, root, "news_norm"), load)
+    want = sentiment.daily(plain).first().news_sent
+    assert rows() == [("2024-01-01", round(want, 9))]
+
+
+def test_checksums_of_touched_days_alone(spark, tmp_path):
+    root = str(tmp_path)
+    bars = {(s, i): 1.0 + i for s in "AB" for i in range(30)}
+    lake.upsert_bars(frame(spark, bars), root)
+    stored = lake.read(spark, root, "ohlcv_daily")
+    recorded = quality.checksums(stored, ["date"])
+    change = {("A", 7): 99.0, ("B", 31): 2.0}
+    lake.upsert_bars(frame(spark, change), root)
+    stored = lake.read(spark, root, "ohlcv_daily")
+    got = quality.updated_checksums(stored, recorded, frame(spark, change))
+    want = {tuple(r) for r in quality.checksums(stored, ["date"]).collect()}
+    assert {tuple(r) for r in got.collect()} == want and len(want) == 31
+    assert {tuple(r) for r in quality.updated_checksums(stored, got, frame(spark, change).limit(0)).collect()} == want
+
+
+def test_running_backwards(spark):
+    rng = random.Random(8)
+    values = {("A", i): rng.choice([None, 0.5, 2.0, 3.0]) for i in range(60)}
+    df = spark.createDataFrame([(s, day(i), v) for (s, i), v in values.items()], "symbol string, date date, x double")
+    for s in (Series(days=8), Series(days=None)):
+        got = {r.date: r for r in running(df, s, backwards=True, p=("product", "x"), n=("last", "x"), t=("sum", "x")).collect()}
+        for i in range(60):
+            rest = [values["A", j] for j in range(i, 60) if values["A", j] is not None]
+            product = 1.0
+            for v in rest:
+                product *= v
+            r = got[day(i)]
+            assert r.n == (rest[0] if rest else None)
+            assert r.p == (pytest.approx(product) if rest else None)
+            assert r.t == (pytest.approx(sum(rest)) if rest else None)
+
+
+def test_factors_equal_a_loop(spark):
+    rng = random.Random(3)
+    bars, actions = {}, []
+    for s, step in (("A", 1), ("B", 3), ("C", 9)):
+        at = 0
+        for _ in range(60):
+            bars[s, at] = rng.uniform(50, 150)
+            at += rng.randint(1, step)
+        last = max(i for x, i in bars if x == s)
+        for _ in range(12):
+            actions.append((s, rng.randint(-5, last + 9), rng.choice([None, 2.0, 0.5, 3.0, 0.0]),
+                            rng.choice([None, 1.0, 2.5, 1e6])))
+    actions += [("Z", 3, 2.0, None), (None, 3, 2.0, None), ("A", 10, 2.0, 1.0), ("A", 10, 3.0, 0.5)]
+    act = spark.createDataFrame(
+        [(s, day(i), x, d) for s, i, x, d in actions], "symbol string, date date, split double, dividend double")
+    want = {}
+    for s in "ABC":
+        days = sorted(i for x, i in bars if x == s)
+        factor = shares = 1.0
+        for k in range(len(days) - 1, -1, -1):
+            want[s, day(days[k])] = (factor, shares)
+            if k:
+                here = [(x, d) for y, i, x, d in actions if y == s and days[k - 1] < i <= days[k]]
+                split = 1.0
+                for x, _ in here:
+                    split *= x if x and x > 0 else 1.0
+                left = 1 - sum(d or 0.0 for _, d in here) / bars[s, days[k - 1]]
+                factor *= (left if left > 0 else 1.0) / split
+                shares *= split
+    for series in (Series(days=16), Series(days=None)):
+        got = {(r.symbol, r.date): (r.factor, r.shares)
+               for r in features.adjustment_factors(frame(spark, bars), act, series).collect()}
+        assert set(got) == set(want)
+        for k in want:
+            assert got[k] == (pytest.approx(want[k][0]), pytest.approx(want[k][1]))
+    adjusted = {(r.symbol, r.date): r for r in features.adjusted_by_actions(frame(spark, bars), act).collect()}
+    for (s, i), c in bars.items():
+        r = adjusted[s, day(i)]
+        assert r.close == pytest.approx(c * want[s, day(i)][0]) and r.volume == round(want[s, day(i)][1] + 1e-12)
+    plain = features.adjusted_by_actions(frame(spark, bars), act.limit(0)).collect()
+    assert {(r.symbol, r.date): r.close for r in plain} == {(s, day(i)): c for (s, i), c in bars.items()}
