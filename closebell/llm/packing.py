@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator, Mapping
@@ -63,23 +64,94 @@ def splits_at_spaces(path: str) -> bool:
     )
 
 
+# A word of ASCII and Latin-1 letters, in UTF-8, and what may follow it. Where the pre-tokeniser keeps
+# runs of letters and runs of other signs apart, both are tokenised by themselves.
+_LETTERS = re.compile(rb"((?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([.,;:!?]*)")
+
+
+def _parts_letters(made: dict) -> bool:
+    """Whether runs of letters are words of their own that end in a marked token."""
+    steps = (made.get("pre_tokenizer") or {}).get("pretokenizers", [{}])
+    pattern = steps[0].get("pattern", {}).get("Regex", "").split("|")
+    return bool({r"[\p{L}]+", r"[^\s\p{L}\p{N}]+"} <= set(pattern)
+                and all(p.startswith(("'", "[")) for p in pattern)
+                and made["model"].get("end_of_word_suffix"))
+
+
 @lru_cache(maxsize=2)
 def _encoder(path: str):
-    """``ids(words) -> bytes``: the little-endian ids of words, one after the other."""
+    """``ids(words) -> bytes``: the little-endian ids of words, one after the other.
+
+    Words met before are looked up; of two generations of them the older one is forgotten when the
+    newer is full, so frequent words stay. New words of letters are encoded together and told apart by
+    the tokens that end a word; all others one by one.
+    """
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark deals out the cores
     from tokenizers import Tokenizer
 
-    encode, known = Tokenizer.from_file(path).encode_batch, {}
+    tokenizer = Tokenizer.from_file(path)
+    with open(path, encoding="utf-8") as file:
+        made = json.load(file)
+    lowers = "Lowercase" in json.dumps(made["normalizer"])
+    vocabulary = tokenizer.get_vocab()
+    suffix = made["model"].get("end_of_word_suffix") or ""
+    is_end = np.zeros(max(vocabulary.values()) + 1, bool)
+    is_end[[i for token, i in vocabulary.items() if suffix and token.endswith(suffix)]] = True
+    together_at = 5_000 if _parts_letters(made) else 0
+    known: dict[bytes, bytes] = {}
+    older: dict[bytes, bytes] = {}
+
+    def encoded(text: str) -> np.ndarray:
+        return np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+    def alone(word: bytes) -> bytes:
+        return encoded(word.decode()).tobytes()
+
+    def together(words: list[bytes]) -> None:
+        ids = encoded(b" ".join(words).decode())
+        ends = (4 * (np.flatnonzero(is_end[ids]) + 1)).tolist()
+        if len(ends) != len(words):
+            raise ValueError(f"{path} does not end each word with a marked token")
+        raw, start = ids.tobytes(), 0
+        for word, end in zip(words, ends):
+            known[word] = raw[start:end]
+            start = end
+
+    def find(word: bytes) -> bytes | None:
+        return known.get(word) or older.get(word)
+
+    def learn(words: set[bytes]) -> None:
+        made_of, letters = {}, set()
+        for word in words:
+            ids = older.get(word)
+            if ids is not None:
+                known[word] = ids
+                continue
+            # lower-casing ASCII letters first changes nothing but special tokens
+            low = word.lower() if lowers else word
+            m = _LETTERS.fullmatch(low) if together_at else None
+            if m:
+                core, rest = m.groups()
+                made_of[word] = (core, rest)
+                if core not in known and core not in older:
+                    letters.add(core)
+                if rest and find(rest) is None:
+                    known[rest] = alone(rest)
+            else:
+                known[word] = alone(word)
+        new = list(letters)
+        for at in range(0, len(new), max(together_at, 1)):
+            together(new[at:at + together_at])
+        for word, (core, rest) in made_of.items():
+            known[word] = find(core) + (find(rest) if rest else b"")
 
     def ids(words: list[bytes]) -> bytes:
-        new = list(set(words).difference(known))
-        if len(known) + len(new) > REMEMBERED:
-            known.clear()
-            new = list(set(words))
-        for at in range(0, len(new), 10_000):
-            some = new[at:at + 10_000]
-            found = encode([w.decode() for w in some], add_special_tokens=False)
-            known.update(zip(some, (np.array(e.ids, "<u4").tobytes() for e in found)))
+        nonlocal known, older
+        if len(known) > REMEMBERED:
+            known, older = {}, known
+        new = {w for w in words if w not in known}
+        if new:
+            learn(new)
         return b"".join(map(known.__getitem__, words))
 
     return ids
