@@ -7,12 +7,13 @@ lie within e of each other. Shared q-grams are counted in overlapping diagonal b
 enough for any such run of diagonals; bands that reach the bound are verified by banded alignment.
 
 Texts and items are compared as UTF-8 bytes, lower-cased, with runs of white space as one space.
-Items shorter than ``MIN_BYTES`` after that are no evidence and match nothing.
+Items shorter than ``SHORT`` bytes leave no room for edits: they match word for word, from the start
+of a word to the end of one. Items shorter than a q-gram are no evidence and match nothing.
 
-Items longer than ``PASSAGE`` are also searched by overlapping passages of that length, one every
-``STEP`` bytes, each with an edit budget of its own: a text that quotes any ``PASSAGE + STEP`` bytes
-of an item within its rate matches, wherever the quote is cut. Where a whole item matches, its passages are
-not given again.
+Items are also searched by overlapping passages, each with an edit budget of its own, so a text
+that quotes part of an item matches wherever the quote is cut: a passage has two thirds of the item,
+but ``LEAST_PASSAGE`` to ``PASSAGE`` bytes, and the next one begins after half of it (a quarter in items of
+less than one and a half ``PASSAGE``). Where a whole item matches, its passages are not given again.
 
 Defined results: a null or empty text has no matches; a null item matches nothing. Repeated
 items match separately, repeated documents too. No items or no documents give an empty result.
@@ -29,13 +30,13 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-
-from closebell.session import stage
+from pyspark.sql.types import BooleanType
 
 Q = 8  # bytes: a q-gram is one unsigned 64-bit number
-MIN_BYTES = 32  # at this length the bound is positive for an edit rate of a tenth
-PASSAGE = 200  # bytes, some 35 words
-STEP = 100
+MIN_BYTES = Q
+SHORT = 32  # from here on the bound is positive for an edit rate of a tenth
+PASSAGE = 100  # bytes, some 17 words
+LEAST_PASSAGE = 50
 BAND = 32  # diagonals by which one band is shifted against the next
 _BUFFER = 4 << 20  # bytes of text searched at a time; a longer text is searched whole
 _TABLE_BITS = 20
@@ -64,7 +65,8 @@ class Index:
 
     def __init__(self, items: list[tuple[int | None, bytes]], max_edit_rate: float) -> None:
         self.items = items
-        self.edits = np.array([int(max_edit_rate * len(b)) for _, b in items], np.int64)
+        self.edits = np.array(
+            [int(max_edit_rate * len(b)) if len(b) >= SHORT else 0 for _, b in items], np.int64)
         sizes = np.array([len(b) for _, b in items], np.int64)
         self.bound = np.maximum(1, sizes - Q + 1 - Q * self.edits)
         grams = [_grams(b) for _, b in items]
@@ -190,10 +192,10 @@ def _find(index, raw, starts, texts, first) -> list[tuple[int, int, int, int, in
     for (d, i), spans in merged.items():
         item = index.items[i][1]
         for low, high in spans:
-            exact = texts[d].find(item, low, high)
+            exact = _exact(texts[d], item, low, high)
             if exact >= 0:
                 found.append((first + d, i, exact, exact + len(item), 0))
-            else:
+            elif len(item) >= SHORT:
                 unsure.setdefault(i, []).append((d, low, high))
     for i, regions in unsure.items():
         item, most = index.items[i][1], int(index.edits[i])
@@ -207,10 +209,21 @@ def _find(index, raw, starts, texts, first) -> list[tuple[int, int, int, int, in
     return found
 
 
+def _exact(text: bytes, item: bytes, low: int, high: int) -> int:
+    """Where the item stands word for word; a short one as whole words. -1 if nowhere."""
+    at = text.find(item, low, high)
+    while at >= 0 and len(item) < SHORT and (
+            text[max(at - 1, 0):at].strip() or text[at + len(item):at + len(item) + 1].strip()):
+        at = text.find(item, at + 1, high)
+    return at
+
+
 def passages(raw: bytes) -> list[bytes]:
     """Overlapping passages that cover an item; none if it is no longer than one."""
-    last = len(raw) - PASSAGE
-    return [raw[k:k + PASSAGE] for k in (*range(0, last, STEP), last)] if last > 0 else []
+    size = min(PASSAGE, max(LEAST_PASSAGE, 2 * len(raw) // 3))
+    step = size // 4 if 2 * len(raw) < 3 * PASSAGE else size // 2
+    last = len(raw) - size
+    return [raw[k:k + size] for k in (*range(0, last, step), last)] if last > 0 else []
 
 
 def _without_covered(found: list, owner: list[int], wholes: int) -> list:
@@ -307,9 +320,24 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame
 
 
 def drop_contaminated(
-    docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", **settings
+    docs: DataFrame, benchmark: DataFrame, text: str = "text", item_column: str = "item_id",
+    max_edit_rate: float = 0.1, block_bytes: int = 1 << 20,
 ) -> DataFrame:
-    """The rows of ``docs`` whose ``doc_id`` has no match; rows without an id are not judged."""
-    bad = matches(docs, benchmark, id_column=id_column, **settings)
-    bad = stage(bad.select(F.col("doc_id").alias(id_column)).distinct(), "contaminated")
-    return docs.join(bad, id_column, "left_anti").select(*docs.columns)
+    """The rows of ``docs`` without a match. Each is judged beside its own text, whatever its id."""
+
+    def hit(items):
+        entries = [*items, *((i, part) for i, raw in items for part in passages(raw))]
+
+        @F.pandas_udf(BooleanType())
+        def judge(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            index = Index(entries, max_edit_rate)
+            for batch in batches:
+                bad = np.zeros(len(batch), bool)
+                bad[[f[0] for f in find(index, [normalise(t) for t in batch])]] = True
+                yield pd.Series(bad)
+
+        return judge
+
+    for block in _blocks(benchmark, item_column, "text", block_bytes):
+        docs = docs.where(~hit(block)(F.col(f"`{text}`")))
+    return docs

@@ -23,6 +23,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from closebell.llm.rows import keyed, once
 from closebell.session import stage
 
 SPACES = "[ \\t-\\r]+"
@@ -114,9 +115,12 @@ def plan(
     seed: int = 7,
     id_column: str = "doc_id",
     tokens: Column | None = None,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """``doc_id, *levels, tokens, epoch, taken`` for every document an epoch takes.
 
+    ``carry`` names further columns that go with a row; rows without an id are then ordered by these.
+
     ``total`` is the budget in tokens; without it, ``fraction`` of all tokens. ``tokens`` is the
     size of a document (words of ``text`` by default). Texts are read once; what follows works on
     ids and sizes. A leaf may hold any part of the rows: its order is cut into slices by the seeded
@@ -125,7 +129,7 @@ def plan(
     tokens = word_count(F.col("text")) if tokens is None else tokens
     keys = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in levels]
     sized = docs.select(
-        F.col(id_column).alias("doc_id"), *keys, tokens.cast("long").alias("tokens"),
+        F.col(id_column).alias("doc_id"), *keys, tokens.cast("long").alias("tokens"), *carry,
     ).where("tokens > 0")
     sized = stage(sized, "mixing-sizes")
     leaves = stage(
@@ -143,8 +147,9 @@ def plan(
     dealt = sized.join(given, list(levels)).select(sized["*"], "budget", "held", "slices", epochs)
     # whole epochs before the last one need no order
     dealt = dealt.where(F.col("epoch") * F.col("held") < F.col("budget"))
+    name = F.coalesce(F.col("doc_id").cast("string"), *map(F.col, carry))
     key = F.substring(F.md5(F.concat_ws(
-        ":", F.lit(str(seed)), F.col("epoch").cast("string"), F.col("doc_id").cast("string"))), 1, 15)
+        ":", F.lit(str(seed)), F.col("epoch").cast("string"), name)), 1, 15)
     dealt = dealt.withColumn("key", F.conv(key, 16, 10).cast("long"))
     # 15 hex digits: a slice is a range of keys
     dealt = dealt.withColumn("slice", F.expr("key div (1152921504606846976 div slices + 1)"))
@@ -152,14 +157,14 @@ def plan(
     sums = dealt.groupBy(*place, "slice").agg(F.sum("tokens").alias("sum"))
     before = Window.partitionBy(*place).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.withColumn("_before", F.coalesce(F.sum("sum").over(before), F.lit(0))).drop("sum")
-    inside = Window.partitionBy(*place, "slice").orderBy("key", "doc_id", "tokens").rowsBetween(
+    inside = Window.partitionBy(*place, "slice").orderBy("key", "doc_id", "tokens", *carry).rowsBetween(
         Window.unboundedPreceding, -1)
     start = F.col("epoch") * F.col("held") + F.col("_before") + F.coalesce(
         F.sum("tokens").over(inside), F.lit(0))
     placed = dealt.join(sums, [*place, "slice"]).withColumn("_start", start)
     return placed.withColumn(
         "taken", F.least("tokens", F.col("budget") - F.col("_start"))
-    ).where("taken > 0").select("doc_id", *levels, "tokens", "epoch", "taken")
+    ).where("taken > 0").select("doc_id", *levels, "tokens", "epoch", "taken", *carry)
 
 
 def source_domain(source: Column, domains: int = 4) -> Column:
@@ -178,16 +183,30 @@ def prefix(text: Column, words: Column) -> Column:
     return F.regexp_replace(head, "[ \\t-\\r]+$", "")
 
 
-def sample(docs: DataFrame, id_column: str = "doc_id", text: str = "text", **settings) -> DataFrame:
-    """The mixed corpus: the columns of ``docs`` plus ``epoch`` and ``taken``, with the text of
-    a document taken in part cut to its first ``taken`` words. Rows without an id count for the
-    budgets but cannot be taken again, so they are left out; ids are unique."""
-    taken = plan(docs, id_column=id_column, **settings)
-    chosen = taken.select(F.col("doc_id").alias(id_column), "epoch", "taken", "tokens")
-    rest = [c for c in docs.columns if c not in ("epoch", "taken", "tokens")]
-    joined = docs.select(*rest).join(chosen, id_column)
-    cut = F.when(F.col("taken") < F.col("tokens"), prefix(F.col(text), F.col("taken")))
+def sample(
+    docs: DataFrame, id_column: str = "doc_id", text: str = "text",
+    levels: Sequence[str] = ("domain", "lang", "source"), **settings,
+) -> DataFrame:
+    """The mixed corpus: the columns of ``docs`` plus ``epoch`` and ``taken`` (replaced if they
+    exist), with the text of a document taken in part cut to its first ``taken`` words.
+
+    Rows are told apart by their whole content, not by the id: rows without one, or that share one, are
+    each taken for what they are, and equal rows as often as there are of them.
+    """
+    rows = keyed(docs)
+    parts = [F.col(f"_row.`{c}`").alias(c) for c in dict.fromkeys((id_column, *levels))]
+    sized = stage(rows.select(
+        "_key", *parts, word_count(F.col(f"_row.`{text}`")).alias("_tokens")), "mixing-rows")
+    taken = plan(sized, levels, id_column=id_column, tokens=F.col("_tokens"), carry=("_key",), **settings)
+    repeated = stage(
+        sized.groupBy("_key").count().where("count > 1").select("_key"), "mixing-repeated")
+    chosen = taken.select(
+        "_key", *[F.col(c).alias(f"_{c}") for c in ("epoch", "taken", "tokens")])
+    joined = once(rows, repeated).join(chosen, "_key")
+    row = lambda c: F.col(f"_row.`{c}`")
+    cut = F.when(F.col("_taken") < F.col("_tokens"), prefix(row(text), F.col("_taken")))
     return joined.select(
-        *[F.coalesce(cut, F.col(c)).alias(c) if c == text else F.col(c) for c in rest],
-        "epoch", "taken",
+        *[F.coalesce(cut, row(c)).alias(c) if c == text else row(c).alias(c)
+          for c in docs.columns if c not in ("epoch", "taken")],
+        F.col("_epoch").alias("epoch"), F.col("_taken").alias("taken"),
     )

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from closebell.llm.components import components
+from closebell.llm.rows import keyed, once
 from closebell.session import stage
 
 _CHUNK = 1 << 16  # shingles whose bits are added up at a time
@@ -237,37 +238,37 @@ def near_duplicates(
 
 
 def classes(prints: DataFrame, budget: int = 3) -> DataFrame:
-    """``fp, component_id`` for every distinct fingerprint of ``prints(doc_id, fp)``."""
+    """``fp, component_id, root`` for every distinct fingerprint of ``prints(doc_id, fp)``; the root
+    is a fingerprint that names the class, with or without an id."""
     distinct = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-prints")
     roots = components(links(distinct.select("fp"), budget))
     rooted = distinct.join(roots.withColumnRenamed("vertex", "fp"), "fp", "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root")
     )
     names = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    return rooted.join(names, "root").select("fp", "component_id")
+    return rooted.join(names, "root").select("fp", "component_id", "root")
 
 
 def keep_one(
     docs: DataFrame, text: str = "text", id_column: str = "doc_id", shingle: int = 3,
     budget: int = 3, seed: int = 42,
 ) -> DataFrame:
-    """The rows of ``docs`` that stay: of each component the row whose id names it.
+    """The rows of ``docs`` that stay: one of each component, that with the smallest id.
 
-    Rows without an id stay. Of several rows with that id the smallest (all columns compared)
-    stays.
+    Every row is judged by its own text, whatever its id: rows without an id come after all others, and
+    among rows of one id the smallest row key (see ``rows.keyed``) decides. Of equal rows one stays.
     """
-    found = stage(near_duplicates(docs, text, id_column, shingle, budget, seed), "simhash-classes")
-    kept = found.where("doc_id is null or doc_id = component_id")
-    dropped = found.where("doc_id is not null").select("doc_id").distinct().join(
-        kept.select("doc_id").distinct(), "doc_id", "left_anti"
-    ).withColumnRenamed("doc_id", id_column)
-    repeated = kept.groupBy("doc_id").count().where("count > 1").select(
-        F.col("doc_id").alias(id_column))
+    found = stage(keyed(docs).select(
+        "_key", F.col(f"_row.{id_column}").alias("doc_id"),
+        fingerprints(F.col(f"_row.{text}"), shingle, seed).alias("fp")), "simhash")
+    found = stage(found.join(classes(found, budget).select("fp", "root"), "fp"), "simhash-classes")
+    first = found.groupBy("root").agg(
+        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_key"))["_key"].alias("_first"))
+    judged = found.join(first, "root")
+    dropped = judged.where(F.col("_key") != F.col("_first")).select("_key").distinct()
+    repeated = judged.where(F.col("_key") == F.col("_first")).groupBy("_key").count().where(
+        "count > 1").select("_key")
     # staged, so that their sizes are known before the texts would be shuffled to meet them
     dropped, repeated = stage(dropped, "simhash-dropped"), stage(repeated, "simhash-repeated")
-    single = docs.join(repeated, id_column, "left_anti").join(dropped, id_column, "left_anti")
-    several = docs.join(repeated, id_column, "left_semi").join(dropped, id_column, "left_anti")
-    one = several.groupBy(F.col(id_column).alias("_id")).agg(
-        F.min(F.struct(*[F.col(c) for c in docs.columns])).alias("_row")
-    )
-    return single.select(*docs.columns).unionByName(one.select("_row.*"))
+    kept = keyed(docs).join(dropped, "_key", "left_anti")
+    return once(kept, repeated).select("_row.*")

@@ -34,9 +34,11 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix: documents with the epoch and the tokens taken of them."""
-    with_domain = docs.withColumn("domain", mixing.source_domain(F.col("source")))
-    return mixing.sample(with_domain, **MIX)
+    """The mix: documents with the epoch and the tokens taken of them. Documents without a domain
+    get one from their source's name."""
+    if "domain" not in docs.columns:
+        docs = docs.withColumn("domain", mixing.source_domain(F.col("source")))
+    return mixing.sample(docs, **MIX)
 
 
 STAGES = [

@@ -71,7 +71,7 @@ def test_odd_rows(spark):
     found = {(r.doc_id, r.item_id): (r.n_matches, r.edits) for r in D.contaminated(docs, bench).collect()}
     assert found == {(1, 1): (2, 0), (None, 1): (2, 0)}
     kept = sorted((r.doc_id is None, r.doc_id or 0) for r in D.drop_contaminated(docs, bench).collect())
-    assert kept == [(False, 2), (False, 3), (False, 4), (False, 4), (False, 5), (True, 0)]
+    assert kept == [(False, 2), (False, 3), (False, 4), (False, 4), (False, 5)]
     assert D.contaminated(docs.limit(0), bench).count() == 0
     assert D.contaminated(docs, bench.limit(0)).count() == 0
     assert D.drop_contaminated(docs, bench.limit(0)).count() == len(rows)
@@ -93,14 +93,14 @@ def test_parts_of_long_items_are_found(spark):
         1: f"{other} {' '.join(words[:80])}",  # cut at the end of the document
         2: f"{other} {' '.join(words[20:])} {other}",
         3: f"{edited(rng, ' '.join(words[10:90]).encode(), 8).decode()} {other}",
-        4: f"{item} {other}", 5: other, 6: " ".join(words[:20]),
+        4: f"{item} {other}", 5: other, 6: " ".join(words[:8]),
         7: f"{item} {other} {' '.join(words[:80])}",
     }
     bench = spark.createDataFrame([(1, item)], "item_id long, text string")
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     found = {r.doc_id: r for r in D.contaminated(docs, bench).collect()}
     assert found.keys() == {1, 2, 3, 4, 7}
-    assert found[1].bytes == D.PASSAGE and found[3].edits > 0
+    assert found[1].bytes == found[3].bytes == D.PASSAGE
     assert found[4][2:] == (1, 0, len(item)) and found[7].n_matches > 1 and found[7].bytes == len(item)
     assert sorted(r.doc_id for r in D.drop_contaminated(docs, bench).collect()) == [5, 6]
 
@@ -118,3 +118,30 @@ def test_whole_query(spark):
                     want[r.doc_id, i] = edits
     got = {(r.doc_id, r.item_id): r.edits for r in QUERIES["op2_decontaminate"](spark, sf).collect()}
     assert want and got == want
+
+
+def test_short_items_and_quotes_of_parts(spark):
+    rng = random.Random(8)
+    short, medium = "seven zebras hum at noon", "which river flows through both vienna and the city of bratislava"
+    assert len(short) < D.SHORT <= len(medium)
+    other = text_of(rng, 40)
+    texts = {
+        1: f"{other} {short.upper()}, {other}".replace(",", ""), 2: f"{other} x{short} {other}", 3: f"{other} {short}s",
+        4: short, 5: f"{other} {medium[:55]}", 6: f"{medium[-55:]} {other}", 7: f"{other} {medium[:30]} {other}",
+        8: f"{other} {short[:-4]} {other}", 9: other,
+    }
+    bench = spark.createDataFrame([(1, short), (2, medium), (3, "a b")], "item_id long, text string")
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in D.contaminated(docs, bench).collect()}
+    assert found == {(1, 1), (4, 1), (5, 2), (6, 2)}
+
+
+def test_rows_are_judged_by_their_text(spark):
+    item = "the quick brown fox jumps over the lazy dog again and again"
+    docs = spark.createDataFrame(
+        [(None, item, "a"), (1, item, "b"), (1, "clean", "c"), (None, "clean", "d"), (1, "clean", "c")],
+        "doc_id long, text string, `_row` string")
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    kept = D.drop_contaminated(docs, bench)
+    assert kept.columns == docs.columns
+    assert sorted(r[2] for r in kept.collect()) == ["c", "c", "d"]

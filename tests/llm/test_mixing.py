@@ -100,3 +100,22 @@ def test_domains(spark):
 
 def test_query_parameters():
     assert MIX["max_epochs"] == 2 and set(MIX["weights"]) <= set(LEVELS)
+
+
+def test_sample_tells_rows_apart_by_their_content(spark):
+    """Rows that share an id, have none or are equal: the budget holds and no row is doubled."""
+    words = lambda n, w: " ".join([w] * n)
+    rows = [(2, words(60, "a"), "s", 1), (2, words(80, "b"), "s", 2), (None, words(30, "c"), "s", 3),
+            (None, words(40, "d"), "s", 4), (5, words(20, "e"), "s", 5), (5, words(20, "e"), "s", 5), (6, None, "s", 6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, tokens int")
+    got = M.sample(docs, levels=("source",), total=250, max_epochs=1).collect()
+    assert sorted((r.doc_id or 0, r.tokens, r.taken) for r in got) == [
+        (0, 3, 30), (0, 4, 40), (2, 1, 60), (2, 2, 80), (5, 5, 20), (5, 5, 20)]
+    assert all(len(r.text.split()) == r.taken for r in got)
+    for total in (1, 95, 155, 249, 400):
+        part = M.sample(docs, levels=("source",), total=total, max_epochs=2).collect()
+        assert sum(r.taken for r in part) == total == sum(len(r.text.split()) for r in part)
+        per = {}
+        for r in part:
+            per[r.epoch, r.tokens] = per.get((r.epoch, r.tokens), 0) + 1
+        assert all(n <= (2 if t == 5 else 1) for (_, t), n in per.items())
