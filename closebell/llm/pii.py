@@ -176,7 +176,7 @@ def _ends(digits: list[str], run: list[int]) -> Iterator[tuple[str, tuple[int, .
     ``_LONGEST``, from the right. A single long group is whole."""
     for k, last in enumerate(run):
         groups, text = [], ""
-        for i in reversed(run[:k + 1][-_LONGEST:]):
+        for i in reversed(run[max(0, k + 1 - _LONGEST):k + 1]):
             if len(text) >= _LONGEST:
                 break
             groups.append(i)
@@ -383,6 +383,9 @@ def fit(texts: list[str], steps: int = 150, rate: float = 0.5, decay: float = 1e
     return field
 
 
+_EDGES_AT_ONCE = 1 << 16  # whose messages are computed together
+
+
 def marginals(g: Graph, field: Field, rounds: int = 50, damping: float = 0.3) -> np.ndarray:
     """Label probabilities of every candidate by loopy sum-product in the log domain."""
     n = len(LABELS)
@@ -392,18 +395,25 @@ def marginals(g: Graph, field: Field, rounds: int = 50, damping: float = 0.3) ->
     node[fixed, g.observed[fixed]] = 0.0
     pairs = np.concatenate([g.chain, g.skip])
     a, b = np.concatenate([pairs, pairs[:, ::-1]]).T
-    forth = [field.chain] * len(g.chain) + [field.skip] * len(g.skip)
-    weight = np.array(forth + [w.T for w in forth]).reshape(-1, n, n)
+    # the edges share four matrices: both kinds, both ways round
+    counts, matrices = (len(g.chain), len(g.skip)), (field.chain, field.skip)
+    parts, start = [], 0
+    for weight, size in zip((*matrices, *(w.T for w in matrices)), counts * 2):
+        parts += [(weight, slice(at, min(at + _EDGES_AT_ONCE, start + size)))
+                  for at in range(start, start + size, _EDGES_AT_ONCE)]
+        start += size
     back = np.concatenate([np.arange(len(pairs)) + len(pairs), np.arange(len(pairs))])
     message = np.zeros((len(a), n))
     for _ in range(rounds):
         belief = node.copy()
         np.add.at(belief, b, message)
-        out = (belief[a] - message[back])[:, :, None] + weight
-        top = out.max(axis=1)
-        new = top + np.log(np.exp(out - top[:, None, :]).sum(axis=1))
-        new -= new.max(axis=1, keepdims=True)
-        new = damping * message + (1 - damping) * new
+        new = np.empty_like(message)
+        for weight, part in parts:
+            out = (belief[a[part]] - message[back[part]])[:, :, None] + weight
+            top = out.max(axis=1)
+            sent = top + np.log(np.exp(out - top[:, None, :]).sum(axis=1))
+            sent -= sent.max(axis=1, keepdims=True)
+            new[part] = damping * message[part] + (1 - damping) * sent
         done = not len(new) or np.abs(new - message).max() < 1e-4
         message = new
         if done:

@@ -1,9 +1,14 @@
 """Secret scans: fixed patterns, and assignments read by a small lexer.
 
 The lexer reads name-literal pairs of source and configuration syntax (``name = "x"``,
-``name: x``, ``"name": "x"``, ``name := x``, ``name => x``), follows constants
-(``key = other``, ``"${other}"``, ``"a" + other``) and scores the literals behind a target by how
-sensitive the target's name is and how random the value looks.
+``name: x``, ``"name": "x"``, ``name := x``, ``name => x``, ``name = f("x")``, strings in three quotes,
+``key="name" value="x"`` in a tag, ``scheme://user:x@host``), follows constants (``key = other``,
+``"${other}"``, ``"a" + other``) and scores the literals behind a target by how sensitive the target's
+name is and how random the value looks. A constant refers to its parts and does not copy them, so
+constants of any size are followed. A call without a literal, or one that looks a name up, has no value.
+
+A value of several words counts only for the names that always stand for a secret. Words like "your" or
+"example" mark a placeholder if they are whole words of the value.
 
 Spans are code points, end exclusive. Kinds are ``assign``, ``access`` and ``hex`` (patterns) and
 ``lexed`` (literals that only the lexer found; never inside a pattern's span).
@@ -17,8 +22,10 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from dataclasses import dataclass
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -78,6 +85,7 @@ def pattern_spans(text: str) -> list[Span]:
 
 _OPERATOR = re.compile(r":=|=>|(?<![=!<>])=(?![=>~])|:(?![:=/])")
 _NAME_CHARS = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789_.-")
+_LONG = re.compile(r"""[rbuf]?(?:\"{3}((?:[^"\\]|\\.|"(?!""))*+)\"{3}|'{3}((?:[^'\\]|\\.|'(?!''))*+)'{3})""", re.S)
 _QUOTED = re.compile(r"""[rbuf]?(?:"((?:[^"\\\n]|\\.)*+)"|'((?:[^'\\\n]|\\.)*+)'|`([^`\n]*+)`)""")
 # ends at the next operator, so that a line of many assignments is read once
 _BARE = re.compile(r"""[^\s"'`,;#(){}\[\]+<>=:]++={0,2}+""")
@@ -85,6 +93,9 @@ _IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_.-]*\Z")
 _REFERENCE = re.compile(r"\$\{([A-Za-z_][A-Za-z0-9_.-]*)\}|\$([A-Za-z_][A-Za-z0-9_]*)")
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
 _GAP = " \t"
+# calls that take the name of a secret, not the secret
+_LOOKUP = re.compile(r"(?i)(?:get|env|lookup|fetch|read|load|open|input|prompt|find|require)[a-z_]*\Z")
+_IN_URL = re.compile(r"""://[^\s/:@"'`]*:([^\s/:@"'`]+)@""")
 
 # How much a word in a target's name says that its value is a secret.
 SENSITIVE = {
@@ -97,8 +108,10 @@ _HARMLESS = {"public": -0.6, "example": -0.5, "length": -0.8, "name": -0.6, "fil
              "path": -0.6, "url": -0.5, "type": -0.6, "policy": -0.6, "count": -0.8, "max": -0.5}
 _WEIGHTS = {**SENSITIVE, **_HARMLESS}
 _PLACEHOLDER = re.compile(
-    r"(?i)(change.?me|example|placeholder|your|dummy|sample|todo|none|null|true|false|xxx|\*\*\*)"
+    r"(?i)(?<![a-z0-9])(?:change.?me|example|placeholder|your|dummy|sample|todo|x{3,})[0-9]*(?![a-z0-9])"
+    r"|\*\*\*|\A(?:none|null|true|false|undefined)\Z"
 )
+_ALWAYS_SECRET = 0.95  # weight of a name whose value may be a phrase
 
 
 def name_weight(name: str) -> float:
@@ -108,22 +121,68 @@ def name_weight(name: str) -> float:
     return min(1.0, max(0.0, sum(_WEIGHTS.get(w, 0.0) for w in words)))
 
 
-def literal_weight(value: str) -> float:
+_CLASSES = tuple(map(re.compile, ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]")))
+
+
+class Value:
+    """A literal, or what was put together from others; it refers to its parts."""
+
+    __slots__ = ("text", "at", "parts", "length", "_counts", "_harmless", "shown")
+
+    def __init__(self, text: str = "", at: tuple[int, int] | None = None, parts: tuple = ()) -> None:
+        self.text, self.at, self.parts = text, at, parts
+        self.shown = 0.0  # the best score its literals were reported with
+        self._counts = self._harmless = None
+        self.length = len(text)
+        if parts:  # at once: parts are weighed already, so nothing is followed deeper than one step
+            self.length = sum(p.length for p in parts)
+            self._counts = sum((p.counts for p in parts), Counter())
+            self._harmless = any(p.harmless for p in parts)
+
+    @property
+    def counts(self) -> Counter:
+        if self._counts is None:
+            self._counts = Counter(self.text)
+        return self._counts
+
+    @property
+    def harmless(self) -> bool:
+        if self._harmless is None:
+            self._harmless = bool(_PLACEHOLDER.search(self.text))
+        return self._harmless
+
+    def literals(self, score: float):
+        """Where its parts are written, but for those reported with this score or a better one."""
+        waiting = [self]
+        while waiting:
+            value = waiting.pop()
+            if value.shown < score:
+                value.shown = score
+                waiting += value.parts
+                if value.at and value.at[1] > value.at[0]:
+                    yield value.at
+
+
+def literal_weight(value: Value | str) -> float:
     """Between 0 and 1: length times entropy, and no placeholder."""
-    if len(value) < 8 or " " in value or _PLACEHOLDER.search(value):
+    value = Value(value) if isinstance(value, str) else value
+    if value.length < 8 or value.harmless:
         return 0.0
-    counts = Counter(value)
-    entropy = -sum(n / len(value) * math.log2(n / len(value)) for n in counts.values())
-    classes = sum(bool(re.search(c, value)) for c in ("[a-z]", "[A-Z]", "[0-9]", r"[^A-Za-z0-9]"))
+    shares = [n / value.length for n in value.counts.values()]
+    entropy = -sum(p * math.log2(p) for p in shares)
+    classes = sum(any(c.match(x) for x in value.counts) for c in _CLASSES)
     if classes < 2:
         return 0.0
-    return min(1.0, entropy / 3.0) * min(1.0, len(value) / 12) * min(1.0, 0.4 + 0.2 * classes)
+    return min(1.0, entropy / 3.0) * min(1.0, value.length / 12) * min(1.0, 0.4 + 0.2 * classes)
 
 
-@dataclass(frozen=True)
-class Value:
-    text: str
-    literals: tuple[tuple[int, int], ...]  # where its parts are written
+def score_of(name: str, value: Value | str) -> float:
+    weight = name_weight(name)
+    if not weight:
+        return 0.0
+    value = Value(value) if isinstance(value, str) else value
+    phrase = any(c in value.counts for c in " \t")
+    return weight * literal_weight(value) if weight >= _ALWAYS_SECRET or not phrase else 0.0
 
 
 def _target(text: str, operator: int) -> tuple[str, int] | None:
@@ -144,37 +203,48 @@ def _target(text: str, operator: int) -> tuple[str, int] | None:
     return name, at
 
 
+def _string(text: str, at: int, known: dict[str, Value]) -> tuple[Value, int] | None:
+    """A quoted string at ``at``, its references to constants filled in, and where it ends."""
+    m = _LONG.match(text, at) or _QUOTED.match(text, at)
+    if not m:
+        return None
+    raw, start = m.group(m.lastindex or 0), m.start(m.lastindex or 0)
+    pieces, last = [], 0
+    for ref in _REFERENCE.finditer(raw):
+        value = known.get(ref.group(1) or ref.group(2))
+        if value is None:
+            continue
+        if ref.start() > last:
+            pieces.append(Value(raw[last:ref.start()], (start + last, start + ref.start())))
+        pieces.append(value)
+        last = ref.end()
+    if not pieces:
+        return Value(raw, (start, start + len(raw))), m.end()
+    if last < len(raw):
+        pieces.append(Value(raw[last:], (start + last, start + len(raw))))
+    return Value(parts=tuple(pieces)), m.end()
+
+
 def _term(text: str, at: int, known: dict[str, Value]) -> tuple[Value, int] | None:
-    """A quoted string, a known name or a bare word at ``at``, and where it ends."""
-    if m := _QUOTED.match(text, at):
-        group = m.lastindex or 0
-        raw, start = m.group(group), m.start(group)
-        pieces, literals, last = [], [], 0
-        for ref in _REFERENCE.finditer(raw):
-            value = known.get(ref.group(1) or ref.group(2))
-            if value is None:
-                continue
-            if ref.start() > last:
-                literals.append((start + last, start + ref.start()))
-            pieces += [raw[last:ref.start()], value.text]
-            literals += value.literals
-            last = ref.end()
-        if last < len(raw):
-            literals.append((start + last, start + len(raw)))
-        pieces.append(raw[last:])
-        return Value("".join(pieces), tuple(literals)), m.end()
+    """A quoted string, a known name, a call of one string or a bare word at ``at``, and where it ends."""
+    if found := _string(text, at, known):
+        return found
     if m := _BARE.match(text, at):
         word = m.group().rstrip(".:")
         end = at + len(word)
         if not word:
             return None
+        if text[end:end + 1] == "[":
+            return None
+        if text[end:end + 1] == "(":
+            return None if _LOOKUP.search(word) else _string(text, end + 1, known)
         reference = _REFERENCE.fullmatch(word)
         name = (reference.group(1) or reference.group(2)) if reference else word
         if name in known:
             return known[name], end
         if reference or not word.isascii():
             return None
-        return Value(word, ((at, end),)), end
+        return Value(word, (at, end)), end
     return None
 
 
@@ -182,6 +252,18 @@ def lexed_spans(text: str, threshold: float = 0.45) -> list[Span]:
     """The literals whose score, name times value, reaches ``threshold``."""
     known: dict[str, Value] = {}
     found: dict[tuple[int, int], Span] = {}
+
+    def report(name: str, value: Value) -> None:
+        score = score_of(name, value)
+        if score >= threshold:
+            for start, end in value.literals(score):
+                old = found.get((start, end))
+                if old is None or old.score < score:
+                    found[start, end] = Span("lexed", start, end, name, score)
+
+    for m in _IN_URL.finditer(text):
+        report("password", Value(m.group(1), m.span(1)))
+    label, label_end = None, 0  # of a tag's key or name attribute
     for operator in _OPERATOR.finditer(text):
         target = _target(text, operator.start())
         if target is None:
@@ -202,16 +284,14 @@ def lexed_spans(text: str, threshold: float = 0.45) -> list[Span]:
             at += 1
         if not parts:
             continue
-        value = Value("".join(p.text for p in parts), tuple(s for p in parts for s in p.literals))
-        name = target[0]
-        if len(value.literals) <= 64 and len(value.text) <= 1 << 16:
-            known[name] = value  # longer ones are no constants, and could double at every use
-        score = name_weight(name) * literal_weight(value.text)
-        if score >= threshold:
-            for start, end in value.literals:
-                old = found.get((start, end))
-                if end > start and (old is None or old.score < score):
-                    found[start, end] = Span("lexed", start, end, name, score)
+        value, name = parts[0] if len(parts) == 1 else Value(parts=tuple(parts)), target[0]
+        known[name] = value
+        if name.lower() in ("key", "name", "id") and value.at:
+            label, label_end = text[slice(*value.at)], at
+        elif name.lower() == "value" and label and not any(
+                c in text[label_end:operator.start()] for c in "<>\n"):
+            name, label = label, None
+        report(name, value)
     return list(found.values())
 
 
@@ -222,7 +302,13 @@ def secret_spans(text: str | None, threshold: float = 0.45) -> list[Span]:
     base = pattern_spans(text)
     extra = lexed_spans(text, threshold) if "=" in text or ":" in text else []
     cover = sorted((s.start, s.end) for s in base)
-    extra = [s for s in extra if not any(a <= s.start and s.end <= b for a, b in cover)]
+    starts, furthest = [a for a, _ in cover], list(accumulate((b for _, b in cover), max))
+
+    def covered(s: Span) -> bool:
+        before = bisect_right(starts, s.start)  # base spans that start no later
+        return before > 0 and furthest[before - 1] >= s.end
+
+    extra = [s for s in extra if not covered(s)]
     return sorted(base + extra, key=lambda s: (s.start, KINDS.index(s.kind), s.end))
 
 

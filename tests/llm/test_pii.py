@@ -120,3 +120,26 @@ def test_whole_query(spark):
         assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [
             sum(s[0] == k for s in base) for k in P.KINDS]
         assert set(filter(None, joined.split(","))) <= set(r.spans.split(","))
+
+
+def test_long_runs_of_numbers_take_linear_time():
+    """A table of numbers is one run of digit groups; links and messages grow with it, no faster."""
+    import time
+
+    def seconds(n):
+        text = " ".join(str(i * 7919 % 100_000) for i in range(n))
+        start = time.process_time()
+        g = P.graph(text, P.base_spans(text))
+        P.marginals(g, P.Field.prior(), rounds=3)
+        return time.process_time() - start
+
+    seconds(500)
+    assert seconds(24_000) < 14 * seconds(4_000)
+
+
+def test_messages_do_not_depend_on_how_edges_are_cut(monkeypatch):
+    text = "call 974-555-3436 or +1 974 555 3436, mail a.b@c.de; later 974 555 3436 and a.b@c.de " * 5
+    g = P.graph(text, P.base_spans(text))
+    whole = P.marginals(g, P.Field.prior())
+    monkeypatch.setattr(P, "_EDGES_AT_ONCE", 3)
+    assert (P.marginals(g, P.Field.prior()) == whole).all()
