@@ -56,6 +56,15 @@ def trailing_return(bars: DataFrame, lookback: int = 20, series: Series = BARS)
     return rows.where(F.col("r20").isNotNull())
 
 
+def with_return(bars: DataFrame, lookback: int = 20, series: Series = BARS) -> DataFrame:
+    """All bars with ``r20``, which is null for the first ``lookback`` bars of each symbol: what
+    decides and what is traded stay in one row, so neither is joined to the other later."""
+    before = F.lag("close", lookback).over(series.window())
+    rows = with_history(bars, series, lookback, ["close"])
+    added = own_rows(rows.withColumn("r20", simple_return(F.col("close"), before)))
+    return added.select(*bars.columns, "r20")
+
+
 def rsi(up: Column, down: Column) -> Column:
     return F.when(down > 0, 100 - 100 / (1 + up / down)).when(up > 0, 100.0)
 

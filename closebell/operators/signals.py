@@ -61,6 +61,15 @@ def decide(
     )
 
 
+def with_sides(
+    rows: DataFrame, min_alpha_buy: float = 0.5, max_alpha_sell: float = -0.5
+) -> DataFrame:
+    """Adds the ``side`` of ``decide`` to bars with r20 and news_sent; null where r20 is."""
+    alpha = (zero_if_missing(F.col("news_sent")) + zero_if_missing(F.col("r20"))) / 2
+    side = side_of(alpha, min_alpha_buy, max_alpha_sell)
+    return rows.withColumn("side", F.when(F.col("r20").isNotNull(), side))
+
+
 def checked_side(side: Column) -> Column:
     """Upper-cased BUY or SELL; any other value fails the job."""
     upper = F.upper(side)

@@ -1,7 +1,7 @@
 """The registered queries: every operator over inputs derived from the given tables.
 
-Bars, signals, positions and equity curves are staged between steps, as the lake tables are
-in a daily run: the raw tables are scanned once however many branches follow.
+Where several branches read bars, positions or closed trades, these are staged, as the lake tables are in a
+daily run: the raw tables are then scanned once however many branches follow.
 """
 
 from __future__ import annotations
@@ -116,10 +116,18 @@ def sectors(spark, sf_dir) -> DataFrame:
 
 def rule_inputs(spark, sf_dir) -> DataFrame:
     """What the rule reads: r20 and daily sentiment."""
-    rows = features.trailing_return(ohlcv(spark, sf_dir))
+    rows = features.trailing_return(market(spark, sf_dir))
     return features.with_sentiment(rows, sentiment.daily(headline_scores(spark, sf_dir)))
 
 
+def decided_bars(spark, sf_dir) -> DataFrame:
+    """``symbol, date, open, close`` of every bar and the side decided on it."""
+    bars = market(spark, sf_dir).select("symbol", "date", "open", "close")
+    rows = features.with_sentiment(
+        features.with_return(bars), sentiment.daily(headline_scores(spark, sf_dir)))
+    return signals.with_sides(rows, **RULE).select("symbol", "date", "open", "close", "side")
+
+
 def held_of(spark, sf_dir) -> DataFrame:
     return stage(positions(spark, sf_dir), "positions")
 
@@ -172,7 +180,7 @@ def features_incremental(spark, sf_dir):
 
 @query("r20")
 def features_daily(spark, sf_dir):
-    rows = features.daily_features(ohlcv(spark, sf_dir))
+    rows = features.daily_features(market(spark, sf_dir))
     rows = features.with_sentiment(rows, sentiment.daily(headline_scores(spark, sf_dir)))
     return features.with_sector(rows, sectors(spark, sf_dir))
 
@@ -189,7 +197,7 @@ def sma20(spark, sf_dir):
 
 @query()
 def rolling_vol20(spark, sf_dir):
-    return features.rolling_volatility(ohlcv(spark, sf_dir)).where(F.col("vol").isNotNull())
+    return features.rolling_volatility(market(spark, sf_dir)).where(F.col("vol").isNotNull())
 
 
 @query()
@@ -199,7 +207,7 @@ def macd(spark, sf_dir):
 
 @query()
 def atr14(spark, sf_dir):
-    return features.average_true_range(ohlcv(spark, sf_dir))
+    return features.average_true_range(market(spark, sf_dir))
 
 
 @query(*PRICES)
@@ -241,7 +249,7 @@ def features_resumed(spark, sf_dir):
 
 @query(*PRICES)
 def liquid_bars(spark, sf_dir):
-    return features.liquid(ohlcv(spark, sf_dir), min_volume=50.0)
+    return features.liquid(market(spark, sf_dir), min_volume=50.0)
 
 
 @query()
@@ -351,7 +359,7 @@ def news_norm(spark, sf_dir):
 
 @query("r20")
 def news_returns(spark, sf_dir):
-    r = features.trailing_return(ohlcv(spark, sf_dir))
+    r = features.trailing_return(market(spark, sf_dir))
     return news.with_returns(news.normalised(derived.news_raw(spark, sf_dir)), r)
 
 
@@ -444,11 +452,7 @@ def orders(spark, sf_dir):
 
 @query(*PRICES)
 def positions(spark, sf_dir):
-    bars = ohlcv(spark, sf_dir)
-    rows = features.with_sentiment(
-        features.trailing_return(bars), sentiment.daily(headline_scores(spark, sf_dir))
-    )
-    return backtest.positions(bars, signals.decide(rows, **RULE))
+    return backtest.positions(decided_bars(spark, sf_dir))
 
 
 @query(*TRADE)
@@ -480,10 +484,7 @@ SMALL_CASH = 1_500.0
 @query(*PRICES)
 def equity_refused(spark, sf_dir):
     """Accounts with little cash: what they hold, refuse and are worth."""
-    bars = ohlcv(spark, sf_dir)
-    rows = features.with_sentiment(
-        features.trailing_return(bars), sentiment.daily(headline_scores(spark, sf_dir)))
-    held = accounts.limited_positions(bars, signals.decide(rows, **RULE), cash=SMALL_CASH)
+    held = accounts.limited_positions(decided_bars(spark, sf_dir), cash=SMALL_CASH)
     equity = F.col("cash") + F.col("pos") * F.col("close")
     return coarser(held.select(
         "symbol", "date", "pos", "fill", "refused", "cash", equity.alias("equity")),
