@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from closebell.llm.components import components
-from closebell.llm.rows import keyed, once
+from closebell.llm.rows import keyed, without
 from closebell.session import stage
 
 _CHUNK = 1 << 16  # shingles whose bits are added up at a time
@@ -270,5 +270,4 @@ def keep_one(
         "count > 1").select("_key")
     # staged, so that their sizes are known before the texts would be shuffled to meet them
     dropped, repeated = stage(dropped, "simhash-dropped"), stage(repeated, "simhash-repeated")
-    kept = keyed(docs).join(dropped, "_key", "left_anti")
-    return once(kept, repeated).select("_row.*")
+    return without(keyed(docs), dropped, repeated).select("_row.*")
