@@ -319,7 +319,7 @@ def proposals(found: DataFrame, classifier: Classifier, min_probability: float)
         F.array(*map(F.lit, RADII)), lambda r: F.struct(
             F.greatest(p - r, F.lit(0)).alias("low"),
             F.least(p + r + 1, F.size("words")).alias("high"))))
-    cut = F.transform(F.array_distinct(F.flatten(windows)), lambda w: F.struct(
+    cut = F.transform(F.flatten(windows), lambda w: F.struct(
         w["low"].alias("low"), w["high"].alias("high"),
         F.slice("words", w["low"] + 1, w["high"] - w["low"]).alias("words")))
     scored = _scored(found.select("_block", F.inline(cut)), classifier)
@@ -340,20 +340,24 @@ def _template_table(spark) -> DataFrame:
         rows, "gram string, template string, family string, place int, n int, size int")
 
 
-def compare(found: DataFrame, min_similarity: float = MIN_SIMILARITY) -> DataFrame:
+def compare(
+    found: DataFrame, named: DataFrame, min_similarity: float = MIN_SIMILARITY
+) -> DataFrame:
     """The notices in ``candidates``: ``_block, family, similarity``, the lines ``a`` to ``b`` and the
-    places of words ``low`` up to ``high``."""
+    places of words ``low`` up to ``high``. A paragraph is compared with the templates of the families
+    that are ``named`` in it (``_block, family``)."""
     def placed_grams(n: int) -> Column:
         return F.transform(_grams(F.col("words"), n), lambda g, i: F.struct(
             g.alias("gram"), i.alias("pos"), (i + n).alias("end")))
 
     grams = F.concat(placed_grams(2), placed_grams(5))
-    placed = found.select("_block", "at", F.explode(grams).alias("g")).select(
-        "_block", "g.*", F.get("at", F.col("g.pos")).alias("a"),
-        F.get("at", F.col("g.end") - 1).alias("b"))
+    wanted = named.groupBy("_block").agg(F.collect_set("family").alias("families"))
+    placed = found.join(wanted, "_block").select(
+        "_block", "at", "families", F.explode(grams).alias("g")).select(
+        "_block", "g.*", F.explode("families").alias("family"),
+        F.get("at", F.col("g.pos")).alias("a"), F.get("at", F.col("g.end") - 1).alias("b"))
     # a few thousand rows, whatever the corpus
-    hits = placed.join(_template_table(found.sparkSession), "gram")
-    # in long paragraphs most of a template's word pairs stand alone: those cannot be a notice
+    hits = placed.join(_template_table(found.sparkSession), ["gram", "family"])
     template = Window.partitionBy("_block", "template")
     order = template.orderBy("pos")
     shift = (F.col("pos") - F.lag("pos").over(order)) - (F.col("place") - F.lag("place").over(order))
@@ -416,7 +420,7 @@ def find(
     # numbered and read three times
     found = stage(candidates(docs, text, id_column), "licence-paragraphs")
     named = stage(proposals(found, classifier, min_probability), "licence-proposals")
-    notices = compare(found.join(named.select("_block").distinct(), "_block", "left_semi"), min_similarity)
+    notices = compare(found, named, min_similarity)
     window = named.select("_block", "family", F.col("low").alias("_from"), F.col("high").alias("_to"),
                           "probability")
     confirmed = notices.join(window, ["_block", "family"]).where(
