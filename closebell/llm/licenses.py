@@ -131,12 +131,15 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
     family: (*HEADERS.get(family, ()), *texts) for family, texts in _short_templates().items()}
 CLASSES = (UNKNOWN, *TEMPLATES)
 # Words that notices have; a paragraph without one is none of the templates (checked on import).
-CUES = (
-    "licen[a-z]*", "copyright[a-z]*", "permission", "permitted", "redistribut[a-z]*", "software",
-    "mit", "isc", "apache", "bsd", "a?gpl", "lgpl", "gnu", "mpl", "mozilla", "cc", "creative",
-)
-_CUE = "^(?:" + "|".join(CUES) + ")$"
-_CUE_IN_TEXT = r"(?i)(?<![\p{L}\p{N}])(?:" + "|".join(CUES) + r")(?![\p{L}\p{N}])"
+CUES = ("licen[a-z]*", "copyright[a-z]*", "permission", "permitted", "redistribut[a-z]*", "software")
+# Names that are also words of other languages: cues only within two words after one of these.
+NAME_CUES = ("mit", "isc", "apache", "bsd", "a?gpl", "lgpl", "gnu", "mpl", "mozilla", "cc", "creative")
+BEFORE_NAMES = ("under", "the", "of")
+_CUE, _NAME_CUE = ("^(?:" + "|".join(x) + ")$" for x in (CUES, NAME_CUES))
+_GAP = r"[^\p{L}\p{N}]+"
+_CUE_IN_TEXT = (
+    r"(?i)(?<![\p{L}\p{N}])(?:" + "|".join(CUES) + "|(?:" + "|".join(BEFORE_NAMES) + ")" + _GAP
+    + r"(?:[\p{L}\p{N}]+" + _GAP + ")?(?:" + "|".join(NAME_CUES) + r"))(?![\p{L}\p{N}])")
 
 _SEPARATOR = r"[^\p{L}\p{N}]+"
 _MARK = r"^[\s/*#;%!<>|\"'.\\-]*(?:(?i:dnl|rem|c)(?=\s|$))?\s*"  # what a comment line begins with
@@ -169,7 +172,8 @@ def _shingles(text: str) -> list[str]:
 
 
 def _has_cue(words: list[str]) -> bool:
-    return any(re.fullmatch("|".join(CUES), w) for w in words)
+    return any(re.match(_CUE, w) or re.match(_NAME_CUE, w) and {*words[max(i - 2, 0):i]} & {*BEFORE_NAMES}
+               for i, w in enumerate(words))
 
 
 @dataclass(frozen=True)
@@ -307,7 +311,11 @@ def candidates(docs: DataFrame, text: str = "text", id_column: str = "doc_id") -
     # a generator, as an optimizer that merges projections would split the text for every use
     flat = worded.select("doc_id", "line", "lines", F.inline(F.array(F.struct(
         F.flatten("_worded").alias("words"), F.flatten(numbers).alias("at")))))
-    places = F.filter(F.transform("words", lambda w, i: F.when(w.rlike(_CUE), i)), lambda i: i.isNotNull())
+    near = F.array(*map(F.lit, BEFORE_NAMES))
+    is_cue = lambda w, i: w.rlike(_CUE) | (w.rlike(_NAME_CUE) & F.coalesce(
+        F.arrays_overlap(F.slice("words", F.greatest(i - 1, F.lit(1)), F.least(i, F.lit(2))), near), F.lit(False)))
+    places = F.filter(
+        F.transform("words", lambda w, i: F.when(is_cue(w, i), i)), lambda i: i.isNotNull())
     return flat.withColumn("cues", places).where(F.size("cues") > 0).withColumn(
         "_block", F.monotonically_increasing_id())
 
@@ -350,7 +358,8 @@ def compare(
         return F.transform(_grams(F.col("words"), n), lambda g, i: F.struct(
             g.alias("gram"), i.alias("pos"), (i + n).alias("end")))
 
-    grams = F.concat(placed_grams(2), placed_grams(5))
+    known = sorted({g for texts in TEMPLATES.values() for t in texts for g in _shingles(t)})
+    grams = F.filter(F.concat(placed_grams(2), placed_grams(5)), lambda g: g["gram"].isin(known))
     wanted = named.groupBy("_block").agg(F.collect_set("family").alias("families"))
     placed = found.join(wanted, "_block").select(
         "_block", "at", "families", F.explode(grams).alias("g")).select(
