@@ -341,7 +341,7 @@ _SELECTS = {
         f"{c} * case when date < date '1998-01-01' then 0.5e0 else 1e0 end as {c}" for c in ("open", "high", "low", "close")) + ", volume from bars",
     "adjustment_factors": f"select symbol, date, {_r('factor')}, {_r('total', 'shares')} from factors",
     "adjusted_from_actions": "select date, symbol, " + ", ".join(
-        _r(f"{c} * factor", c, 4) for c in ("open", "high", "low", "close")) + ", cast(round(volume * total) as bigint) as volume from factors",
+        _r(f"{c} * factor + 1e-9", c, 4) for c in ("open", "high", "low", "close")) + ", cast(round(volume * total) as bigint) as volume from factors",
     "features_resumed": f"""select date, r20.symbol as symbol, r20.r20 as r20, {_r('rsi14')} from r20 left join rsi using (date, symbol)
         where floor((date - date '1970-01-01') / 512) >= (select floor((min(b.date) - date '1970-01-01') / 512) from bars b where b.symbol = r20.symbol and b.date >= date '1997-03-01')""",
     "universe_by_month": f"select month, symbol, {_r('adv', digits=4)}, cast(rank as integer) as rank from ranked_months",

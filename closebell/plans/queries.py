@@ -231,7 +231,8 @@ def adjusted_from_actions(spark, sf_dir):
     """Bars before splits and dividends, made comparable with those after."""
     bars = ohlcv(spark, sf_dir)
     adjusted = features.adjusted_by_actions(bars, derived.corporate_actions(bars))
-    return coarser(adjusted, 4, *PRICES)
+    # halves of the last digit, which splits make often, are rounded one way
+    return coarser(adjusted.withColumns({c: F.col(c) + 1e-9 for c in PRICES}), 4, *PRICES)
 
 
 @query("r20")
