@@ -234,7 +234,7 @@ PARTS = {
         "group by month, symbol) where rank <= 10"
     ),
     "by_month": (
-        "select *, date_trunc('month', date) as m, "
+        "select run_id, date, round(equity, 2) as equity, date_trunc('month', date) as m, "
         "dense_rank() over (partition by run_id order by date_trunc('month', date)) as k from equity"
     ),
     "folds": (
@@ -344,7 +344,7 @@ _SELECTS = {
         _r(f"{c} * factor + 1e-9", c, 4) for c in ("open", "high", "low", "close")) + ", cast(round(volume * total) as bigint) as volume from factors",
     "features_resumed": f"""select date, r20.symbol as symbol, r20.r20 as r20, {_r('rsi14')} from r20 left join rsi using (date, symbol)
         where floor((date - date '1970-01-01') / 512) >= (select floor((min(b.date) - date '1970-01-01') / 512) from bars b where b.symbol = r20.symbol and b.date >= date '1997-03-01')""",
-    "universe_by_month": f"select month, symbol, {_r('adv', digits=4)}, cast(rank as integer) as rank from ranked_months",
+    "universe_by_month": f"select month, symbol, {_r('adv + 1e-7', 'adv', 4)}, cast(rank as integer) as rank from ranked_months",
     "universe_bars_by_month": f"select date, symbol, {_PRICES}, volume from bars b where exists (select 1 from ranked_months u where u.symbol = b.symbol and u.month = cast(date_trunc('month', b.date) as date))",
     "liquid_bars": f"select date, symbol, {_PRICES}, volume from (select *, avg(volume) over ({SPAN} rows between 19 preceding and current row) as m from bars) where m >= 50",
     "top_adv_universe": f"select symbol, {_r('avg(close * volume)', 'adv')} from bars group by symbol order by avg(close * volume) desc, symbol limit 10",

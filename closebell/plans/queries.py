@@ -260,7 +260,8 @@ def top_adv_universe(spark, sf_dir):
 
 @query()
 def universe_by_month(spark, sf_dir):
-    return coarser(universe.by_month(market(spark, sf_dir), 10), 4, "adv")
+    ranked = universe.by_month(market(spark, sf_dir), 10)
+    return coarser(ranked.withColumn("adv", F.col("adv") + 1e-7), 4, "adv")
 
 
 @query(*PRICES)
@@ -550,8 +551,8 @@ def walk_forward(spark, sf_dir):
 
 @query()
 def fold_metrics(spark, sf_dir):
-    """Train and test metrics of every walk-forward fold of every account."""
-    return metrics.fold_metrics(equity_of(spark, sf_dir))
+    """Train and test metrics of every walk-forward fold of every account, in whole cents."""
+    return metrics.fold_metrics(coarser(equity_of(spark, sf_dir), 2, "equity"))
 
 
 # --- quality ----------------------------------------------------------------------------
