@@ -155,3 +155,55 @@ def test_other_tokenisers_are_refused(tmp_path):
     path = tmp_path / "t.json"
     path.write_text(json.dumps(made))
     assert not P.splits_at_spaces(str(path))
+
+
+def test_the_library_sees_each_run_of_letters_once(tmp_path, monkeypatch):
+    import tokenizers
+
+    seen = []
+
+    class Counting:
+        def __init__(self, inner):
+            self.inner = inner
+
+        from_file = classmethod(lambda cls, path: cls(tokenizers_class.from_file(path)))
+        from_str = classmethod(lambda cls, made: cls(tokenizers_class.from_str(made)))
+
+        def get_vocab(self):
+            return self.inner.get_vocab()
+
+        def encode_batch_fast(self, texts, **options):
+            seen.extend(texts)
+            return self.inner.encode_batch_fast(texts, **options)
+
+    tokenizers_class = tokenizers.Tokenizer
+    monkeypatch.setattr(tokenizers, "Tokenizer", Counting)
+    path = tmp_path / "copy.json"
+    path.write_bytes(open(WORD_BPE, "rb").read())
+    rng = random.Random(2)
+    cores = ["".join(rng.choices("aeinrsté", k=9)) for _ in range(900)]
+    text = " ".join(f(c) + end for c in cores for f in (str.lower, str.upper) for end in ("", ",", "$$$", "...!", "_(\\"))
+    got = np.frombuffer(P._encoder(str(path))(text.encode().split()), "<u4").tolist()
+    assert got == tokenizers_class.from_file(WORD_BPE).encode(text, add_special_tokens=False).ids
+    assert len(seen) < 20 and sum(map(len, seen)) < 1.2 * sum(len(c) + 1 for c in set(cores))
+
+
+@pytest.mark.parametrize("kept", [1, 1 << 24])
+def test_texts_looked_up_together(monkeypatch, kept):
+    """Chunks of some texts, long ones by themselves, however little is remembered."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(P, "REMEMBERED_BYTES", kept, raising=False)
+    rng = random.Random(8)
+    odd = ["can't", "Été!", "ÀÉ--", "x²", "<|endoftext|>", "a<|endoftext|>", "...", "e\u0301!", "a\x1cb", "12", "n'", "İ.", "ſt"]
+    texts = ["", "", *(rng.choice(" \t\n\r\x0b\x0c").join(rng.choices(odd, k=rng.randrange(12))) for _ in range(60)),
+             "", "word " * 200, " lead", "", "trail ", ""]
+    monkeypatch.setattr(P, "CHUNK_BYTES", 300)
+    ranges = list(P._in_chunks(pa.array(texts)))
+    assert [a for a, _ in ranges[1:]] == [b for _, b in ranges[:-1]] and ranges[-1][1] == len(texts)
+    assert all(b - a == 1 or sum(len(t.encode()) for t in texts[a:b]) <= 300 for a, b in ranges)
+    ids_of, plain = P._looked_up.__wrapped__(WORD_BPE), tokenizer()
+    got = [list(P._encoded(pa.array(texts[a:b]), ids_of)) for a, b in ranges]
+    want = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(x, "<u4").tolist() for part in got for x in part] == want
+    assert list(P._in_chunks(pa.array([], pa.string()))) == []
