@@ -45,6 +45,7 @@ from closebell.llm.words import parts
 from closebell.session import stage
 
 PIECES_PER_SLICE = 5_000  # expected
+PIECES_PER_FILE = 100_000  # of the result, or as many files as the cluster runs tasks
 REMEMBERED_BYTES = 1 << 24  # of words and their ids, some 400,000, that a worker keeps
 TOGETHER = 1_000  # new words encoded in one call
 CHUNK_BYTES = 1 << 23  # of texts whose words are looked up together
@@ -155,6 +156,8 @@ def _looked_up(path: str):
     is_end[[i for token, i in vocabulary.items() if suffix and token.endswith(suffix)]] = True
     by_letters = _parts_letters(made)
     of_letters = Tokenizer.from_str(json.dumps(_for_letters(made))) if by_letters else tokenizer
+    own_tokens = [t["content"] for t in made["added_tokens"]]
+    del made, vocabulary  # some 100,000 strings; what is looked up stays as long as the worker
 
     def one_by_one(words: pa.Array) -> pa.Array:
         found = []
@@ -187,8 +190,8 @@ def _looked_up(path: str):
 
     def of_mixed(words: pa.Array) -> pa.Array:
         known_runs = pc.match_substring_regex(words, f"^{_RUN}+$")
-        for token in made["added_tokens"]:
-            known_runs = pc.and_not(known_runs, pc.match_substring(words, token["content"], ignore_case=True))
+        for token in own_tokens:
+            known_runs = pc.and_not(known_runs, pc.match_substring(words, token, ignore_case=True))
         parted = pc.replace_substring_regex(words.filter(known_runs), _RUN, r"\1 ")
         return _merged(
             known_runs, pa.array(list(_encoded(parted, of_runs)), pa.large_binary()),
@@ -386,8 +389,12 @@ def place(found: DataFrame, capacity: int = 4096) -> DataFrame:
         sums, ["length", "_slice"])
     placed = numbered.withColumn(
         "_at", look_up(F.col("length"), (F.col("_before") + F.col("_inside")).cast("long")))
+    # Rows are short: what many small shuffle partitions hold goes to few files, one task after the other
+    files = max(found.sparkSession.sparkContext.defaultParallelism,
+                -(-sum(counts.values()) // PIECES_PER_FILE))
     return placed.select(
-        "doc_id", F.col("piece").cast("int").alias("piece"), "start", "length", "ids_crc32", "_at.*")
+        "doc_id", F.col("piece").cast("int").alias("piece"), "start", "length", "ids_crc32", "_at.*",
+    ).coalesce(files)
 
 
 def pack(

@@ -142,6 +142,26 @@ def test_long_text_is_cut_as_it_is_read(monkeypatch):
     assert [len(x) for x in whole[:-1]] == [4 * 4096] * (len(whole) - 1)
 
 
+def test_many_shuffle_partitions_give_few_files(spark, monkeypatch):
+    given = {"spark.sql.shuffle.partitions": "97", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in given}
+    docs = spark.createDataFrame([(i, "word " * (i % 50)) for i in range(400)], "doc_id long, text string")
+    cores = spark.sparkContext.defaultParallelism
+    try:
+        for k, v in given.items():
+            spark.conf.set(k, v)
+        got = P.pack(docs, WORD_BPE)
+        assert got.rdd.getNumPartitions() <= cores
+        rows = got.collect()
+        monkeypatch.setattr(P, "PIECES_PER_FILE", 400 // (cores + 3))
+        assert cores < P.pack(docs, WORD_BPE).rdd.getNumPartitions() <= cores + 5
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted(r.doc_id for r in rows) == list(range(400))
+    check_packing(rows, 4096)
+
+
 def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert P.pack(docs, WORD_BPE).collect() == []
