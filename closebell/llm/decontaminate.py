@@ -23,11 +23,12 @@ Extra columns are ignored by ``matches`` and kept by ``drop_contaminated``.
 from __future__ import annotations
 
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
@@ -39,6 +40,7 @@ PASSAGE = 100  # bytes, some 17 words
 LEAST_PASSAGE = 50
 BAND = 32  # diagonals by which one band is shifted against the next
 _BUFFER = 4 << 20  # bytes of text searched at a time; a longer text is searched whole
+_POSITIONS = 1 << 18  # of a buffer whose q-grams, and hits of whole texts, are held at a time
 _TABLE_BITS = 20
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _ALIGN = 512  # candidate regions aligned at a time
@@ -88,9 +90,13 @@ class Index:
 
     def hits(self, raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Text position, item and item position of the shared q-grams."""
-        grams = _grams(raw)
-        at = np.flatnonzero(self.bitmap[self._slot(grams)])
-        found = grams[at]
+        places, values = [], []
+        for start in range(0, max(len(raw), 1), _POSITIONS):
+            grams = _grams(raw[start:start + _POSITIONS + Q - 1])
+            likely = np.flatnonzero(self.bitmap[self._slot(grams)])
+            places.append(likely + start)
+            values.append(grams[likely])
+        at, found = np.concatenate(places), np.concatenate(values)
         rank = np.minimum(np.searchsorted(self.value, found), len(self.value) - 1)
         same = self.value[rank] == found
         at, rank = at[same], rank[same]
@@ -103,10 +109,20 @@ class Index:
 
 
 def _bands(index: Index, starts: np.ndarray, raw: bytes) -> Iterator[tuple[int, int, int, int]]:
-    """(text, item, from, to) of the bands that reach the bound, as ranges of the buffer."""
-    at, item, position = index.hits(raw)
+    """(text, item, from, to) of the bands that reach the bound, as ranges of the buffer. Bands are
+    counted within a text, so hits are held for some texts at a time."""
+    ends, first = np.append(starts[1:], len(raw)), 0
+    while first < len(starts):
+        last = max(first + 1, int(np.searchsorted(ends, starts[first] + _POSITIONS, side="right")))
+        yield from _bands_between(index, starts, raw, int(starts[first]), int(ends[last - 1]))
+        first = last
+
+
+def _bands_between(index, starts, raw, begin, end) -> Iterator[tuple[int, int, int, int]]:
+    at, item, position = index.hits(raw[begin:end])
     if not len(at):
         return
+    at = at + begin
     doc = np.searchsorted(starts, at, side="right") - 1
     offset = max(len(b) for _, b in index.items)
     diagonal = at - position + offset
@@ -163,18 +179,27 @@ def align(item: bytes, regions: list[bytes], max_edits: int) -> list[tuple[int,
     ]
 
 
-def find(index: Index, texts: list[bytes]) -> list[tuple[int, int, int, int, int]]:
+def _buffers(texts: Iterable[bytes]) -> Iterator[list[bytes]]:
+    """The texts in runs of about ``_BUFFER`` bytes, drawn as they are searched."""
+    held, size = [], 0
+    for text in texts:
+        if held and size + len(text) > _BUFFER:
+            yield held
+            held, size = [], 0
+        held.append(text)
+        size += len(text) + Q
+    if held:
+        yield held
+
+
+def find(index: Index, texts: Iterable[bytes]) -> list[tuple[int, int, int, int, int]]:
     """(text, item, start, end, edits) of every verified match, best one of overlapping regions."""
-    found, at = [], 0
-    while at < len(texts):
-        parts, starts, size = [], [], 0
-        first = at
-        while at < len(texts) and (not parts or size + len(texts[at]) <= _BUFFER):
-            starts.append(size)
-            parts.append(texts[at] + b"\0" * Q)  # q-grams over a border hold a zero: no item does
-            size += len(parts[-1])
-            at += 1
-        found += _find(index, b"".join(parts), np.array(starts), texts[first:at], first)
+    found, first = [], 0
+    for some in _buffers(texts):
+        parts = [text + b"\0" * Q for text in some]  # q-grams over a border hold a zero: no item does
+        starts = np.cumsum([0, *map(len, parts[:-1])])
+        found += _find(index, b"".join(parts), starts, some, first)
+        first += len(some)
     return found
 
 
@@ -289,7 +314,7 @@ def matches(
             index = Index(entries, max_edit_rate)
             for batch in batches:
                 found = _without_covered(
-                    find(index, [normalise(t) for t in batch["text"]]), owner, len(items))
+                    find(index, map(normalise, batch["text"])), owner, len(items))
                 ids = batch["doc_id"].astype("Int64")
                 yield pd.DataFrame({
                     "doc_id": pd.array([ids.iloc[f[0]] for f in found], "Int64"),
@@ -328,13 +353,13 @@ def drop_contaminated(
     def hit(items):
         entries = [*items, *((i, part) for i, raw in items for part in passages(raw))]
 
-        @F.pandas_udf(BooleanType())
-        def judge(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        @F.arrow_udf(BooleanType())  # texts become Python's a buffer at a time, not a batch
+        def judge(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             index = Index(entries, max_edit_rate)
             for batch in batches:
                 bad = np.zeros(len(batch), bool)
-                bad[[f[0] for f in find(index, [normalise(t) for t in batch])]] = True
-                yield pd.Series(bad)
+                bad[[f[0] for f in find(index, (normalise(t.as_py()) for t in batch))]] = True
+                yield pa.array(bad)
 
         return judge
 

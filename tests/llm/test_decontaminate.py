@@ -1,6 +1,7 @@
 """Decontamination against full edit-distance tables."""
 
 import random
+import tracemalloc
 
 import numpy as np
 
@@ -145,3 +146,68 @@ def test_rows_are_judged_by_their_text(spark):
     kept = D.drop_contaminated(docs, bench)
     assert kept.columns == docs.columns
     assert sorted(r[2] for r in kept.collect()) == ["c", "c", "d"]
+
+
+def test_texts_are_drawn_a_buffer_at_a_time(monkeypatch):
+    rng = random.Random(4)
+    items = [(i, D.normalise(text_of(rng, 20))) for i in range(5)]
+    texts = [b" ".join([text_of(rng, 30).encode(), rng.choice(items)[1]]) for _ in range(60)]
+    index = D.Index(items, 0.1)
+    want = D.find(index, texts)
+    drawn, ahead, search = [0], [], D._find
+
+    def counted():
+        for text in texts:
+            drawn[0] += 1
+            yield text
+
+    def seen(index, raw, starts, some, first):
+        ahead.append(drawn[0] - first)
+        return search(index, raw, starts, some, first)
+
+    monkeypatch.setattr(D, "_BUFFER", 2_000)
+    monkeypatch.setattr(D, "_find", seen)
+    assert {f[:2] for f in D.find(index, counted())} == {f[:2] for f in want} and len(want) >= 60
+    assert len(ahead) > 5 and max(ahead) <= 2_000 // min(map(len, texts)) + 1
+
+
+def test_grams_of_a_long_text_are_not_held_at_once(monkeypatch):
+    rng = random.Random(6)
+    items = [(i, D.normalise(text_of(rng, 20))) for i in range(5)]
+    index = D.Index(items, 0.1)
+    raw = rng.randbytes(8 << 20)
+    tracemalloc.start()
+    index.hits(raw)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 4 * len(raw)
+    for text in (b"", b"short", b" ".join(rng.choice(items)[1] for _ in range(200))):
+        monkeypatch.setattr(D, "_POSITIONS", 1 << 30)
+        once = index.hits(text)
+        for size in (1, 7, 100, 4096):
+            monkeypatch.setattr(D, "_POSITIONS", size)
+            assert all(np.array_equal(a, b) for a, b in zip(once, index.hits(text), strict=True))
+
+
+def test_hits_of_a_buffer_are_not_held_at_once(monkeypatch):
+    """Texts that share most grams with the items: a buffer's hits are many times the buffer."""
+    rng = random.Random(7)
+    items = [(i, D.normalise(text_of(rng, 20) + " and so on and so forth ")) for i in range(5)]
+    texts = [edited(rng, b"and so on and so forth " * 20 + rng.choice(items)[1], 5) for _ in range(60)]
+    index = D.Index(items, 0.1)
+    raw = b"".join(t + b"\0" * D.Q for t in texts)
+    starts = np.cumsum([0, *(len(t) + D.Q for t in texts[:-1])])
+    peaks, bands = [], []
+    for size in (1 << 30, 1 << 11, 1):
+        monkeypatch.setattr(D, "_POSITIONS", size)
+        tracemalloc.start()
+        bands.append(sum(1 for _ in D._bands(index, starts, raw)))
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert bands[0] == bands[1] == bands[2] > 0
+    assert peaks[1] < peaks[0] / 5
+    monkeypatch.setattr(D, "_POSITIONS", 1 << 30)
+    whole = sorted(D._bands(index, starts, raw))
+    for size in (1, 1500, 1 << 13):
+        monkeypatch.setattr(D, "_POSITIONS", size)
+        assert sorted(D._bands(index, starts, raw)) == whole
